@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from erpspark.catalog.roles import PARAMS, role, table
 from erpspark.catalog.sqltext import build
-from erpspark.functions.expr import shape
+from erpspark.functions.expr import rounded, shape
 from erpspark.plans import finance, inventory, production, sales, shared, views
 from erpspark.session import tune
 
@@ -71,7 +71,9 @@ class Erp:
 
     @cached_property
     def product_mart(self) -> DataFrame:
-        return shared.product_mart(self.products, self.detail)
+        lines = sales.repaired_lines(self.order_items, self.dated_orders).filter("__live")
+        priced = lines.withColumn("unit_price_adjusted", rounded("__price", 2))
+        return shared.product_mart(self.products, priced, self.order_items)
 
     @cached_property
     def material_mart(self) -> DataFrame:

@@ -124,6 +124,14 @@ def exact_percentiles(
     return found.select(*by, *out)
 
 
+def percentile_values(
+    df: DataFrame, value: str, probs: dict[str, float], bounds: list[float] | None = None
+) -> dict[str, float | None]:
+    """Global exact percentiles as plain numbers (one per entry of ``probs``)."""
+    row = exact_percentiles(df, value, probs, bounds=bounds).first()
+    return {name: (row[name] if row is not None else None) for name in probs}
+
+
 def _tile_starts(total: int, tiles: int) -> list[int]:
     """0-based rank at which tiles 2..n start; the first total % n tiles are one larger."""
     size, extra = divmod(total, tiles)

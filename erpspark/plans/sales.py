@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from erpspark.functions.expr import exact_avg, first_match, month_start, pct, price_tier, ratio, rounded, zero_if_null
 from erpspark.operators.lookup import decorate, with_dates
-from erpspark.operators.ranks import exact_percentiles, ntile_columns
+from erpspark.operators.ranks import bucket_bounds, ntile_columns, percentile_values
 from erpspark.plans import views
 from erpspark.settings import PRICE_TIER_PROBS, SPIKE_FACTOR
 
@@ -21,11 +21,12 @@ def active_orders(orders: DataFrame) -> DataFrame:
     return orders.filter(F.col("is_cancel") == 0)
 
 
-def _line_base(items: DataFrame, orders: DataFrame) -> DataFrame:
+def _line_base(items: DataFrame, orders: DataFrame, carry: list[str]) -> DataFrame:
     """Lines with the order attributes the price repair needs; cancelled orders kept and flagged."""
     head = orders.select(
         "order_id",
         "order_date",
+        *carry,
         F.col("customer_key").alias("__customer"),
         F.coalesce(F.col("is_cancel") == 0, F.lit(False)).alias("__live"),
     )
@@ -36,16 +37,19 @@ def _line_base(items: DataFrame, orders: DataFrame) -> DataFrame:
     return joined.withColumn("__month", month_start("order_date"))
 
 
-def repaired_lines(items: DataFrame, orders: DataFrame, product: str = "product_key") -> DataFrame:
+def repaired_lines(
+    items: DataFrame, orders: DataFrame, product: str = "product_key", carry: list[str] | None = None
+) -> DataFrame:
     """Order lines with the price-spike repair.
 
     A line is a spike when its unit price exceeds three times the weighted unit
     price of the last month in which the same customer bought the same product;
     the comparison is made by cross-multiplying decimals, so exactly three times
     is not a spike. Cancelled orders neither feed the month prices nor are
-    repaired; their lines stay in the result with ``__live`` = false.
+    repaired; their lines stay in the result with ``__live`` = false. ``carry``
+    names further order columns to keep, so lines meet the orders only once.
     """
-    base = _line_base(items, orders)
+    base = _line_base(items, orders, carry or [])
     priced = F.col("__live") & (F.col("quantity") > 0) & (F.col("total_amount") > 0)
     keys = ["customer_key", product]
     months = (
@@ -97,23 +101,18 @@ def order_items_detail(
     """One row per line of a non-cancelled order, with repaired price and price tier.
 
     ``orders`` is the enriched order view. Tier thresholds are exact percentiles
-    of the raw line price over all valid lines, compared as scalar subqueries.
+    of the raw line price over all valid lines, found by a first pass (two numbers).
     """
-    lines = repaired_lines(items, orders, product).filter("__live")
-    valid = (
-        items.select("order_id", "quantity", "total_amount")
-        .filter((F.col("quantity") > 0) & (F.col("total_amount") > 0))
-        .join(active_orders(orders).select("order_id"), "order_id", "left_semi")
-        .select(ratio("total_amount", "quantity").alias("price"))
+    raw = items.filter((F.col("quantity") > 0) & (F.col("total_amount") > 0)).select(
+        "order_id", ratio("total_amount", "quantity").alias("price")
     )
+    valid = raw.join(active_orders(orders).select("order_id"), "order_id", "left_semi")
     low_p, high_p = PRICE_TIER_PROBS
-    limits = exact_percentiles(valid, "price", {"p33": low_p, "p67": high_p})
-    p33, p67 = limits.select("p33").scalar(), limits.select("p67").scalar()
+    limits = percentile_values(valid, "price", {"p33": low_p, "p67": high_p}, bounds=bucket_bounds(raw, "price"))
+    p33, p67 = F.lit(limits["p33"]), F.lit(limits["p67"])
 
-    head = orders.select(
-        "order_id", "order_date_key", "year", "quarter", "month_num", "month_name", "id_branch", *LINE_CUSTOMER
-    )
-    out = lines.join(head, "order_id")
+    carry = ["order_date_key", "year", "quarter", "month_num", "month_name", "id_branch", *LINE_CUSTOMER]
+    out = repaired_lines(items, orders, product, carry).filter("__live")
     if products is not None:
         out = decorate(out, products, product, LINE_PRODUCT)
     return (
