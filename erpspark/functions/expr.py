@@ -48,7 +48,7 @@ def date_key(c: Column | str, default: int | None = None) -> Column:
 
 
 def key_to_date(c: Column | str) -> Column:
-    return F.try_to_date(col(c).cast("string"), F.lit("yyyyMMdd"))
+    return F.try_to_date(col(c).cast("string"), "yyyyMMdd")
 
 
 def month_start(c: Column | str) -> Column:

@@ -203,13 +203,15 @@ def month_end_quantities(lots: DataFrame, exports: DataFrame, start: date, as_of
     in_scope = F.coalesce((F.col("month") >= first_month) & (F.col("month") < this_month), F.lit(False))
     # moves outside the projected months count as none, but their pair and stock do
     monthly = (
-        rows.withColumn("month", F.when(in_scope, F.col("month")).otherwise(first_month))
-        .groupBy(*PAIR, "month")
-        .agg(
-            F.sum(F.when(in_scope, F.col("qty_in"))).alias("qty_in"),
-            F.sum(F.when(in_scope, F.col("qty_out"))).alias("qty_out"),
-            F.sum("left").alias("left"),
+        rows.select(
+            *PAIR,
+            F.when(in_scope, F.col("month")).otherwise(first_month).alias("month"),
+            F.when(in_scope, F.col("qty_in")).alias("qty_in"),
+            F.when(in_scope, F.col("qty_out")).alias("qty_out"),
+            "left",
         )
+        .groupBy(*PAIR, "month")
+        .agg(F.sum("qty_in").alias("qty_in"), F.sum("qty_out").alias("qty_out"), F.sum("left").alias("left"))
     )
     sparse = monthly.select(
         *PAIR, "month", zero_if_null("qty_in").alias("qty_in"), zero_if_null("qty_out").alias("qty_out"),
