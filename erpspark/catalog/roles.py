@@ -289,7 +289,7 @@ ROLES: dict[str, tuple[str, dict[str, str]]] = {
             "productions_orders_id": "cast(p_size as bigint)",
             "product_key": "p_partkey + 1",
             "prod_date_key": "case when p_size > 40 then 19000101 else 19990100 + cast(least(p_size, 28) as int) end",
-            "quantity": "cast(p_size * 10 as decimal(22,4))",
+            "quantity": "cast(p_size * 100 as decimal(22,4))",
             "type_items": "'products'",
             "versions_bom": "'v1'",
             "versions_stage": "'v1'",

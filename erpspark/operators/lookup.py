@@ -17,8 +17,10 @@ def lookup(df: DataFrame, dim: DataFrame, key: str, dim_key: str | None = None)
     meeting in one task; hot non-NULL keys are left to the AQE skew join.
     """
     dim_key = dim_key or key
+    # two other columns are enough to spread rows and keep the rest prunable
+    spread = [c for c in df.columns if c != key][:2] or [key]
     salt = F.when(
-        F.col(key).isNull(), F.pmod(F.xxhash64(*df.columns), F.lit(NULL_SPREAD)) + 1
+        F.col(key).isNull(), F.pmod(F.xxhash64(*spread), F.lit(NULL_SPREAD)) + 1
     ).otherwise(F.lit(0))
     left = df.withColumn("__salt", salt)
     right = dim.withColumnRenamed(dim_key, "__dim_key").withColumn("__dim_salt", F.lit(0).cast("bigint"))

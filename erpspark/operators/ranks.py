@@ -206,3 +206,31 @@ def ntile_columns(
             tile = tile + past.cast("int")
         frame = frame.withColumn(name, tile)
     return frame.drop("__key", *[f"__{n}" for n in metrics])
+
+
+def cumulative_desc(df: DataFrame, value: str, name: str) -> DataFrame:
+    """Add the sum of ``value`` over all rows with a value at least as large.
+
+    Ties share one total. Values are collapsed first, so the ordered work is on
+    distinct values, cut into buckets that carry the totals of those above them.
+    """
+    totals = df.groupBy(value).agg(F.sum(value).alias("__t")).filter(F.col(value).isNotNull())
+    cut = totals.withColumn("__neg", -F.col(value).cast("double"))
+    cut = cut.withColumn("__b", bucket_of("__neg", bucket_bounds(cut, "__neg")))
+    above = (
+        cut.groupBy("__b")
+        .agg(F.sum("__t").alias("__bt"))
+        # one row per bucket
+        .withColumn(
+            "__above",
+            F.coalesce(F.sum("__bt").over(Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
+        )
+        .drop("__bt")
+    )
+    inside = Window.partitionBy("__b").orderBy(F.desc(value)).rowsBetween(Window.unboundedPreceding, 0)
+    running = (
+        cut.withColumn("__in", F.sum("__t").over(inside))
+        .join(F.broadcast(above), "__b")
+        .select(value, (F.col("__in") + F.col("__above")).alias(name))
+    )
+    return df.join(running, value, "left")

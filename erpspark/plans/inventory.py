@@ -312,3 +312,16 @@ def stock_monthly(
         .withColumn("is_valued", F.col("avg_unit_price").isNotNull())
         .drop("item_key", "avg_unit_price")
     )
+
+
+def item_movements(lots: DataFrame, exports: DataFrame, dates: DataFrame) -> DataFrame:
+    """Movements by item (product or raw material) instead of by product key."""
+
+    def keyed(df: DataFrame) -> DataFrame:
+        kind = F.col("type_items")
+        return df.withColumn("item_type", kind).withColumn(
+            "item_key", F.when(kind == "nvl", F.col("material_key")).otherwise(F.col("product_key"))
+        )
+
+    rows = movements(keyed(lots), keyed(exports), ["item_type", "item_key"])
+    return with_dates(rows, dates, "movement_date_key", {"full_date": "movement_date"})

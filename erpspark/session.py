@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # lets AQE split a hot key even where that costs one more exchange
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Parquet is compressed: judge broadcast sizes by the decoded size, not the file size
+    "spark.sql.sources.fileCompressionFactor": "5.0",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
