@@ -362,6 +362,174 @@ ROLES: dict[str, tuple[str, dict[str, str]]] = {
     "purchase_heads": ("orders", {"id": "o_orderkey", "date": "o_orderdate"}),
 }
 
+# raw tables as the source system would deliver them: natural ids only
+ROLES |= {
+    "raw_clients": (
+        "customer",
+        {
+            "userid": "c_custkey",
+            "code_client": "concat('KH', cast(c_custkey as string))",
+            "company": "c_name",
+            "email_client": "concat('kh', cast(c_custkey as string), '@example.com')",
+            "type_client": "case when c_acctbal >= 3000 then 'B2B' else 'B2C' end",
+            "debt_limit": "cast(c_acctbal as decimal(22,4))",
+            "active": "case when c_acctbal >= 0 then 1 else 0 end",
+        },
+    ),
+    "raw_products": (
+        "part",
+        {
+            "id": "p_partkey",
+            "code": "concat('SP-', cast(p_partkey as string))",
+            "name": "p_name",
+            "type_products": "p_type",
+            "category_id": "p_size",
+            "brand": "p_brand",
+            "price_sell": "cast(p_retailprice as decimal(22,4))",
+            "status": "case when p_size > 2 then 1 else 0 end",
+        },
+    ),
+    "raw_materials": (
+        "part",
+        {
+            "id": "p_partkey",
+            "code": "concat('NVL-', cast(p_partkey as string))",
+            "name": "p_name",
+            "unit_id": "p_size",
+            "price_import": "cast(p_retailprice as decimal(22,4))",
+            "is_zinc": "case when p_brand = 'Brand#7' then 1 else 0 end",
+            "is_single_use": "0",
+            "status": "1",
+        },
+    ),
+    "raw_staff": (
+        "(select distinct user_id from events) staff_rows",
+        {
+            "staffid": "user_id",
+            "firstname": "concat('First', cast(user_id as string))",
+            "lastname": "case when user_id > 100 then concat('Last', cast(user_id as string)) end",
+            "active": "1",
+        },
+    ),
+    "raw_departments": (
+        "region",
+        {"departmentid": "r_regionkey", "code": "concat('PB', cast(r_regionkey as string))", "name": "r_name", "active_departments": "1"},
+    ),
+    "raw_groups": ("nation", {"id": "n_nationkey", "code": "concat('G', cast(n_nationkey as string))", "name": "n_name"}),
+    "raw_customer_groups": ("customer", {"customer_id": "c_custkey", "groupid": "c_nationkey"}),
+    "raw_warehouses": (
+        "nation",
+        {"id": "n_nationkey", "code": "concat('KHO', cast(n_nationkey as string))", "name": "n_name", "id_branch": "n_regionkey"},
+    ),
+    "raw_suppliers": (
+        "supplier",
+        {
+            "id": "s_suppkey",
+            "code": "concat('NCC', cast(s_suppkey as string))",
+            "company": "s_name",
+            "groups_in": "cast(s_nationkey as string)",
+            "debt_limit": "cast(s_acctbal as decimal(22,4))",
+            "active": "case when s_acctbal > 0 then 1 else 0 end",
+        },
+    ),
+    "raw_locations": (
+        "supplier",
+        {"id": "s_suppkey", "code": "s_name", "name": "s_name", "warehouse": "s_nationkey", "lever": "1"},
+    ),
+    "raw_manufactures": (
+        "nation",
+        {"id": "n_nationkey", "reference_no": "n_name", "id_branch": "n_regionkey", "status": "'open'"},
+    ),
+    "raw_orders": (
+        "orders",
+        {
+            "id": "o_orderkey",
+            "reference_no": "concat('SO-', cast(o_orderkey as string))",
+            "date": "o_orderdate",
+            "customer_id": "o_custkey",
+            "employee_id": "cast(substr(o_orderpriority, 1, 1) as bigint)",
+            "grand_total": _TOTAL,
+            "status": "o_orderstatus",
+            "is_cancel": "case when o_orderstatus = 'P' then 1 else 0 end",
+        },
+    ),
+    "raw_order_items": (
+        "lineitem",
+        {"id": _LINE_ID, "order_id": "l_orderkey", "item_id": "l_partkey", "quantity": _QTY, "amount": _EXT, "total_amount": _NET},
+    ),
+    "raw_deliveries": ("orders", {"id": "o_orderkey", "date": "o_orderdate", "customer_id": "o_custkey"}),
+    "raw_delivery_items": (
+        "lineitem",
+        {
+            "id": _LINE_ID, "delivery_id": "l_orderkey", "order_item_id": _LINE_ID, "item_id": "l_partkey",
+            "warehouse_id": "cast(l_linenumber as bigint)", "quantity": _QTY, "amount": _EXT,
+        },
+    ),
+    "raw_stock": (
+        "lineitem",
+        {
+            "id": _LINE_ID, "product_id": "l_partkey", "warehouse_id": "cast(l_linenumber as bigint)", "localtion": "l_suppkey",
+            "type_items": _KIND, "date_import": "l_shipdate", "quantity": _QTY,
+            "quantity_left": f"{_QTY} - cast({_OUT} as decimal(22,4))", "price": _EXT,
+        },
+    ),
+    "raw_po": ("orders", {"id": "o_orderkey", "date": "o_orderdate", "suppliers_id": "cast(substr(o_orderpriority, 1, 1) as bigint)"}),
+    "raw_po_items": (
+        "lineitem",
+        {
+            "id": _LINE_ID, "id_purchase_order": "l_orderkey", "product_id": "l_partkey",
+            "type": "case when l_returnflag = 'R' then 'nvl' when l_returnflag = 'A' then 'product' end",
+            "quantity": _QTY, "total_suppliers": _NET,
+        },
+    ),
+    # headers exist for urgent orders only, so the left join leaves lines without a date
+    "raw_production_orders": ("orders where o_orderpriority = '1-URGENT'", {"id": "o_orderkey", "date": "o_orderdate"}),
+    "raw_production_items": (
+        "lineitem",
+        {"id": _LINE_ID, "productions_orders_id": "l_orderkey", "items_id": "l_partkey", "quantity": _QTY, "type_items": "'products'"},
+    ),
+    "raw_stages": (
+        "events",
+        {
+            "id": "event_id", "productions_orders_id": "user_id", "productions_orders_items_id": "user_id",
+            "staff_active": "user_id", "date_active": "case when event_type <> 'error' then ts end",
+            "number_face": "cast(value as decimal(22,4))", "active": "case when event_type = 'error' then 0 else 1 end",
+        },
+    ),
+    "raw_receipts": ("orders", {"id": "o_orderkey", "date": "o_orderdate", "warehouse_id": "cast(substr(o_orderpriority, 1, 1) as bigint)"}),
+    "raw_receipt_items": (
+        "lineitem",
+        {
+            "id": _LINE_ID, "purchase_product_id": "l_orderkey", "item_id": "l_partkey", "location_id": "l_suppkey",
+            "quantity": _QTY, "amount": _EXT,
+        },
+    ),
+    "raw_export": (
+        "lineitem",
+        {
+            "id": _LINE_ID, "product_id": "l_partkey", "warehouse_id": "cast(l_linenumber as bigint)", "localtion": "l_suppkey",
+            "type_items": "case when l_linestatus = 'O' or l_returnflag <> 'N' then " + _KIND + " end", "type_export": "l_linenumber",
+            "date_export": "case when l_discount > 0 then l_shipdate end", "quantity": _QTY,
+        },
+    ),
+    "raw_transfers": (
+        "lineitem",
+        {
+            "id": _LINE_ID, "id_transfer": "l_orderkey", "id_items": "l_partkey", "warehouses_id": "cast(l_linenumber as bigint)",
+            "warehouses_to": "cast(l_linenumber + 20 as bigint)", "localtion_id": "l_suppkey", "localtion_to": "l_suppkey + 1",
+            "quantity": _QTY, "amount": _EXT,
+        },
+    ),
+    # dimension rows on file when the facts arrive; the others come late
+    "known_customers": ("customer where c_acctbal >= 0", {"customer_id": "c_custkey", "customer_key": "c_custkey + 1"}),
+    "known_products": ("part where p_size > 2", {"product_id": "p_partkey", "product_key": "p_partkey + 1"}),
+    "known_materials": ("part where p_size < 50", {"material_id": "p_partkey", "material_key": "p_partkey + 1"}),
+    "known_staff": ("(select distinct user_id from events) staff_rows", {"staff_id": "user_id", "staff_key": "user_id + 1"}),
+    "known_suppliers": ("supplier where s_acctbal > 0", {"supplier_id": "s_suppkey", "supplier_key": "s_suppkey + 1"}),
+    "known_warehouses": ("nation", {"warehouse_id": "n_nationkey", "warehouse_key": "n_nationkey + 1"}),
+    "known_locations": ("supplier where s_acctbal > 0", {"location_id": "s_suppkey", "location_key": "s_suppkey + 1"}),
+}
+
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
 
