@@ -24,12 +24,25 @@ VIEW_SPECS = {
 }
 part("k_customers", "SELECT *, coalesce(representative, company, customer_code) AS fullname FROM r_customers")
 for _name, _spec in VIEW_SPECS.items():
+    if _name == "dates":
+        continue
     _src = "k_customers" if _name == "customers" else f"r_{_name}"
     query(f"view_{_name}", _spec, f"SELECT * FROM {_src}")(
         lambda e, n=_name: getattr(views, n)(e.role(n))
     )
 
 
+@query(
+    "view_dates",
+    VIEW_SPECS["dates"],
+    "SELECT * FROM r_dates WHERE full_date IN (SELECT cast(o_orderdate as date) FROM orders)",
+)
+def _dates(e: Erp):
+    # the calendar days orders were placed on
+    ordered = e.table("orders").select(F.to_date("o_orderdate").alias("full_date"))
+    return views.dates(e.dates).join(ordered, "full_date", "left_semi")
+
+
 @query(
     "view_staff",
     "staff_key:l staff_id:l firstname:s lastname:s fullname:s staff_role:l is_admin:l is_active:b",

@@ -65,3 +65,40 @@ def stream_incremental(
     )
     query.awaitTermination()
     return len(query.recentProgress)
+
+
+def stream_to_folder(
+    spark: SparkSession,
+    source_dir: str,
+    schema: T.StructType,
+    checkpoint: str,
+    target: str,
+    natural: str,
+    order: list[str],
+    fmt: str = "parquet",
+    pattern: str = "*",
+) -> str:
+    """Keep the newest row per key as files: each micro-batch writes the merged table to
+    its own folder, named by the batch number, so a replayed batch rewrites the same folder.
+
+    Returns the folder of the last batch.
+    """
+
+    def folder(batch_id: int) -> str:
+        return f"{target}/batch={batch_id}"
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows = batch
+        if batch_id > 0:
+            rows = batch.sparkSession.read.parquet(folder(batch_id - 1)).unionByName(batch)
+        latest_per_key(rows, natural, order).write.mode("overwrite").parquet(folder(batch_id))
+
+    stream = spark.readStream.format(fmt).schema(schema).option("pathGlobFilter", pattern).load(source_dir)
+    query = (
+        stream.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return folder(query.lastProgress["batchId"])
