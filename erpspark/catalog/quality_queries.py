@@ -252,15 +252,30 @@ def _schema_sql() -> str:
         "('{}', '{}', '{}')".format(t, *item.split()) for t, ddl in EXPECTED.items() for item in ddl.split(", ")
     )
     names = " ".join(f"WHEN '{d}' THEN '{s}'" for d, s in _DUCK.items())
-    return f"""SELECT w.t AS table_name, w.c AS column_name, w.k AS expected, have AS found,
+    filled = " UNION ALL ".join(
+        f"SELECT '{t}' AS ft, '{c}' AS fc, count({c}) AS n FROM {t}"
+        for t, ddl in EXPECTED.items()
+        for c in (item.split()[0] for item in ddl.split(", "))
+        if c != "o_clerk"
+    )
+    return f"""SELECT w.t AS table_name, w.c AS column_name, w.k AS expected, have AS found, coalesce(n, 0) AS filled,
                  CASE WHEN have = w.k THEN 'ok' WHEN have IS NULL THEN 'fail' ELSE 'warn' END AS status
                FROM (VALUES {want}) w(t, c, k) LEFT JOIN (SELECT table_name AS ht, column_name AS hc, CASE data_type {names} END AS have
-                 FROM information_schema.columns) h ON h.ht = w.t AND h.hc = w.c"""
+                 FROM information_schema.columns) h ON h.ht = w.t AND h.hc = w.c
+               LEFT JOIN ({filled}) f ON f.ft = w.t AND f.fc = w.c"""
 
 
-query("dq_schema", "table_name:s column_name:s expected:s found:s status:s", _schema_sql())(
-    lambda e: q.union_all([q.schema_check(e.table(t), t, T.StructType.fromDDL(ddl)) for t, ddl in EXPECTED.items()])
-)
+@query("dq_schema", "table_name:s column_name:s expected:s found:s filled:l status:s", _schema_sql())
+def _schema(e: Erp):
+    """Declared columns against the tables, with the number of values each column holds."""
+    frames = []
+    for t, ddl in EXPECTED.items():
+        df = e.table(t)
+        filled = q.filled_counts(df)
+        checked = q.schema_check(df, t, T.StructType.fromDDL(ddl)).join(filled, "column_name", "left")
+        frames.append(checked.withColumn("filled", F.coalesce("filled", F.lit(0))))
+    return q.union_all(frames)
+
 
 LAYERS = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 query(

@@ -170,6 +170,8 @@ def ntile_columns(
         return frame.drop("__key", *[f"__{n}" for n in metrics])
 
     starts = _tile_starts(total, tiles)
+    if not starts:
+        return frame.withColumns({n: F.lit(1) for n in metrics}).drop("__key", *[f"__{n}" for n in metrics])
     melted = frame.select(
         "__key",
         F.explode(

@@ -264,6 +264,13 @@ def schema_check(df: DataFrame, table: str, expected: T.StructType) -> DataFrame
     )
 
 
+def filled_counts(df: DataFrame) -> DataFrame:
+    """Non-NULL values per column, one pass over the table."""
+    counts = df.agg(*[F.count(c).alias(c) for c in df.columns])
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("filled")) for c in df.columns])
+    return counts.select(F.explode(pairs).alias("p")).select("p.*")
+
+
 def layer_inventory(frames: dict[str, DataFrame]) -> DataFrame:
     return union_all(
         [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("table_name"), "rows") for n, df in frames.items()]

@@ -55,6 +55,16 @@ def _price_group_step(star: Star) -> core.StepResult:
     return core.StepResult(PRICE_GROUP_STEP)
 
 
+def _replace_rows(star: Star, stored: DataFrame, rows: DataFrame, natural: str, table: str) -> int:
+    """Replace by key, rewriting only the years that lose or gain rows."""
+    lost = stored.select(natural, "year").join(rows.select(natural), natural, "left_semi").select("year")
+    gained = {r["year"] for r in rows.select("year").distinct().collect()}  # one row per year
+    years = gained | {r["year"] for r in lost.distinct().collect()}
+    part = stored.filter(F.col("year").isin(sorted(years)))
+    sinks.replace_partitions(replace_by_key(part, rows, natural).select(*stored.columns), table, emptied=years)
+    return rows.count()
+
+
 def _fact_step(star: Star, name: str) -> core.StepResult:
     """Heal keys only in the year partitions that need it, then append the new rows."""
     spec, spark, table = core.FACTS[name], star.spark, star.core(name)
@@ -67,8 +77,7 @@ def _fact_step(star: Star, name: str) -> core.StepResult:
         return result
     stored = spark.table(table)
     if spec.form == "replace":
-        sinks.replace_table(replace_by_key(stored, rows, spec.natural), table, "year")
-        result.rows_inserted = rows.count()
+        result.rows_inserted = _replace_rows(star, stored, rows, spec.natural, table)
         return result
     if spec.heal:
         needs, clear = core.heal_conditions(name)
@@ -120,7 +129,8 @@ def build_marts(
         sinks.replace_table(df, f"{mart_schema}.{name}")
         return spark.table(f"{mart_schema}.{name}")
 
-    t = tables
+    # the marts take the year from the calendar, not from the partition column
+    t = {name: df.drop("year") if name in core.FACTS else df for name, df in tables.items()}
     customers, products = t["dim_customer"], t["dim_product"]
     enriched = views.orders_enriched(t["fact_orders"], customers, dates)
     dated = sales.with_dates(t["fact_orders"], dates, "order_date_key", {"full_date": "order_date"})

@@ -30,6 +30,7 @@ def _line_base(items: DataFrame, orders: DataFrame, carry: list[str]) -> DataFra
         F.col("customer_key").alias("__customer"),
         F.coalesce(F.col("is_cancel") == 0, F.lit(False)).alias("__live"),
     )
+    items = items.drop("order_date", *carry)  # the header's own values count
     if "customer_key" in items.columns:
         joined = items.join(head.drop("__customer"), "order_id")
     else:

@@ -22,16 +22,13 @@ def exists(spark: SparkSession, table: str) -> bool:
     return spark.catalog.tableExists(table)
 
 
-def replace_table(df: DataFrame, table: str, partition_by: str | None = None) -> None:
-    """Write the whole table next to the old one, then swap the names, so that the
-    frame may read the table it replaces."""
+def replace_table(df: DataFrame, table: str) -> None:
+    """Write the whole (unpartitioned) table next to the old one, then swap the names,
+    so that the frame may read the table it replaces."""
     spark = df.sparkSession
     staged = f"{table}__next"
     spark.sql(f"DROP TABLE IF EXISTS {staged}")
-    writer = df.write.format("parquet")
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
-    writer.saveAsTable(staged)
+    df.write.format("parquet").saveAsTable(staged)
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     spark.sql(f"ALTER TABLE {staged} RENAME TO {table}")
 
@@ -44,8 +41,13 @@ def append_rows(df: DataFrame, table: str, partition_by: str | None = None) -> N
     writer.saveAsTable(table)
 
 
-def replace_partitions(df: DataFrame, table: str, partition: str = "year") -> None:
-    """Overwrite only the partitions present in the frame (which may read the table)."""
+def replace_partitions(
+    df: DataFrame, table: str, partition: str = "year", emptied: set[int] | None = None
+) -> None:
+    """Overwrite only the partitions present in the frame (which may read the table).
+
+    Partitions listed in ``emptied`` that the frame has no rows for are dropped.
+    """
     spark = df.sparkSession
     staged = f"{table}__part"
     spark.sql(f"DROP TABLE IF EXISTS {staged}")
@@ -56,4 +58,8 @@ def replace_partitions(df: DataFrame, table: str, partition: str = "year") -> No
         spark.table(staged).select(*spark.table(table).columns).write.mode("overwrite").insertInto(table)
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+    if emptied:
+        written = {r[0] for r in spark.table(staged).select(partition).distinct().collect()}
+        for value in sorted(emptied - written):
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({partition} = {value})")
     spark.sql(f"DROP TABLE IF EXISTS {staged}")

@@ -54,8 +54,13 @@ def stream_incremental(
     write: Writer,
     fmt: str = "parquet",
     max_files: int = 1000,
+    target: str | None = None,
 ) -> int:
-    """Process every file that is not yet in the checkpoint, then stop. Returns the batch count."""
+    """Process every file that is not yet in the checkpoint, then stop. Returns the batch count.
+
+    Micro-batches run in a session of their own; naming the ``target`` table makes
+    this session drop its file listing of it.
+    """
     stream = spark.readStream.format(fmt).schema(schema).option("maxFilesPerTrigger", max_files).load(source_dir)
     query = (
         stream.writeStream.foreachBatch(write)
@@ -64,6 +69,8 @@ def stream_incremental(
         .start()
     )
     query.awaitTermination()
+    if target and sinks.exists(spark, target):
+        spark.catalog.refreshTable(target)
     return len(query.recentProgress)
 
 
