@@ -31,11 +31,11 @@ _LINE_ID = (
     "concat(cast(l_orderkey as string), '-', cast(l_linenumber as string), '-', cast(l_partkey as string), '-', "
     f"cast(l_suppkey as string), '-', cast({_key('l_shipdate')} as string))"
 )
-_TOTAL = "cast(o_totalprice as decimal(22,4))"
-_COST = f"case when o_orderpriority = '1-URGENT' then cast({_TOTAL} * 0.6 as decimal(22,4)) else cast(0 as decimal(22,4)) end"
-_QTY = "cast(l_quantity as decimal(22,4))"
-_EXT = "cast(l_extendedprice as decimal(22,4))"
-_NET = "cast(cast(l_extendedprice as decimal(14,2)) * cast(1 - l_discount as decimal(4,2)) as decimal(22,4))"
+_TOTAL = "cast(o_totalprice as decimal(18,4))"
+_COST = f"case when o_orderpriority = '1-URGENT' then cast({_TOTAL} * 0.6 as decimal(18,4)) else cast(0 as decimal(18,4)) end"
+_QTY = "cast(l_quantity as decimal(18,4))"
+_EXT = "cast(l_extendedprice as decimal(18,4))"
+_NET = "cast(cast(l_extendedprice as decimal(14,2)) * cast(1 - l_discount as decimal(4,2)) as decimal(18,4))"
 _OUT = "case l_returnflag when 'A' then l_quantity when 'R' then floor(l_quantity / 2) else 0 end"
 # semi-finished lots belong to neither item master
 _KIND = "case when l_tax = 0 then 'semi' when l_returnflag = 'R' then 'nvl' else 'product' end"
@@ -45,7 +45,7 @@ _EXPORT_CODE = (
     "else cast(cast(round(l_tax * 100) as int) as string) end"
 )
 _NULL = "cast(null as string)"
-_ZERO = "cast(0 as decimal(22,4))"
+_ZERO = "cast(0 as decimal(18,4))"
 _STAGE_DAY = "ts - interval '25' year"
 
 # role -> (table, {column: expression})
@@ -72,7 +72,7 @@ ROLES: dict[str, tuple[str, dict[str, str]]] = {
             "ward": "cast(null as bigint)",
             "address": "concat('Street ', cast(c_custkey as string))",
             "vat": _NULL,
-            "debt_limit": "cast(cast(greatest(c_acctbal, 0) as decimal(14,2)) * 300 as decimal(22,4))",
+            "debt_limit": "cast(cast(greatest(c_acctbal, 0) as decimal(14,2)) * 300 as decimal(18,4))",
             "debt_limit_day": "30",
             "discount": _ZERO,
             "table_price_id": "1",
@@ -97,8 +97,8 @@ ROLES: dict[str, tuple[str, dict[str, str]]] = {
             "species": "p_type",
             "brand": "p_brand",
             "brand_id": "cast(substr(p_brand, 7) as int)",
-            "price_import": "case when p_size > 16 then cast(p_retailprice as decimal(22,4)) end",
-            "price_sell": "cast(p_retailprice as decimal(22,4))",
+            "price_import": "case when p_size > 16 then cast(p_retailprice as decimal(18,4)) end",
+            "price_sell": "cast(p_retailprice as decimal(18,4))",
             "status": "case when p_size > 2 then 1 else 0 end",
             "is_active": "p_size > 2",
             "date_created": "date '1995-01-01' + cast(p_size as int)",
@@ -118,7 +118,7 @@ ROLES: dict[str, tuple[str, dict[str, str]]] = {
             "species": "p_type",
             "mode_id": "1",
             "is_zinc": "p_brand = 'Brand#7'",
-            "price_import": "cast(p_retailprice as decimal(22,4))",
+            "price_import": "cast(p_retailprice as decimal(18,4))",
             "is_single_use": "p_size = 1",
             "is_active": "p_size > 2",
             "id_branch": "1",
@@ -133,7 +133,7 @@ ROLES: dict[str, tuple[str, dict[str, str]]] = {
             "company": "s_name",
             "city": "concat('City ', cast(s_nationkey as string))",
             "groups_in": "cast(s_nationkey as string)",
-            "debt_limit": "cast(s_acctbal as decimal(22,4))",
+            "debt_limit": "cast(s_acctbal as decimal(18,4))",
             "is_active": "s_acctbal > 0",
         },
     ),
@@ -175,15 +175,15 @@ ROLES: dict[str, tuple[str, dict[str, str]]] = {
             "warehouse_id": "1",
             "id_branch": "cast(substr(o_orderpriority, 1, 1) as int)",
             "count_items": "4",
-            "total_quantity": "cast(floor(o_totalprice / 400) as decimal(22,4))",
+            "total_quantity": "cast(floor(o_totalprice / 400) as decimal(18,4))",
             "grand_total": _TOTAL,
             "total_cost": _COST,
             "total_profit": f"{_TOTAL} - {_COST}",
             "total_payment": _ZERO,
-            "total_tax": f"cast({_TOTAL} * 0.1 as decimal(22,4))",
-            "total_discount_percent": f"case when o_orderpriority <> '5-LOW' then cast({_TOTAL} * 0.02 as decimal(22,4)) end",
-            "total_discount_direct": "cast(5 as decimal(22,4))",
-            "cost_delivery": "cast(25 as decimal(22,4))",
+            "total_tax": f"cast({_TOTAL} * 0.1 as decimal(18,4))",
+            "total_discount_percent": f"case when o_orderpriority <> '5-LOW' then cast({_TOTAL} * 0.02 as decimal(18,4)) end",
+            "total_discount_direct": "cast(5 as decimal(18,4))",
+            "cost_delivery": "cast(25 as decimal(18,4))",
             "status": "o_orderstatus",
             "status_payment": "0",
             "status_orders": "o_orderstatus",
@@ -205,16 +205,16 @@ ROLES: dict[str, tuple[str, dict[str, str]]] = {
             "quantity": _QTY,
             "price": "l_extendedprice / l_quantity",
             "amount": _EXT,
-            "tax_amount_item": "cast(cast(l_extendedprice as decimal(14,2)) * cast(l_tax as decimal(4,2)) as decimal(22,4))",
+            "tax_amount_item": "cast(cast(l_extendedprice as decimal(14,2)) * cast(l_tax as decimal(4,2)) as decimal(18,4))",
             "discount_percent_item": "cast(l_discount as decimal(12,4))",
             "discount_percent_amount_item": f"{_EXT} - {_NET}",
             "discount_direct_amount_item": _ZERO,
             "total_amount": _NET,
             "cost": _ZERO,
             "profit": _ZERO,
-            "quantity_delivery": "cast(case when l_linestatus = 'F' then l_quantity else floor(l_quantity / 2) end as decimal(22,4))",
-            "quantity_not_delivery": "cast(case when l_linestatus = 'F' then 0 else l_quantity - floor(l_quantity / 2) end as decimal(22,4))",
-            "quantity_returned": "cast(case when l_returnflag = 'R' then l_quantity else 0 end as decimal(22,4))",
+            "quantity_delivery": "cast(case when l_linestatus = 'F' then l_quantity else floor(l_quantity / 2) end as decimal(18,4))",
+            "quantity_not_delivery": "cast(case when l_linestatus = 'F' then 0 else l_quantity - floor(l_quantity / 2) end as decimal(18,4))",
+            "quantity_returned": "cast(case when l_returnflag = 'R' then l_quantity else 0 end as decimal(18,4))",
             "type_item": "'products'",
             "type_gift": "0",
             "unit_id": "l_linenumber",
@@ -230,8 +230,8 @@ ROLES: dict[str, tuple[str, dict[str, str]]] = {
             "location_key": "l_suppkey + 1",
             "import_date_key": _key("l_shipdate"),
             "quantity": _QTY,
-            "quantity_left": f"{_QTY} - cast({_OUT} as decimal(22,4))",
-            "quantity_export": f"cast({_OUT} as decimal(22,4))",
+            "quantity_left": f"{_QTY} - cast({_OUT} as decimal(18,4))",
+            "quantity_export": f"cast({_OUT} as decimal(18,4))",
             "price": f"case when l_linestatus = 'F' then {_EXT} end",
             "type_items": _KIND,
             "lot_code": "concat('L', cast(l_orderkey as string))",
@@ -249,7 +249,7 @@ ROLES: dict[str, tuple[str, dict[str, str]]] = {
             "warehouse_key": "cast(l_linenumber + 1 as bigint)",
             "location_key": "l_suppkey + 1",
             "export_date_key": _key(f"({_EXPORT_DAY})"),
-            "quantity": f"cast({_OUT} as decimal(22,4))",
+            "quantity": f"cast({_OUT} as decimal(18,4))",
             "type_items": _KIND,
             "type_export": _EXPORT_CODE,
         },
@@ -264,9 +264,9 @@ ROLES: dict[str, tuple[str, dict[str, str]]] = {
             "supplier_key": "l_suppkey + 1",
             "po_date_key": _key("l_shipdate"),
             "quantity": _QTY,
-            "quantity_suppliers": "cast(case when l_linestatus = 'F' then l_quantity else floor(l_quantity * 0.9) end as decimal(22,4))",
+            "quantity_suppliers": "cast(case when l_linestatus = 'F' then l_quantity else floor(l_quantity * 0.9) end as decimal(18,4))",
             "price_suppliers": "l_extendedprice / l_quantity",
-            "total_expected": "cast(cast(l_extendedprice as decimal(14,2)) * cast(1 + l_tax as decimal(4,2)) as decimal(22,4))",
+            "total_expected": "cast(cast(l_extendedprice as decimal(14,2)) * cast(1 + l_tax as decimal(4,2)) as decimal(18,4))",
             "total_suppliers": _NET,
             "subtotal": _EXT,
         },
@@ -289,7 +289,7 @@ ROLES: dict[str, tuple[str, dict[str, str]]] = {
             "productions_orders_id": "cast(p_size as bigint)",
             "product_key": "p_partkey + 1",
             "prod_date_key": "case when p_size > 40 then 19000101 else 19990100 + cast(least(p_size, 28) as int) end",
-            "quantity": "cast(p_size * 100 as decimal(22,4))",
+            "quantity": "cast(p_size * 100 as decimal(18,4))",
             "type_items": "'products'",
             "versions_bom": "'v1'",
             "versions_stage": "'v1'",
@@ -303,11 +303,11 @@ ROLES: dict[str, tuple[str, dict[str, str]]] = {
             "productions_orders_items_id": "user_id",
             "staff_key": "user_id + 1",
             "stage_date_key": _key(f"({_STAGE_DAY})"),
-            "number": "cast(length(event_type) as decimal(22,4))",
-            "number_hours": "cast(length(props) - 8 as decimal(22,4))",
-            "total_time": "cast(length(props) as decimal(22,4))",
-            "number_face": "cast(value as decimal(22,4))",
-            "number_operations": "cast(1 as decimal(22,4))",
+            "number": "cast(length(event_type) as decimal(18,4))",
+            "number_hours": "cast(length(props) - 8 as decimal(18,4))",
+            "total_time": "cast(length(props) as decimal(18,4))",
+            "number_face": "cast(value as decimal(18,4))",
+            "number_operations": "cast(1 as decimal(18,4))",
             "active": "case when event_type = 'error' then 0 else 1 end",
         },
     ),
@@ -341,10 +341,10 @@ ROLES: dict[str, tuple[str, dict[str, str]]] = {
             "item_code": "concat('B', cast(l_suppkey as string))",
             "item_name": "concat(case when l_linenumber < 3 then 'Giay ' else 'Kim ' end, cast(l_suppkey as string))",
             "unit_id": "cast(l_linenumber as bigint)",
-            "quantity_single": "cast(l_discount as decimal(22,4))",
+            "quantity_single": "cast(l_discount as decimal(18,4))",
             "quantity": _QTY,
-            "quantity_compensation": "case when l_tax > 0 then cast(l_tax * 100 as decimal(22,4)) end",
-            "number_children_size": "cast(l_linenumber - 1 as decimal(22,4))",
+            "quantity_compensation": "case when l_tax > 0 then cast(l_tax * 100 as decimal(18,4)) end",
+            "number_children_size": "cast(l_linenumber - 1 as decimal(18,4))",
             "is_zinc": "case when l_tax >= 0.07 then 1 else 0 end",
         },
     ),
@@ -372,7 +372,7 @@ ROLES |= {
             "company": "c_name",
             "email_client": "concat('kh', cast(c_custkey as string), '@example.com')",
             "type_client": "case when c_acctbal >= 3000 then 'B2B' else 'B2C' end",
-            "debt_limit": "cast(c_acctbal as decimal(22,4))",
+            "debt_limit": "cast(c_acctbal as decimal(18,4))",
             "active": "case when c_acctbal >= 0 then 1 else 0 end",
         },
     ),
@@ -385,7 +385,7 @@ ROLES |= {
             "type_products": "p_type",
             "category_id": "p_size",
             "brand": "p_brand",
-            "price_sell": "cast(p_retailprice as decimal(22,4))",
+            "price_sell": "cast(p_retailprice as decimal(18,4))",
             "status": "case when p_size > 2 then 1 else 0 end",
         },
     ),
@@ -396,7 +396,7 @@ ROLES |= {
             "code": "concat('NVL-', cast(p_partkey as string))",
             "name": "p_name",
             "unit_id": "p_size",
-            "price_import": "cast(p_retailprice as decimal(22,4))",
+            "price_import": "cast(p_retailprice as decimal(18,4))",
             "is_zinc": "case when p_brand = 'Brand#7' then 1 else 0 end",
             "is_single_use": "0",
             "status": "1",
@@ -428,7 +428,7 @@ ROLES |= {
             "code": "concat('NCC', cast(s_suppkey as string))",
             "company": "s_name",
             "groups_in": "cast(s_nationkey as string)",
-            "debt_limit": "cast(s_acctbal as decimal(22,4))",
+            "debt_limit": "cast(s_acctbal as decimal(18,4))",
             "active": "case when s_acctbal > 0 then 1 else 0 end",
         },
     ),
@@ -470,7 +470,7 @@ ROLES |= {
         {
             "id": _LINE_ID, "product_id": "l_partkey", "warehouse_id": "cast(l_linenumber as bigint)", "localtion": "l_suppkey",
             "type_items": _KIND, "date_import": "l_shipdate", "quantity": _QTY,
-            "quantity_left": f"{_QTY} - cast({_OUT} as decimal(22,4))", "price": _EXT,
+            "quantity_left": f"{_QTY} - cast({_OUT} as decimal(18,4))", "price": _EXT,
         },
     ),
     "raw_po": ("orders", {"id": "o_orderkey", "date": "o_orderdate", "suppliers_id": "cast(substr(o_orderpriority, 1, 1) as bigint)"}),
@@ -493,7 +493,7 @@ ROLES |= {
         {
             "id": "event_id", "productions_orders_id": "user_id", "productions_orders_items_id": "user_id",
             "staff_active": "user_id", "date_active": "case when event_type <> 'error' then ts end",
-            "number_face": "cast(value as decimal(22,4))", "active": "case when event_type = 'error' then 0 else 1 end",
+            "number_face": "cast(value as decimal(18,4))", "active": "case when event_type = 'error' then 0 else 1 end",
         },
     ),
     "raw_receipts": ("orders", {"id": "o_orderkey", "date": "o_orderdate", "warehouse_id": "cast(substr(o_orderpriority, 1, 1) as bigint)"}),
@@ -533,8 +533,15 @@ ROLES |= {
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
 
+_SCHEMAS: dict[str, object] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Test table; its schema is inferred once, as inference is a job of its own."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def role(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -265,11 +265,12 @@ def allocate_to_orders(plan_cost: DataFrame, order_lines: DataFrame) -> DataFram
         "order_id", F.trim("__id").try_cast("bigint")
     ).drop("__id").filter(F.col("order_id").isNotNull())
     joined = pairs.join(order_lines, ["order_id", "finished_product_id"], "left")
-    plan = ["productions_plan_id", "finished_product_id"]
-    totals = joined.groupBy(*plan).agg(
-        F.sum("product_qty").alias("plan_qty"),
-        F.sum("revenue_vnd").alias("plan_revenue"),
-        F.count(F.lit(1)).alias("plan_order_count"),
+    # a plan and product own one list, so these groups are as long as one list cell
+    plan = Window.partitionBy("productions_plan_id", "finished_product_id")
+    joined = (
+        joined.withColumn("plan_qty", F.sum("product_qty").over(plan))
+        .withColumn("plan_revenue", F.sum("revenue_vnd").over(plan))
+        .withColumn("plan_order_count", F.count(F.lit(1)).over(plan))
     )
     share = first_match(
         [
@@ -278,7 +279,7 @@ def allocate_to_orders(plan_cost: DataFrame, order_lines: DataFrame) -> DataFram
         ],
         ratio(F.lit(1), "plan_order_count"),
     )
-    return joined.join(totals, plan).withColumn("alloc_ratio", share)
+    return joined.withColumn("alloc_ratio", share)
 
 
 def order_cost(plan_cost: DataFrame, orders: DataFrame, items: DataFrame, products: DataFrame, fx: dict) -> DataFrame:
