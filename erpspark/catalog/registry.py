@@ -38,11 +38,11 @@ class Erp:
 
     @cached_property
     def detail(self) -> DataFrame:
-        return sales.order_items_detail(self.order_items, self.enriched, self.products)
+        return sales.order_items_detail(self.order_items, self.enriched, self.products, headers=self.orders)
 
     @cached_property
     def performance(self) -> DataFrame:
-        return sales.order_performance(self.order_items, self.enriched)
+        return sales.order_performance(self.order_items, self.enriched, self.dated_orders)
 
     @cached_property
     def revenue(self) -> DataFrame:

@@ -26,12 +26,22 @@ def item_type(product: Column, material: Column) -> Column:
 
 
 def _valuation(df: DataFrame) -> DataFrame:
-    """Unit price ladder: lot price, purchase price of the item, master price."""
-    lot = F.nullif(ratio("price", "quantity"), F.lit(0.0))
-    po, npl, master = F.col("po_price"), F.col("npl_price"), F.col("price_import").cast("double")
+    """Unit price ladder: lot price, purchase price of the item, master price.
+
+    Each rung is a column of its own, so the decimals are converted once per row.
+    """
+    df = df.withColumns(
+        {
+            "__lot": F.nullif(ratio("price", "quantity"), F.lit(0.0)),
+            "__master": F.col("price_import").cast("double"),
+            "__left": F.col("quantity_left").cast("double"),
+            "__priced": F.coalesce(F.col("price") > 0, F.lit(False)),
+        }
+    )
+    lot, po, npl, master = F.col("__lot"), F.col("po_price"), F.col("npl_price"), F.col("__master")
     ladder = F.coalesce(lot, po, npl, master)
     without_npl = F.coalesce(lot, po, master)
-    has_lot_price = F.coalesce(F.col("price") > 0, F.lit(False))
+    has_lot_price = F.col("__priced")
     kind = F.col("type_items")
     capped = first_match(
         [
@@ -42,13 +52,14 @@ def _valuation(df: DataFrame) -> DataFrame:
         # least ignores NULL, so a price known only from the material side gives the cap
         F.least(without_npl, F.lit(float(PRICE_CAP))),
     )
+    df = df.withColumn("__capped", capped)
     finished = F.col("type_products").isin("products", "semi_products")
     return (
         df.withColumn("lot_price", F.col("price"))
         .withColumn("po_fallback_price", F.coalesce(po, npl))
         .withColumn("unit_price", rounded(ladder, 2))
-        .withColumn("unit_price_capped", rounded(capped, 2))
-        .withColumn("stock_value", rounded(F.col("quantity_left").cast("double") * capped, 2).cast("decimal(28,2)"))
+        .withColumn("unit_price_capped", rounded("__capped", 2))
+        .withColumn("stock_value", rounded(F.col("__left") * F.col("__capped"), 2).cast("decimal(28,2)"))
         .withColumn("is_valued", has_lot_price)
         .withColumn(
             "price_source",
@@ -70,7 +81,7 @@ def _valuation(df: DataFrame) -> DataFrame:
                 "unpriced_no_eln_receipt",
             ),
         )
-        .drop("price", "po_price", "npl_price", "price_import")
+        .drop("price", "po_price", "npl_price", "price_import", "__lot", "__master", "__left", "__priced", "__capped")
     )
 
 

@@ -200,32 +200,39 @@ def production_cost(
         )
     )
     out = lookup(lines, item, "npl_product_id")
-    price = zero_if_null("unit_price_vnd").cast("double")
     qty, waste = F.col("qty_bom"), F.col("qty_compensation")
-    per_piece = F.when(F.col("is_zinc") == 1, ratio(qty, "finished_qty_planned")).otherwise(
-        ratio("qty_single", "number_children_size")
+    # converted once per row, used by every cost column
+    out = out.withColumns(
+        {
+            "__price": zero_if_null("unit_price_vnd").cast("double"),
+            "__qty": qty.cast("double"),
+            "__waste": waste.cast("double"),
+            "__total": (qty + waste).cast("double"),
+            "qty_per_sp": F.when(F.col("is_zinc") == 1, ratio(qty, "finished_qty_planned")).otherwise(
+                ratio("qty_single", "number_children_size")
+            ),
+        }
     )
 
-    def cost(q: Column) -> Column:
-        return rounded(q.cast("double") * price, 0).cast("decimal(22,0)")
+    def cost(q: str) -> Column:
+        return rounded(F.col(q) * F.col("__price"), 0).cast("decimal(18,0)")
 
     calendar = dates.select(F.col("full_date").alias("__day"), "year", F.col("month_num").alias("month"), "quarter")
     return (
-        out.withColumn("qty_per_sp", per_piece)
-        .withColumn("qty_total", qty + waste)
+        out.withColumn("qty_total", qty + waste)
         .withColumn("material_matched", F.coalesce("material_matched", F.lit(False)))
         .withColumn("has_price", F.col("unit_price_vnd").isNotNull())
         .withColumn("npl_name_resolved", F.coalesce("__m_name", "npl_name"))
         .withColumn("npl_code_resolved", F.coalesce("__m_code", "npl_code"))
         .withColumn("is_giay", is_paper(F.col("npl_name")))
-        .withColumn("npl_cost_vnd", cost(qty))
-        .withColumn("npl_cost_with_waste_vnd", cost(qty + waste))
-        .withColumn("waste_cost_per_order_vnd", cost(waste))
+        .withColumn("npl_cost_vnd", cost("__qty"))
+        .withColumn("npl_cost_with_waste_vnd", cost("__total"))
+        .withColumn("waste_cost_per_order_vnd", cost("__waste"))
         .withColumn("waste_cost_vnd", F.col("npl_cost_with_waste_vnd") - F.col("npl_cost_vnd"))
-        .withColumn("npl_cost_per_sp_vnd", rounded(per_piece * price, 4))
+        .withColumn("npl_cost_per_sp_vnd", rounded(F.col("qty_per_sp") * F.col("__price"), 4))
         # calendar: bounded, one row per day
         .join(F.broadcast(calendar), F.col("plan_date") == F.col("__day"), "left")
-        .drop("__day", "__m_name", "__m_code")
+        .drop("__day", "__m_name", "__m_code", "__price", "__qty", "__waste", "__total")
     )
 
 

@@ -135,8 +135,8 @@ def build_marts(
     enriched = views.orders_enriched(t["fact_orders"], customers, dates)
     dated = sales.with_dates(t["fact_orders"], dates, "order_date_key", {"full_date": "order_date"})
     items = t["fact_order_items"]
-    detail = save("fct_order_items_detail", sales.order_items_detail(items, enriched, products))
-    save("fct_order_performance", sales.order_performance(items, enriched))
+    detail = save("fct_order_items_detail", sales.order_items_detail(items, enriched, products, headers=dated))
+    save("fct_order_performance", sales.order_performance(items, enriched, dated))
     revenue = save("fct_revenue", sales.revenue(items, dated, customers, dates))
     save("fct_gross_profit", finance.gross_profit(t["fact_orders"], customers, dates))
     save("dim_customer_segmentation", sales.customer_segmentation(dated, customers, params.as_of))

@@ -68,14 +68,13 @@ def repaired_lines(
     ).filter(F.col("prev_amount").isNotNull())
     joined = base.join(previous, [*keys, "__month"], "left")
 
-    line_price = ratio("total_amount", "quantity")
-    prev_price = ratio("prev_amount", "prev_qty")
+    line_price, prev_price = F.col("line_unit_price"), F.col("prev_month_unit_price")
     comparable = priced & F.col("prev_amount").isNotNull()
     amount, qty = F.col("total_amount").cast(_AMOUNT), F.col("quantity").cast(_QTY)
     spike = comparable & (amount * F.col("prev_qty") > F.lit(SPIKE_FACTOR) * F.col("prev_amount") * qty)
     return (
-        joined.withColumn("line_unit_price", line_price)
-        .withColumn("prev_month_unit_price", prev_price)
+        joined.withColumn("line_unit_price", ratio("total_amount", "quantity"))
+        .withColumn("prev_month_unit_price", ratio("prev_amount", "prev_qty"))
         .withColumn("is_price_spike", F.coalesce(spike, F.lit(False)))
         .withColumn("spike_multiplier", F.when(comparable, line_price / prev_price))
         .withColumn("__price", F.when(F.col("is_price_spike"), prev_price).otherwise(line_price))
@@ -97,17 +96,23 @@ LINE_CUSTOMER = ["customer_code", "customer_name", "price_group_name", "city"]
 
 
 def order_items_detail(
-    items: DataFrame, orders: DataFrame, products: DataFrame | None, product: str = "product_key"
+    items: DataFrame,
+    orders: DataFrame,
+    products: DataFrame | None,
+    product: str = "product_key",
+    headers: DataFrame | None = None,
 ) -> DataFrame:
     """One row per line of a non-cancelled order, with repaired price and price tier.
 
     ``orders`` is the enriched order view. Tier thresholds are exact percentiles
-    of the raw line price over all valid lines, found by a first pass (two numbers).
+    of the raw line price over all valid lines, found by a first pass (two numbers);
+    ``headers`` are the plain orders, which spare that pass the view's joins.
     """
     raw = items.filter((F.col("quantity") > 0) & (F.col("total_amount") > 0)).select(
         "order_id", ratio("total_amount", "quantity").alias("price")
     )
-    valid = raw.join(active_orders(orders).select("order_id"), "order_id", "left_semi")
+    live = active_orders(orders if headers is None else headers)
+    valid = raw.join(live.select("order_id"), "order_id", "left_semi")
     low_p, high_p = PRICE_TIER_PROBS
     limits = percentile_values(valid, "price", {"p33": low_p, "p67": high_p}, bounds=bucket_bounds(raw, "price"))
     p33, p67 = F.lit(limits["p33"]), F.lit(limits["p67"])
@@ -154,9 +159,12 @@ def _adjusted(orders: DataFrame, lines: DataFrame) -> DataFrame:
     )
 
 
-def order_performance(items: DataFrame, orders: DataFrame) -> DataFrame:
-    """One row per order, cancelled ones included: repaired value, margin, fulfilment."""
-    out = _adjusted(orders, repaired_lines(items, orders))
+def order_performance(items: DataFrame, orders: DataFrame, headers: DataFrame | None = None) -> DataFrame:
+    """One row per order, cancelled ones included: repaired value, margin, fulfilment.
+
+    ``headers`` are the orders with their date only; lines then skip the view's joins.
+    """
+    out = _adjusted(orders, repaired_lines(items, orders if headers is None else headers))
     return out.select(
         "order_key", "order_id", "reference_no", "order_date_key", "order_date", "year", "quarter", "month_num",
         "month_name", "is_weekend", "customer_key", "customer_code", "customer_name", "city", "type_client",
