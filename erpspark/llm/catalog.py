@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from erpspark.llm import line_dedup, substring_dedup
+from erpspark.llm import line_dedup, merkle, quality_rules, secret_scan, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -61,3 +61,24 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without the long lines that recur in five documents or more, but for their last holder."""
     out = line_dedup.dedup_lines(documents(spark, sf_dir).select("doc_id", "text"), digest=True)
     return out.select("doc_id", F.col("__n_lines").alias("n_lines"), F.col("__n_dropped").alias("n_dropped"), F.col("__kept").alias("kept_sha256"))
+
+
+@query("op2_quality_rules")
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and verdict per document."""
+    out = quality_rules.judge(documents(spark, sf_dir))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query("op7_secret_scan")
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document."""
+    out = secret_scan.scan(documents(spark, sf_dir).select("doc_id", "text"))
+    counts = [secret_scan.count_kind(F.col("__base"), k).alias(f"n_{k}") for k in ("assign", "access", "hex")]
+    return out.select("doc_id", *counts, F.sha2(secret_scan.listed(F.col("__base")).cast("binary"), 256).alias("base_sha256"), secret_scan.listed(F.col("__spans")).alias("spans"))
+
+
+@query("op9_merkle_fingerprint")
+def op9_merkle_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text."""
+    return merkle.edit_prints(documents(spark, sf_dir))
