@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from erpspark.llm import line_dedup, merkle, quality_rules, secret_scan, substring_dedup
+from erpspark.llm import line_dedup, merkle, packing, quality_rules, secret_scan, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -82,3 +83,9 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_merkle_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and of its edited text."""
     return merkle.edit_prints(documents(spark, sf_dir))
+
+
+@query("op4_best_fit_packing")
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document with its place in a sequence of 4096 tokens."""
+    return packing.pack(packing.pieces(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json")))
