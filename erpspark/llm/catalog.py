@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from erpspark.llm import line_dedup, merkle, packing, quality_rules, secret_scan, substring_dedup
+from erpspark.llm import line_dedup, merkle, packing, quality_pu, quality_rules, secret_scan, substring_dedup
+from erpspark.llm.scratch import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -24,7 +25,7 @@ def query(name: str, check: str | None = None):
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return ship(spark).read.parquet(f"{sf_dir}/documents.parquet")
 
 
 @query(
@@ -89,3 +90,10 @@ def op9_merkle_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document with its place in a sequence of 4096 tokens."""
     return packing.pack(packing.pieces(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json")))
+
+
+@query("op1_pu_quality")
+def op1_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document; labels of the held-out remainder are not looked at."""
+    out = quality_pu.score(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return out.select("doc_id", quality_pu.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")

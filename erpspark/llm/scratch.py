@@ -10,10 +10,28 @@ import atexit
 import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL: list[str] = []
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Give the package to the session's Python workers once, so that they import it wherever they run."""
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        package = Path(__file__).resolve().parents[1]
+        folder = tempfile.mkdtemp(prefix="erpspark-zip-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        with zipfile.ZipFile(f"{folder}/{package.name}.zip", "w") as z:
+            for file in sorted(package.rglob("*.py")):
+                z.write(file, file.relative_to(package.parent))
+        context.addPyFile(f"{folder}/{package.name}.zip")
+        _SHIPPED.add(context.applicationId)
+    return spark
 
 
 def shared_dir(spark: SparkSession) -> str:
