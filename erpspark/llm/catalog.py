@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from erpspark.llm import line_dedup, merkle, packing, quality_pu, quality_rules, secret_scan, substring_dedup
+from erpspark.llm import html_main, line_dedup, merkle, packing, quality_pu, quality_rules, secret_scan, substring_dedup
 from erpspark.llm.scratch import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,3 +97,10 @@ def op1_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document; labels of the held-out remainder are not looked at."""
     out = quality_pu.score(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return out.select("doc_id", quality_pu.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+@query("op10_main_text")
+def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = ship(spark).read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
+    return html_main.extract(pages).select("page_id", "url", F.col("__text").alias("text"), F.col("__n_chars").alias("n_chars"))
