@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from erpspark.llm import html_main, line_dedup, merkle, packing, quality_pu, quality_rules, secret_scan, substring_dedup
+from erpspark.llm import html_main, jaccard_join, line_dedup, merkle, packing, quality_pu, quality_rules, secret_scan, substring_dedup
 from erpspark.llm.scratch import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -104,3 +104,21 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     pages = ship(spark).read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
     return html_main.extract(pages).select("page_id", "url", F.col("__text").alias("text"), F.col("__n_chars").alias("n_chars"))
+
+
+@query(
+    "op3_jaccard_groups",
+    r"""
+    WITH RECURSIVE words AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \t\n\x0B\f\r]+'), lambda w: w <> '') AS w FROM documents),
+    grams AS (SELECT DISTINCT doc_id, s FROM (SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')] ELSE list_transform(generate_series(1, len(w) - 3), lambda i: array_to_string(w[i : i + 3], ' ')) END) AS s FROM words)),
+    sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+    common AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM grams x JOIN grams y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY x.doc_id, y.doc_id),
+    links AS (SELECT a, b FROM common JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b WHERE 100 * c >= 85 * (p.n + q.n - c)),
+    reach AS (SELECT doc_id, doc_id AS other FROM words UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.other)
+    SELECT w.doc_id, coalesce(s.n, 0) AS n_shingles, r.component_id
+    FROM words w LEFT JOIN sizes s USING (doc_id) JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) r USING (doc_id)
+    """,
+)
+def op3_jaccard_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Group of every document under links of similarity 0.85 of 4-word shingles."""
+    return jaccard_join.groups(documents(spark, sf_dir), n=4, percent=85).select("doc_id", "n_shingles", "component_id")
