@@ -161,3 +161,19 @@ def listed(found: Column) -> Column:
 
 def count_kind(found: Column, kind: str) -> Column:
     return F.size(F.filter(found, lambda s: s["kind"] == KINDS.index(kind))).cast("long")
+
+
+def redact(docs: DataFrame, reach: int = REACH) -> DataFrame:
+    """The documents with `[kind]` in place of every finding; findings that overlap become one place."""
+    marked = docs.withColumn("__was_null", F.col("text").isNull())
+    names = F.array(*(F.lit(f"[{k}]") for k in KINDS))
+
+    def step(acc: Column, s: Column) -> Column:
+        before = F.substring(F.col("__text"), (acc["at"] + 1).cast("int"), F.greatest(s["start"] - acc["at"], F.lit(0)).cast("int"))
+        grown = F.when(s["start"] >= acc["at"], F.concat(acc["out"], F.array(before, F.get(names, s["kind"])))).otherwise(acc["out"])
+        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), grown.alias("out"))
+
+    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<string>").alias("out"))
+    tail = lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(F.col("__text"), (acc["at"] + 1).cast("int"), F.length(F.col("__text"))))
+    text = F.when(F.col("__was_null"), F.lit(None).cast("string")).when(F.size("__spans") == 0, F.col("__text")).otherwise(F.aggregate("__spans", start, step, tail))
+    return scan(marked, reach).withColumn("text", text).select(*(F.col(f"`{c}`") for c in docs.columns))
