@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from erpspark.llm import html_main, jaccard_join, line_dedup, merkle, packing, quality_pu, quality_rules, secret_scan, substring_dedup
+from erpspark.llm import byte_bpe, html_main, jaccard_join, line_dedup, merkle, packing, quality_pu, quality_rules, secret_scan, substring_dedup
 from erpspark.llm.scratch import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -122,3 +122,12 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_jaccard_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Group of every document under links of similarity 0.85 of 4-word shingles."""
     return jaccard_join.groups(documents(spark, sf_dir), n=4, percent=85).select("doc_id", "n_shingles", "component_id")
+
+
+@query("op6_byte_bpe")
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document, and the bytes that they decode to."""
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    out = byte_bpe.decode(byte_bpe.encode(documents(spark, sf_dir).select("doc_id", "text"), path), path)
+    n_tokens = F.size(byte_bpe.id_list(F.col("__ids"))).cast("long").alias("n_tokens")
+    return out.select("doc_id", n_tokens, F.sha2(F.col("__ids").cast("binary"), 256).alias("ids_sha256"), F.sha2("__bytes", 256).alias("decoded_sha256"))
