@@ -325,6 +325,32 @@ query(
 )(lambda e: anonymize(e.customers, "customer_key", "customer", ["company"], ["debt_limit"]))
 
 
+@query(
+    "core_anonymize_partial",
+    "customer_key:l customer_code:s company:s debt_limit:d is_anonymized:b",
+    """SELECT customer_key, customer_code, 'Khach Hang ' || CASE WHEN n < 1000 THEN lpad(n::varchar, 3, '0') ELSE n::varchar END AS company,
+         debt_limit * 0.1 AS debt_limit, true AS is_anonymized
+       FROM (SELECT *, row_number() OVER (ORDER BY customer_key % 3 = 0, customer_key) AS n FROM r_customers)""",
+)
+def _anonymize_partial(e: Erp):
+    # two thirds are done; the rest came later, as rows without the flag
+    late = F.col("customer_key") % 3 == 0
+    done = anonymize(e.customers.filter(~late), "customer_key", "customer", ["company"], ["debt_limit"])
+    rows = done.unionByName(e.customers.filter(late).withColumn("is_anonymized", F.lit(None).cast("boolean")))
+    return anonymize(rows, "customer_key", "customer", ["company"], ["debt_limit"])
+
+
+@query(
+    "core_upsert_missing_column",
+    "customer_key:l customer_id:l customer_code:s company:s debt_limit:d",
+    """SELECT row_number() OVER (ORDER BY userid) AS customer_key, userid AS customer_id, 'new' AS customer_code, company, debt_limit FROM r_raw_clients""",
+)
+def _upsert_missing(e: Erp):
+    # the second batch has neither company nor debt_limit: both keep what is stored
+    first = core.load_dim("dim_customer", None, e.raw_clients)
+    return core.load_dim("dim_customer", first, e.raw_clients.drop("company", "debt_limit").withColumn("code_client", F.lit("new")))
+
+
 @query(
     "core_date_dim",
     "date_key:l full_date:t day_of_week:l day_name:s week_of_year:l quarter:l is_weekend:b is_holiday:b shipments:l",

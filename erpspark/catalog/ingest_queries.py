@@ -97,9 +97,7 @@ def _partitioned(e: Erp):
     path = f"{work_dir(e.spark)}/lots-{uuid.uuid4().hex}"
     sinks.with_year(e.lots.select("stock_id", "import_date_key", "quantity"), "import_date_key").write.partitionBy("year").parquet(path)
     first, last = 19970101, 19991231
-    rows = e.spark.read.parquet(path).filter(
-        F.col("import_date_key").between(first, last) & F.col("year").between(first // 10000, last // 10000)
-    )
+    rows = sinks.between(e.spark.read.parquet(path), "import_date_key", first, last)
     return rows.groupBy("year").agg(F.count(F.lit(1)).alias("lots"), F.sum("quantity").alias("quantity"))
 
 
@@ -109,13 +107,15 @@ LATEST_SQL = "SELECT user_id, max(event_id) AS event_id, arg_max(event_type, (ts
 
 @query("ingest_stream_latest", LATEST, LATEST_SQL)
 def _stream(e: Erp):
-    """Events streamed in micro-batches, newest row per user kept."""
+    """Events streamed in four micro-batches, newest row per user kept; the stream is then started once more."""
     root = f"{work_dir(e.spark)}/stream-{uuid.uuid4().hex}"
-    schema = e.table("events").schema
-    final = stream_to_folder(
-        e.spark, e.sf_dir, schema, f"{root}/checkpoint", f"{root}/table", "user_id", ["ts", "event_id"], pattern="events.parquet"
-    )
-    return e.spark.read.parquet(final)
+    events = e.table("events")
+    events.repartition(4, "event_id").write.parquet(f"{root}/files")
+    for _ in range(2):
+        out = stream_to_folder(
+            e.spark, f"{root}/files", events.schema, f"{root}/checkpoint", f"{root}/table", "user_id", ["ts", "event_id"], pattern="*.parquet", max_files=1, buckets=4
+        )
+    return out
 
 
 query("ingest_batch_latest", LATEST, LATEST_SQL)(

@@ -112,7 +112,8 @@ query(
         FROM (SELECT customer_key, revenue, cum AS cumulative_revenue, {pct('cum', 'total', 4)} AS cumulative_pct
               FROM (SELECT customer_key, revenue, sum(revenue) OVER (ORDER BY revenue DESC RANGE UNBOUNDED PRECEDING) AS cum,
                       sum(revenue) OVER () AS total
-                    FROM (SELECT customer_key, sum(revenue) AS revenue FROM m_revenue GROUP BY customer_key HAVING sum(m_revenue.revenue) > 0)))""",
+                    FROM (SELECT customer_key, sum(revenue) AS revenue FROM m_revenue GROUP BY customer_key HAVING sum(m_revenue.revenue) > 0))
+              UNION ALL SELECT customer_key, sum(revenue), NULL, NULL FROM m_revenue GROUP BY customer_key HAVING NOT coalesce(sum(m_revenue.revenue) > 0, false))""",
 )(lambda e: kpi.pareto_customers(e.revenue))
 
 # --- finance ----------------------------------------------------------------------

@@ -266,8 +266,8 @@ SEGMENTS = (
 )
 query("mart_customer_segmentation", SEGMENTS, "SELECT * FROM m_segmentation")(lambda e: e.segmentation)
 query("mart_customer_segmentation_scaled", SEGMENTS, "SELECT * FROM m_segmentation")(
-    # the boundary form that large customer bases take, forced here
-    lambda e: sales.customer_segmentation(e.dated_orders, e.customers, e.params.as_of, single_task_rows=0)
+    # kept under its old name: one form serves all sizes
+    lambda e: sales.customer_segmentation(e.dated_orders, e.customers, e.params.as_of)
 )
 
 part(

@@ -132,7 +132,7 @@ query(
 )(
     lambda e: ntile_columns(
         e.table("orders"), 7, {"by_price": (F.col("o_totalprice"), True), "by_customer": (F.col("o_custkey"), False)},
-        "o_orderkey", single_task_rows=0,
+        "o_orderkey",
     )
 )
 query(

@@ -5,27 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-NULL_SPREAD = 64
-
 
 def lookup(df: DataFrame, dim: DataFrame, key: str, dim_key: str | None = None) -> DataFrame:
     """Left join ``dim`` (unique on its key) onto ``df``.
 
     No broadcast hint: Spark broadcasts the dimension when its measured size is
-    under the session threshold and otherwise shuffles. For the shuffle case the
-    rows without a key, which can never match, are spread by a salt instead of
-    meeting in one task; hot non-NULL keys are left to the AQE skew join.
+    under the session threshold and otherwise shuffles. In a shuffle, rows with a hot
+    key or without a key lie in partitions that adaptive execution splits for this
+    join, as only the left side repeats them; the dimension's part is then read by each split.
     """
-    dim_key = dim_key or key
-    # two other columns are enough to spread rows and keep the rest prunable
-    spread = [c for c in df.columns if c != key][:2] or [key]
-    salt = F.when(
-        F.col(key).isNull(), F.pmod(F.xxhash64(*spread), F.lit(NULL_SPREAD)) + 1
-    ).otherwise(F.lit(0))
-    left = df.withColumn("__salt", salt)
-    right = dim.withColumnRenamed(dim_key, "__dim_key").withColumn("__dim_salt", F.lit(0).cast("bigint"))
-    cond = (left[key] == right["__dim_key"]) & (left["__salt"] == right["__dim_salt"])
-    return left.join(right, cond, "left").drop("__dim_key", "__dim_salt", "__salt")
+    right = dim.withColumnRenamed(dim_key or key, "__dim_key")
+    return df.join(right, df[key] == right["__dim_key"], "left").drop("__dim_key")
 
 
 def resolve_key(

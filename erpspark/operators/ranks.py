@@ -13,37 +13,62 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_BUCKETS = 512
-# up to this many rows one task sorts them comfortably, so the built-in window is used
-SINGLE_TASK_ROWS = 1_000_000
+
+def bucket_count(df: DataFrame) -> int:
+    """As many buckets as the session shuffles into, so that they grow with the job."""
+    return max(4, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
 def bucket_bounds(df: DataFrame, value: str, buckets: int | None = None) -> list[float]:
-    """Approximate quantiles used as cut points (at most MAX_BUCKETS driver values)."""
-    if buckets is None:
-        buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    buckets = max(4, min(buckets, MAX_BUCKETS))
+    """Approximate quantiles used as cut points (one driver value per bucket)."""
+    buckets = buckets or bucket_count(df)
     probs = [i / buckets for i in range(1, buckets)]
     found = df.select(F.col(value).cast("double").alias("v")).approxQuantile("v", probs, 1 / (4 * buckets))
     return sorted({float(b) for b in found if math.isfinite(b)})
 
 
 def bucket_of(value: str, bounds: list[float]) -> Column:
-    """Index of the bucket a value falls in, as a balanced CASE tree."""
+    """Index of the bucket a value falls in."""
+    return bucket_among(F.col(value).cast("double"), F.array(*[F.lit(b) for b in bounds]).cast("array<double>"), len(bounds))
+
 
-    def tree(lo: int, hi: int) -> str:
-        if lo == hi:
-            return str(lo)
-        mid = (lo + hi) // 2
-        return f"CASE WHEN cast({value} as double) <= {bounds[mid]!r}D THEN {tree(lo, mid)} ELSE {tree(mid + 1, hi)} END"
+def bucket_among(value: Column, bounds: Column, size: int) -> Column:
+    """Number of ascending bounds below the value: first among every step-th bound, then inside that step."""
+    step = max(1, math.isqrt(size))
+    below = lambda part: F.size(F.filter(part, lambda b: b < value))
+    coarse = F.filter(bounds, lambda b, i: (i % step == step - 1) & (b < value))
+    start = F.size(coarse) * step
+    return (start + below(F.slice(bounds, start + 1, step))).cast("int")
 
-    return F.expr(tree(0, len(bounds))).cast("int")
 
+def _bucketed(counts: DataFrame, by: list[str], value: str, bounds: list[float] | None) -> DataFrame:
+    """Counts with the bucket of their value.
 
-def _with_start_rank(counts: DataFrame, by: list[str], value: str, bounds: list[float]) -> tuple[DataFrame, DataFrame]:
+    Groups are cut by bounds of their own where they hold more than one bucket's share of the rows (so there are
+    fewer such groups than buckets); all others are one bucket.
+    """
+    if not by:
+        return counts.withColumn("__b", bucket_of(value, bucket_bounds(counts, value) if bounds is None else bounds))
+    buckets = bucket_count(counts)
+    held = counts.groupBy(*by).agg(F.count(F.lit(1)).alias("__d"))
+    total = held.agg(F.sum("__d")).first()[0] or 0
+    hot = held.where(F.col("__d") > max(1000, total // buckets)).drop("__d")
+    same = lambda left, right: [left[c].eqNullSafe(right[f"__h_{c}"]) for c in by]
+    named = hot.withColumnsRenamed({c: f"__h_{c}" for c in by})
+    probs = [i / buckets for i in range(1, buckets)]
+    keys = [f"__h_{c}" for c in by]
+    own = counts.join(F.broadcast(named), same(counts, named)).groupBy(*keys).agg(
+        F.percentile_approx(F.col(value).cast("double"), probs, 4 * buckets).alias("__bounds")
+    )
+    cut = counts.join(F.broadcast(own), same(counts, own), "left")
+    bucket = F.when(F.col("__bounds").isNull(), F.lit(0)).otherwise(bucket_among(F.col(value).cast("double"), F.col("__bounds"), buckets - 1))
+    return cut.withColumn("__b", bucket).drop("__bounds", *keys)
+
+
+def _with_start_rank(counts: DataFrame, by: list[str], value: str, bounds: list[float] | None) -> tuple[DataFrame, DataFrame]:
     """Counts with their bucket, and per (group, bucket) the rank it starts at."""
-    cut = counts.withColumn("__b", bucket_of(value, bounds))
-    # at most MAX_BUCKETS rows per group reach these windows
+    cut = _bucketed(counts, by, value, bounds)
+    # one row per bucket of a group reaches these windows
     order = Window.partitionBy(*by).orderBy("__b")
     starts = (
         cut.groupBy(*by, "__b")
@@ -57,7 +82,7 @@ def _with_start_rank(counts: DataFrame, by: list[str], value: str, bounds: list[
     return cut, starts
 
 
-def _values_at(counts: DataFrame, by: list[str], value: str, wanted, bounds: list[float]) -> DataFrame:
+def _values_at(counts: DataFrame, by: list[str], value: str, wanted, bounds: list[float] | None = None) -> DataFrame:
     """(group, value) rows that cover a wanted 0-based rank, with __start, __n, __total.
 
     ``wanted`` maps the total-count column to a list of rank columns.
@@ -97,8 +122,6 @@ def exact_percentiles(
     by = by or []
     rows = df.filter(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("__v"))
     counts = rows.groupBy(*by, "__v").agg(F.count(F.lit(1)).alias("__n"))
-    if bounds is None:
-        bounds = bucket_bounds(rows, "__v")
 
     def wanted(total: Column) -> list[Column]:
         out = []
@@ -147,28 +170,20 @@ def ntile_columns(
     tiles: int,
     metrics: dict[str, tuple[Column, bool]],
     key: str,
-    single_task_rows: int = SINGLE_TASK_ROWS,
 ) -> DataFrame:
     """Add one ntile column per entry ``name -> (metric, descending)``.
 
     NULLs sort as the largest value (last ascending, first descending) and ties
-    are broken by ``key``. Small inputs use the built-in window; larger ones find
-    the tiles - 1 boundary rows exactly and compare every row against them, so
-    no task ever sorts all rows.
+    are broken by ``key``, a whole-number column. The tiles - 1 boundary rows are found
+    exactly and every row is compared against them, so no task ever sorts all rows.
     """
     low, high = F.lit("-1e32").cast("decimal(38,4)"), F.lit("1e32").cast("decimal(38,4)")
     frame = df
     for name, (metric, desc) in metrics.items():
         m = metric.cast("decimal(38,4)")
         frame = frame.withColumn(f"__{name}", F.coalesce(-m, low) if desc else F.coalesce(m, high))
-    frame = frame.withColumn("__key", F.coalesce(F.col(key).cast("bigint"), F.lit(2**63 - 1))).persist()
+    frame = frame.withColumn("__key", F.coalesce(F.col(key).cast("bigint"), F.lit(2**63 - 1)))
     total = frame.count()
-
-    if total <= single_task_rows:
-        for name in metrics:
-            frame = frame.withColumn(name, F.ntile(tiles).over(Window.orderBy(f"__{name}", "__key")))
-        return frame.drop("__key", *[f"__{n}" for n in metrics])
-
     starts = _tile_starts(total, tiles)
     if not starts:
         return frame.withColumns({n: F.lit(1) for n in metrics}).drop("__key", *[f"__{n}" for n in metrics])
@@ -181,7 +196,7 @@ def ntile_columns(
     counts = melted.groupBy("metric", "v").agg(F.count(F.lit(1)).alias("__n"))
     # at most tiles - 1 boundary values per metric
     base = _values_at(
-        counts, ["metric"], "v", lambda _: [F.lit(s) for s in starts], bucket_bounds(counts, "v")
+        counts, ["metric"], "v", lambda _: [F.lit(s) for s in starts]
     ).select("metric", "v", F.col("__start").alias("base"))
     # among the rows tied on a boundary value, the key at the remaining rank
     tied = (
@@ -194,7 +209,6 @@ def ntile_columns(
         ["metric", "v", "base"],
         "__key",
         lambda _: [F.lit(s) - F.col("base") for s in starts],
-        bucket_bounds(tied, "__key"),
     ).collect()
     for name in metrics:
         tile = F.lit(1)

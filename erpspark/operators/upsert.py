@@ -18,7 +18,7 @@ def latest_per_key(df: DataFrame, key: str, order: list[str]) -> DataFrame:
 
 
 def dense_positions(df: DataFrame, order: str, name: str = "position", after: int = 0) -> DataFrame:
-    """Number rows after+1, after+2, ... by a unique numeric column.
+    """Number rows after+1, after+2, ... by a unique numeric column (buckets compare it as a double).
 
     Rows are cut into ordered buckets, each bucket is numbered on its own and
     shifted by the number of rows before it.
@@ -63,16 +63,12 @@ def upsert_scd1(target: DataFrame, source: DataFrame, natural: str, surrogate: s
             out.append(F.when(F.col("__in_src"), F.col(f"__s_{c}")).otherwise(F.col(c)).alias(c))
         else:
             out.append(F.col(c))
-    merged = merged.select(*out)
+    merged = merged.select(*out).withColumn(surrogate, F.col(surrogate).cast("bigint")).select(*target.columns)
     top = target.agg(F.max(surrogate)).first()[0] or 0
-    fresh = dense_positions(
-        source.select(natural).join(target.select(natural), natural, "left_anti"), natural, "__new_key", top
-    )
-    return (
-        lookup(merged, fresh, natural)
-        .withColumn(surrogate, F.coalesce(F.col(surrogate).cast("bigint"), F.col("__new_key")))
-        .select(*target.columns)
-    )
+    known, fresh = merged.where(F.col(surrogate).isNotNull()), merged.where(F.col(surrogate).isNull())
+    # the rows of the join without a surrogate are the new ones
+    numbered = dense_positions(fresh.drop(surrogate), natural, surrogate, top)
+    return known.unionByName(numbered)
 
 
 def update_where_changed(

@@ -152,12 +152,14 @@ def undelivered_backlog(performance: DataFrame) -> DataFrame:
 
 
 def pareto_customers(revenue: DataFrame, a_share: float = 80.0, b_share: float = 95.0) -> DataFrame:
-    """ABC class per customer by cumulative revenue share, largest first."""
-    per = revenue.groupBy("customer_key").agg(F.sum("revenue").alias("revenue")).filter(F.col("revenue") > 0)
+    """ABC class per customer by cumulative revenue share, largest first; customers without revenue are class C, with no share."""
+    every = revenue.groupBy("customer_key").agg(F.sum("revenue").alias("revenue"))
+    per = every.filter(F.col("revenue") > 0)
+    rest = every.filter(F.coalesce(F.col("revenue") <= 0, F.lit(True)))
     total = per.agg(F.sum("revenue")).scalar()
     out = cumulative_desc(per, "revenue", "cumulative_revenue")
     share = ratio("cumulative_revenue", total) * 100
-    out = out.withColumn("cumulative_pct", rounded(share, 4))
+    out = out.withColumn("cumulative_pct", rounded(share, 4)).unionByName(rest, allowMissingColumns=True)
     return out.withColumn(
         "abc_class",
         F.when(F.col("cumulative_pct") <= a_share, "A").when(F.col("cumulative_pct") <= b_share, "B").otherwise("C"),

@@ -257,8 +257,10 @@ def order_product_lines(orders: DataFrame, items: DataFrame, products: DataFrame
 
 def allocate_to_orders(plan_cost: DataFrame, order_lines: DataFrame) -> DataFrame:
     """Share plan costs out to the listed orders: by quantity, else revenue, else equally."""
+    listed = F.col("source_order_ids").isNotNull() & (F.col("source_order_ids") != "")
+    # plan totals are looked up by product, so lines without one take no part
     per_plan = (
-        plan_cost.filter(F.col("source_order_ids").isNotNull() & (F.col("source_order_ids") != ""))
+        plan_cost.filter(listed & F.col("finished_product_id").isNotNull())
         .groupBy("productions_plan_id", "source_order_ids", "finished_product_id")
         .agg(
             F.count_distinct("productions_plan_items_id").alias("bom_item_count"),
@@ -268,9 +270,15 @@ def allocate_to_orders(plan_cost: DataFrame, order_lines: DataFrame) -> DataFram
             F.count_if(~F.col("has_price")).alias("items_without_price"),
         )
     )
-    pairs = per_plan.withColumn("__id", F.explode(F.split("source_order_ids", ","))).withColumn(
-        "order_id", F.trim("__id").try_cast("bigint")
-    ).drop("__id").filter(F.col("order_id").isNotNull())
+    # empty entries are skipped; an entry that is no number stops the build, as its cost would go to other orders
+    entry = F.trim("__id")
+    fault = F.raise_error(F.concat(F.lit("not an order id: "), entry)).cast("bigint")
+    pairs = (
+        per_plan.withColumn("__id", F.explode(F.split("source_order_ids", ",")))
+        .filter(entry != "")
+        .withColumn("order_id", F.coalesce(entry.try_cast("bigint"), fault))
+        .drop("__id")
+    )
     joined = pairs.join(order_lines, ["order_id", "finished_product_id"], "left")
     # a plan and product own one list, so these groups are as long as one list cell
     plan = Window.partitionBy("productions_plan_id", "finished_product_id")

@@ -239,7 +239,7 @@ def _segment(r: Column, f: Column, m: Column) -> Column:
     )
 
 
-def rfm_scores(orders: DataFrame, as_of: date, single_task_rows: int | None = None) -> DataFrame:
+def rfm_scores(orders: DataFrame, as_of: date) -> DataFrame:
     """Recency, frequency and monetary quintiles per customer with orders."""
     per_customer = (
         active_orders(orders)
@@ -253,7 +253,6 @@ def rfm_scores(orders: DataFrame, as_of: date, single_task_rows: int | None = No
         )
         .withColumn("days_since_last_order", F.datediff(F.lit(as_of), "last_order_date"))
     )
-    extra = {} if single_task_rows is None else {"single_task_rows": single_task_rows}
     scored = ntile_columns(
         per_customer,
         5,
@@ -263,22 +262,19 @@ def rfm_scores(orders: DataFrame, as_of: date, single_task_rows: int | None = No
             "monetary_score": (F.col("monetary"), False),
         },
         "customer_key",
-        **extra,
     )
     r, f, m = F.col("recency_score"), F.col("frequency_score"), F.col("monetary_score")
     return scored.withColumn("rfm_total_score", r + f + m).withColumn("rfm_segment", _segment(r, f, m))
 
 
-def customer_segmentation(
-    orders: DataFrame, customers: DataFrame, as_of: date, single_task_rows: int | None = None
-) -> DataFrame:
+def customer_segmentation(orders: DataFrame, customers: DataFrame, as_of: date) -> DataFrame:
     """One row per customer; those without orders are Inactive with the lowest scores."""
     who = views.customers(customers).select(
         "customer_key", "customer_code", F.col("fullname").alias("customer_name"), "company", "city", "type_client",
         "price_group_name", "vip_rating", "is_active", F.col("datecreated").alias("customer_since"), "debt_limit",
         "debt_limit_day",
     )
-    out = who.join(rfm_scores(orders, as_of, single_task_rows), "customer_key", "left")
+    out = who.join(rfm_scores(orders, as_of), "customer_key", "left")
     defaults = {"total_orders": 0, "recency_score": 1, "frequency_score": 1, "monetary_score": 1, "rfm_total_score": 3}
     for c, v in defaults.items():
         out = out.withColumn(c, F.coalesce(F.col(c), F.lit(v)))

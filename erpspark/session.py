@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
 
+_LOCAL: list[str] = []
+
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
@@ -48,11 +52,14 @@ def work_dir(spark: SparkSession) -> str:
     """Shared folder for written intermediate tables.
 
     Clusters name it in ``spark.checkpoint.dir``; only where that is unset
-    (tests, local runs) a local folder is created.
+    (tests, local runs) one local folder is made for the process, and removed when it ends.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return shared.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    return tempfile.mkdtemp(prefix="erpspark-")
+    if not _LOCAL:
+        _LOCAL.append(tempfile.mkdtemp(prefix="erpspark-"))
+        atexit.register(shutil.rmtree, _LOCAL[0], ignore_errors=True)
+    return _LOCAL[0]

@@ -34,12 +34,12 @@ def rename_reserved(df: DataFrame) -> DataFrame:
 
 
 def integral_columns(df: DataFrame) -> list[str]:
-    """Float columns whose every value is whole (and that have a value): one aggregate."""
+    """Float columns whose every value is whole and fits a bigint (and that have a value): one aggregate."""
     floats = [f.name for f in df.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
     if not floats:
         return []
     row = df.agg(
-        *[F.max((F.col(c) % 1 != 0).cast("int")).alias(c) for c in floats],
+        *[F.max(((F.col(f"`{c}`") % 1 != 0) | (F.abs(F.col(f"`{c}`")) >= 2.0**63)).cast("int")).alias(c) for c in floats],
     ).first()
     return [c for c in floats if row[c] == 0]
 

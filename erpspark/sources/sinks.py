@@ -13,20 +13,32 @@ def with_year(df: DataFrame, date_key: str) -> DataFrame:
 
 def read_between(spark: SparkSession, table: str, date_key: str, first: int, last: int) -> DataFrame:
     """Rows of a date-key range. The key alone prunes nothing, so the year range goes with it."""
-    return spark.table(table).filter(
-        F.col(date_key).between(first, last) & F.col("year").between(first // 10000, last // 10000)
-    )
+    return between(spark.table(table), date_key, first, last)
+
+
+def between(rows: DataFrame, date_key: str, first: int, last: int) -> DataFrame:
+    """The same for rows that are partitioned by ``year``."""
+    return rows.filter(F.col(date_key).between(first, last) & F.col("year").between(first // 10000, last // 10000))
 
 
 def exists(spark: SparkSession, table: str) -> bool:
-    return spark.catalog.tableExists(table)
+    """Whether the table is there; a swap that broke off between its two steps is finished first."""
+    if spark.catalog.tableExists(table):
+        return True
+    staged = f"{table}__next"
+    if not spark.catalog.tableExists(staged):
+        return False
+    # a staged table is in the catalog only once it is written whole, and the old one is dropped only after that
+    spark.sql(f"ALTER TABLE {staged} RENAME TO {table}")
+    return True
 
 
 def replace_table(df: DataFrame, table: str) -> None:
     """Write the whole (unpartitioned) table next to the old one, then swap the names,
-    so that the frame may read the table it replaces."""
+    so that the frame may read the table it replaces. At any moment one whole copy is in the catalog."""
     spark = df.sparkSession
     staged = f"{table}__next"
+    exists(spark, table)  # a staged copy that is the only one becomes the table
     spark.sql(f"DROP TABLE IF EXISTS {staged}")
     df.write.format("parquet").saveAsTable(staged)
     spark.sql(f"DROP TABLE IF EXISTS {table}")

@@ -52,13 +52,22 @@ class Source:
     location: str
     fmt: str = "parquet"
     options: dict | None = None
+    # per table: numeric key, its lowest and highest value, and the number of tasks that read it
+    parts: dict[str, tuple[str, int, int, int]] | None = None
+
+    def jdbc_options(self, table: str) -> dict[str, str]:
+        """Reader options of a database table, with key ranges where the registry names them."""
+        out = {"url": self.location, "dbtable": table, "fetchsize": "50000"} | (self.options or {})
+        if self.parts and table in self.parts:
+            key, lower, upper, parts = self.parts[table]
+            out |= {"partitionColumn": key, "lowerBound": str(lower), "upperBound": str(upper), "numPartitions": str(parts)}
+        return out
 
     def read(self, table: str) -> DataFrame:
         """Whole table; Spark prunes columns and pushes filters into the scan."""
-        reader = self.spark.read.format(self.fmt).options(**(self.options or {}))
         if self.fmt == "jdbc":
-            return reader.option("url", self.location).option("dbtable", table).load()
-        return reader.load(f"{self.location.rstrip('/')}/{table}")
+            return self.spark.read.format("jdbc").options(**self.jdbc_options(table)).load()
+        return self.spark.read.format(self.fmt).options(**(self.options or {})).load(f"{self.location.rstrip('/')}/{table}")
 
 
 def read_jdbc(

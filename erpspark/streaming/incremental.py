@@ -10,6 +10,7 @@ from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from erpspark.operators.upsert import latest_per_key, new_rows
@@ -19,15 +20,23 @@ Writer = Callable[[DataFrame, int], None]
 
 
 def insert_writer(table: str, natural: str, order: list[str], now: datetime) -> Writer:
-    """Append rows whose key the table does not hold yet."""
+    """Append rows whose key the table does not hold yet. New columns are added to the table; a stored
+    column that cannot hold the new values is widened, which rewrites the table."""
 
     def write(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
-        rows = cleaning.add_audit(cleaning.rename_reserved(cleaning.fix_zero_dates(batch)), now)
-        rows = latest_per_key(rows, natural, order)
+        rows = latest_per_key(cleaning.clean_batch(batch, now), natural, order)
         if sinks.exists(spark, table):
             stored = spark.table(table)
-            rows = new_rows(stored, rows, natural).select(*stored.columns)
+            aligned, notes = cleaning.align_to(new_rows(stored, rows, natural), stored.schema)
+            if "widened" in notes.values():
+                sinks.replace_table(cleaning.evolve(stored, aligned), table)
+                return
+            added = [f for f in aligned.schema if f.name not in stored.columns]
+            if added:
+                spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in added)})")
+            layout = spark.table(table)
+            rows = layout.limit(0).unionByName(aligned, allowMissingColumns=True).select(*layout.columns)
         sinks.append_rows(rows, table)
 
     return write
@@ -38,9 +47,9 @@ def upsert_writer(table: str, natural: str, order: list[str], now: datetime) ->
 
     def write(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
-        rows = cleaning.add_audit(cleaning.rename_reserved(cleaning.fix_zero_dates(batch)), now)
+        rows = cleaning.clean_batch(batch, now)
         if sinks.exists(spark, table):
-            rows = spark.table(table).unionByName(rows, allowMissingColumns=True)
+            rows = cleaning.evolve(spark.table(table), rows)
         sinks.replace_table(latest_per_key(rows, natural, order), table)
 
     return write
@@ -61,9 +70,15 @@ def stream_incremental(
     Micro-batches run in a session of their own; naming the ``target`` table makes
     this session drop its file listing of it.
     """
+    batches = []
+
+    def counted(batch: DataFrame, batch_id: int) -> None:
+        write(batch, batch_id)
+        batches.append(batch_id)
+
     stream = spark.readStream.format(fmt).schema(schema).option("maxFilesPerTrigger", max_files).load(source_dir)
     query = (
-        stream.writeStream.foreachBatch(write)
+        stream.writeStream.foreachBatch(counted)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -71,7 +86,7 @@ def stream_incremental(
     query.awaitTermination()
     if target and sinks.exists(spark, target):
         spark.catalog.refreshTable(target)
-    return len(query.recentProgress)
+    return len(batches)
 
 
 def stream_to_folder(
@@ -84,23 +99,29 @@ def stream_to_folder(
     order: list[str],
     fmt: str = "parquet",
     pattern: str = "*",
-) -> str:
-    """Keep the newest row per key as files: each micro-batch writes the merged table to
-    its own folder, named by the batch number, so a replayed batch rewrites the same folder.
+    max_files: int = 1000,
+    buckets: int = 64,
+) -> DataFrame:
+    """Keep the newest row per key in a folder that is partitioned by a hash of the key.
 
-    Returns the folder of the last batch.
+    A micro-batch merges and rewrites only the buckets that it touches, by way of a staged copy, so a
+    replayed batch changes nothing. ``buckets`` must stay the same for a folder; take more for
+    larger tables. Returns the table, also when no file is new.
     """
+    rows = T.StructType([*schema.fields, T.StructField("bucket", T.IntegerType())])
+    spark.createDataFrame([], rows).write.mode("ignore").partitionBy("bucket").parquet(target)
 
-    def folder(batch_id: int) -> str:
-        return f"{target}/batch={batch_id}"
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        rows = batch
-        if batch_id > 0:
-            rows = batch.sparkSession.read.parquet(folder(batch_id - 1)).unionByName(batch)
-        latest_per_key(rows, natural, order).write.mode("overwrite").parquet(folder(batch_id))
-
-    stream = spark.readStream.format(fmt).schema(schema).option("pathGlobFilter", pattern).load(source_dir)
+    def write(batch: DataFrame, _: int) -> None:
+        session = batch.sparkSession
+        new = batch.withColumn("bucket", F.pmod(F.xxhash64(natural), F.lit(buckets)).cast("int"))
+        touched = [r.bucket for r in new.select("bucket").distinct().collect()]
+        old = session.read.schema(rows).parquet(target).where(F.col("bucket").isin(touched))
+        staged = f"{target}__next"
+        latest_per_key(old.unionByName(new), natural, order).write.mode("overwrite").parquet(staged)
+        merged = session.read.schema(rows).parquet(staged)
+        merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(target)
+
+    stream = spark.readStream.format(fmt).schema(schema).option("pathGlobFilter", pattern).option("maxFilesPerTrigger", max_files).load(source_dir)
     query = (
         stream.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
@@ -108,4 +129,4 @@ def stream_to_folder(
         .start()
     )
     query.awaitTermination()
-    return folder(query.lastProgress["batchId"])
+    return spark.read.schema(rows).parquet(target).drop("bucket")

@@ -39,7 +39,7 @@ def test_scaled_ntile_equals_builtin(spark, n):
     # a third of all rows share one value; some are NULL
     rows = [(i, 1 if i % 3 == 0 else rng.choice([None, 2, 3, i])) for i in range(n)]
     df = spark.createDataFrame(rows, "k bigint, v bigint")
-    got = ntile_columns(df, 5, {"up": (F.col("v"), False), "down": (F.col("v"), True)}, "k", single_task_rows=0)
+    got = ntile_columns(df, 5, {"up": (F.col("v"), False), "down": (F.col("v"), True)}, "k")
     want = df.select(
         "k", "v",
         F.ntile(5).over(Window.orderBy(F.col("v").asc_nulls_last(), "k")).alias("up"),

@@ -121,8 +121,46 @@ def test_stream_gives_the_batch_result_also_on_replay(spark, database, tmp_path)
     stream_incremental(spark, src, first.schema, str(tmp_path / "c4"), insert, target=f"{db}.ins")
     assert rows(spark.table(f"{db}.up"), "id", "v", "seq") == want
     assert rows(spark.table(f"{db}.ins"), "id", "v", "seq") == want
-    final = stream_to_folder(spark, src, first.schema, str(tmp_path / "c5"), str(tmp_path / "t"), "id", order)
-    assert rows(spark.read.parquet(final), "id", "seq") == [(1, 2), (2, 1), (3, 1)]
+    for _ in range(2):  # the second run finds no new file
+        final = stream_to_folder(spark, src, first.schema, str(tmp_path / "c5"), str(tmp_path / "t"), "id", order, max_files=1, buckets=2)
+        assert rows(final, "id", "seq") == [(1, 2), (2, 1), (3, 1)]
+
+
+def test_stream_takes_new_columns_and_wider_values(spark, database, tmp_path):
+    db, src = database("evolve"), str(tmp_path / "in")
+    ddl = "id bigint, v double, extra string"
+    schema = frame(spark, ddl, []).schema
+    write = insert_writer(f"{db}.t", "id", ["id"], NOW)
+    for batch in ([(1, 1.0, None)], [(2, 2.5, "x")]):
+        frame(spark, ddl, batch).coalesce(1).write.mode("append").parquet(src)
+        stream_incremental(spark, src, schema, str(tmp_path / "c"), write, target=f"{db}.t")
+    assert rows(spark.table(f"{db}.t"), "id", "v", "extra") == [(1, 1.0, None), (2, 2.5, "x")]
+
+
+def test_swap_that_broke_off_is_finished(spark, database):
+    db = database("swap")
+    first, second = (frame(spark, "id bigint", [(i,)]) for i in (1, 2))
+    sinks.replace_table(first, f"{db}.t")
+    # killed between the two steps: the old table is dropped, the new one not yet renamed
+    second.write.saveAsTable(f"{db}.t__next")
+    spark.sql(f"DROP TABLE {db}.t")
+    assert sinks.exists(spark, f"{db}.t") and rows(spark.table(f"{db}.t"), "id") == [(2,)]
+    # killed before the first step: the old table counts, and the left copy is replaced
+    first.write.saveAsTable(f"{db}.t__next")
+    sinks.replace_table(spark.table(f"{db}.t").selectExpr("id + 10 AS id"), f"{db}.t")
+    assert rows(spark.table(f"{db}.t"), "id") == [(12,)] and not spark.catalog.tableExists(f"{db}.t__next")
+
+
+def test_values_beyond_bigint_stay_double(spark):
+    df = frame(spark, "a double, b double", [(1e20, 1.0), (2.0, None)])
+    assert [t for _, t in cleaning.whole_floats_to_int(df).dtypes] == ["double", "bigint"]
+
+
+def test_jdbc_reads_by_key_ranges(spark):
+    source = tables.Source(spark, "jdbc:x", "jdbc", {"user": "u"}, {"tbl_orders": ("id", 1, 900, 8)})
+    options = source.jdbc_options("tbl_orders")
+    assert (options["partitionColumn"], options["lowerBound"], options["upperBound"], options["numPartitions"]) == ("id", "1", "900", "8")
+    assert options["fetchsize"] == "50000" and "partitionColumn" not in source.jdbc_options("tblclients")
 
 
 def test_null_rate_levels(spark):
