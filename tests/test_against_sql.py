@@ -7,10 +7,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from erpspark.catalog import all_checks, all_queries
 
 DATA = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events".split()
-QUERIES, CHECKS = entry.queries(), entry.oracle_sql()
+QUERIES, CHECKS = all_queries(), all_checks()
 
 
 @pytest.fixture(scope="module")
@@ -34,6 +35,7 @@ def _rows(names, rows):
 
 def test_every_query_has_a_check():
     assert set(QUERIES) == set(CHECKS)
+    assert set(QUERIES) <= set(entry.queries()) and set(CHECKS) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
