@@ -11,7 +11,7 @@ from erpspark.catalog.quality_queries import marks
 from erpspark.catalog.registry import Erp, query
 from erpspark.operators.upsert import latest_per_key
 from erpspark.session import work_dir
-from erpspark.sources import cleaning, sinks, state, tables
+from erpspark.sources import cleaning, pipeline, sinks, state, tables
 from erpspark.streaming.incremental import stream_to_folder
 
 EVENT = "event_id:l user_id:l event_type:s value:d props:s"
@@ -121,3 +121,41 @@ def _stream(e: Erp):
 query("ingest_batch_latest", LATEST, LATEST_SQL)(
     lambda e: latest_per_key(e.table("events"), "user_id", ["ts", "event_id"])
 )
+
+
+@query(
+    "ingest_pipeline_replay",
+    "load:l table_name:s status:s row_count:l mark:s kept:l",
+    """WITH o AS (SELECT o_orderkey AS id, o_orderdate + INTERVAL 30 YEAR AS date FROM orders),
+         first AS (SELECT max(date) AS m, count(*) AS n FROM o WHERE date < TIMESTAMP '2028-01-01'),
+         loads AS (
+           SELECT 1 AS load, 'tbl_orders' AS table_name, n AS row_count, strftime(m, '%Y-%m-%d %H:%M:%S') AS mark FROM first
+           UNION ALL SELECT 1, 'tbl_delivery_items', count(*), cast(max(l_orderkey) AS varchar) FROM lineitem WHERE l_orderkey < 500
+           UNION ALL SELECT l, 'tblclients', count(*), '2024-02-01 00:00:00' FROM customer, (VALUES (1), (2)) v(l) GROUP BY l
+           UNION ALL SELECT 2, 'tbl_orders', count(*), strftime(max(date), '%Y-%m-%d %H:%M:%S') FROM o, first WHERE date >= m
+           UNION ALL SELECT 2, 'tbl_delivery_items', count(*), cast(max(l_orderkey) AS varchar) FROM lineitem WHERE l_orderkey >= (SELECT max(l_orderkey) FROM lineitem WHERE l_orderkey < 500))
+       SELECT load, table_name, 'ok' AS status, row_count, mark, row_count AS kept FROM loads""",
+)
+def _replay(e: Erp):
+    """Two runs of the extract pipeline over folders of source tables; the second starts at the marks of the first."""
+    spark, root = e.spark, f"{work_dir(e.spark)}/extract-{uuid.uuid4().hex}"
+    database = f"extract_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{root}/{database}'")
+    orders = e.table("orders").select(F.col("o_orderkey").alias("id"), F.expr("o_orderdate + INTERVAL 30 YEARS").alias("date"))
+    lines = e.table("lineitem").select(F.col("l_orderkey").alias("id"), "l_quantity")
+    names = ["tbl_orders", "tbl_delivery_items", "tblclients"]
+    out = None
+    for load, (seen, known) in enumerate([(F.col("date") < F.lit("2028-01-01").cast("timestamp_ntz"), F.col("id") < 500), (F.lit(True), F.lit(True))], 1):
+        source = f"{root}/source-{load}"
+        for name, rows in zip(names, (orders.filter(seen), lines.filter(known), e.table("customer")), strict=True):
+            rows.write.parquet(f"{source}/{name}")
+        status = pipeline.run_extract(tables.Source(spark, source), database, NOW, only=names)
+        # the raw tables are replaced by the next load: their rows are counted now
+        kept = [(name, spark.table(f"{database}.{name}").count()) for name in names]
+        raw = spark.createDataFrame(kept, "table_name string, kept bigint")
+        part = status.join(raw, "table_name").select(
+            F.lit(load).cast("bigint").alias("load"), "table_name", "status", F.col("rows").alias("row_count"), F.col("note").alias("mark"), "kept"
+        )
+        out = part if out is None else out.unionByName(part)
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    return out
