@@ -70,6 +70,10 @@ CORE_ROLES = {
     "dim_staff": "staff", "fact_orders": "orders", "fact_order_items": "order_items", "fact_delivery_items": "deliveries",
     "fact_warehouse_stock": "lots", "fact_purchase_order_items": "po_lines", "fact_production_order_items": "production_items",
     "fact_production_stages": "stages",
+    # one row of the dimension or fact per row of these
+    "dim_date": "dates", "dim_department": "raw_departments", "dim_price_group": "raw_groups",
+    "dim_warehouse_location": "raw_locations", "dim_manufacture": "raw_manufactures",
+    "fact_purchase_product_items": "raw_receipt_items", "fact_transfer_warehouse": "raw_transfers",
 }
 query(
     "dq_min_rows",
@@ -82,7 +86,10 @@ query(
 
 LIMITS = [
     ("fact_orders", "customer_key", 0.5, None),
+    ("fact_orders", "employee_key", 5.0, None),
     ("fact_order_items", "product_key", 0.5, None),
+    ("fact_delivery_items", "product_key", 0.5, None),
+    ("fact_production_order_items", "product_key", 0.5, None),
     ("fact_warehouse_stock", "product_key", 2.0, 60.0),  # raw materials carry no product key
     ("fact_warehouse_stock", "location_key", 1.0, None),
     ("fact_purchase_order_items", "product_key", 20.0, 14.78),
@@ -108,6 +115,8 @@ MARTS = {
     "fct_stock_snapshot": ("snapshot", "m_snapshot"), "fct_inbound_outbound": ("moves", "m_moves"),
     "fct_production_npl_cost": ("plan_cost", "m_plan_cost"), "fct_order_npl_cost": ("order_cost", "m_order_cost"),
     "dim_material_mart": ("material_mart", "m_material"),
+    "fct_order_items_detail": ("detail", "k_detail"), "fct_production_efficiency": ("efficiency", "m_efficiency"),
+    "dim_customer_mart": ("customers", "k_customers"), "dim_product_mart": ("product_mart", "m_product"),
 }
 query(
     "dq_mart_volume",
