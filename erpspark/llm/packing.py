@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,16 +32,16 @@ SEQUENCE = 4096
 END_ID = 1
 #: Pieces of a group, in the mean.
 GROUP_PIECES = 50_000
-#: Words and word parts that a worker process remembers; when full, it starts again.
-CACHE_WORDS = 250_000
+#: Words, and parts of words, that a worker process remembers (some 250 MB); frequent ones come early and stay.
+CACHE_WORDS = 700_000
 BLOCK_BYTES = 2 << 20
 
 # Words of these characters only are cut into parts here; all others go to the tokenizer whole. Letters are
 # those Latin ones whose lower case is one letter, so that cutting and lower-casing agree with any Unicode version.
 _LATIN = "A-Za-zÀ-ÖØ-öø-įı-ňŊ-ſ"
-_PLAIN = re.compile(rf"[!-~{_LATIN}]+")
+_PLAIN = re.compile(rf"[!-~{_LATIN}]+").fullmatch
 # The parts that the tokenizer's own pattern gives for such words, in lower case.
-_PARTS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LATIN}]+|[0-9]|[^0-9{_LATIN}]+")
+_PARTS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LATIN}]+|[0-9]|[^0-9{_LATIN}]+").findall
 
 
 class WordEncoder:
@@ -54,37 +55,37 @@ class WordEncoder:
         self.parts: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, unknown: list[bytes]) -> None:
-        if len(self.words) > CACHE_WORDS:
-            self.words.clear()
-        if len(self.parts) > CACHE_WORDS:
-            self.parts.clear()
-        plain, other = {}, []
+        plain, other, known = [], [], self.parts
         for raw in unknown:
             word = raw.decode()
-            if _PLAIN.fullmatch(word) and "<|" not in word:
-                plain[raw] = _PARTS.findall(word.lower())
+            if _PLAIN(word) and "<|" not in word:
+                plain.append((raw, _PARTS(word.lower())))
             else:
                 other.append(raw)
-        missing = list({p for parts in plain.values() for p in parts if p not in self.parts})
-        self.parts.update(zip(missing, self._encode(missing), strict=True))
-        for raw, parts in plain.items():
-            self.words[raw] = b"".join([self.parts[p] for p in parts])
-        self.words.update(zip(other, self._encode([w.decode() for w in other]), strict=True))
-
-    def texts(self, texts: list[bytes]) -> Iterator[bytes]:
+        missing = list({p for _, parts in plain for p in parts if p not in known})
+        known.update(zip(missing, self._encode(missing), strict=True))
+        learned = self.words
+        for raw, parts in plain:
+            learned[raw] = known[parts[0]] if len(parts) == 1 else b"".join([known[p] for p in parts])
+        learned.update(zip(other, self._encode([w.decode() for w in other]), strict=True))
+        if len(known) > CACHE_WORDS:
+            for p in missing:
+                del known[p]
+
+    def texts(self, texts: list[bytes]) -> list[bytes]:
         """Ids of every text; unknown words of all of them are learned together first."""
         split = [t.split() for t in texts]
         known = self.words
-        unknown = list({w for words in split for w in words if w not in known})
-        if len(known) + len(unknown) > CACHE_WORDS:
-            known.clear()
-            unknown = list({w for words in split for w in words})
+        unknown = [w for w in set().union(*split) if w not in known]
         self._learn(unknown)
-        for words in split:
-            yield b"".join([known[w] for w in words])
+        out = [b"".join([known[w] for w in words]) for words in split]
+        if len(known) > CACHE_WORDS:
+            for w in unknown:
+                del known[w]
+        return out
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
