@@ -7,8 +7,9 @@ stands one, a segment that may differ by one element stands two. Sets are groupe
 
 - A set is indexed with all segments of its band. Segments that may differ by one are indexed with their
   one-deletion neighbourhood too (the segment without each of its elements).
-- A set looks for smaller ones of its own band and of the bands below that similar sets can lie in. It uses
-  only as many segments as it needs, those with the most elements, as small ones are shared by chance.
+- A set looks for smaller ones of its own band and of the bands below that similar sets can lie in. Spark counts
+  the sets per segment; a segment that no other set has costs nothing, and a set with enough of those has no
+  similar smaller set at all. Otherwise it uses as many more as it needs, those that the fewest sets have.
 - Per band the number of exact and of one-deletion segments is the cheapest by a cost of written rows and of
   chance matches: one-deletion segments for small sets, exact ones for large.
 
@@ -41,7 +42,7 @@ PERCENT = 80
 #: Upper size of a band over its lower size.
 BAND_RATIO = 1.5
 #: Written rows that one chance match is worth.
-CHANCE_COST = 200
+CHANCE_COST = 40
 #: Compare-with-one rounds before all remaining pairs of different components are compared.
 ROUNDS = 3
 #: A further round is made only where that leaves more pairs than so many per remaining row.
@@ -79,7 +80,7 @@ def allocation(band: int, percent: int) -> tuple[int, int]:
     if need == 1:
         return 1, 0
     best = None
-    for loose in range(0, (need + 1) // 2 + 1):
+    for loose in range(min((need + 1) // 2, 64) + 1):  # more never pay
         exact = max(0, need - 2 * loose)
         if exact:  # some to choose from, so that small segments can be left out
             exact += max(1, need // 20)
@@ -107,8 +108,8 @@ def _signature(band: int, segment: np.ndarray, total: np.ndarray, count: np.ndar
     return mix(total + mix((segment + (band << 32)).astype(np.uint64)) + mix(count.astype(np.uint64) + np.uint64(0x1000)))
 
 
-def signatures(tokens: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Signatures of a set and their flags (1: index, 2: probe)."""
+def signatures(tokens: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """Per band: signatures of a set, their segments (`place` codes: band, what the set needs there, segment) and whether they are its index (1) or not (0)."""
     size = len(tokens)
     own = band_of(size)
     for band in range(own, -1, -1):
@@ -117,19 +118,14 @@ def signatures(tokens: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, n
             break
         at, total, count, exact, m = _segments(tokens, band, percent)
         need = difference(percent, size + min(high, size)) + 1
-        # the fullest segments first, until they can stand one spoilt element more than there can be
-        order = np.argsort(-count, kind="stable")
-        stands = np.cumsum(np.where(order >= exact, 2, 1))
-        probe = np.zeros(m, bool)
-        probe[order[: int(np.searchsorted(stands, need)) + 1]] = True
-        flags = np.where(probe, 2, 0) + (1 if band == own else 0)
-        used = flags > 0
         segment = np.arange(m)
-        yield _signature(band, segment[used], total[used], count[used]), flags[used]
-        loose = used[at] & (at >= exact)
+        sig, place = _signature(band, segment, total, count), segment
+        loose = at >= exact
         if loose.any():
-            place = at[loose]
-            yield _signature(band, place, total[place] - mix(tokens[loose]), count[place] - 1), flags[place]
+            near = at[loose]
+            sig = np.concatenate((sig, _signature(band, near, total[near] - mix(tokens[loose]), count[near] - 1)))
+            place = np.concatenate((place, near))
+        yield sig, place + ((band << 52) | (need << 26)), int(band == own)
 
 
 def ngrams(words: np.ndarray, n: int) -> np.ndarray:
@@ -154,7 +150,7 @@ def _blocks(column: pa.Array, n: int) -> Iterator[tuple[int, np.ndarray]]:
 
 
 _SIGNED = pa.schema([("doc_id", pa.int64()), ("mark", pa.int64()), ("n", pa.int64()), ("set", pa.int64())])
-_ROW = pa.schema([("sig", pa.int64()), ("item", pa.int64())])
+_ROW = pa.schema([("sig", pa.int64()), ("place", pa.int64()), ("item", pa.int64())])
 
 
 def _sign(n: int):
@@ -172,20 +168,27 @@ def _emit(n: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()  # copies within the partition write their rows once
         for batch in batches:
-            sigs, items, held = [], [], 0
+            rows, held = ([], [], []), 0
+
+            def flush(rows=rows):
+                out = pa.record_batch([pa.array(np.concatenate(x)) for x in rows], schema=_ROW)
+                for x in rows:
+                    x.clear()
+                return out
+
             for _, tokens in _blocks(batch.column(0), n):
                 if not len(tokens) or (own := set_id(tokens)) in seen:
                     continue
                 seen.add(own)
-                for sig, flags in signatures(tokens, percent):
-                    sigs.append(sig)
-                    items.append(own | flags.astype(np.uint64))
+                for sig, place, indexed in signatures(tokens, percent):
+                    for x, values in zip(rows, (sig.view(np.int64), place, np.full(len(sig), own | np.uint64(indexed)).view(np.int64)), strict=True):
+                        x.append(values)
                     held += len(sig)
                 if held > 200_000:
-                    yield pa.record_batch([pa.array(np.concatenate(x).view(np.int64)) for x in (sigs, items)], schema=_ROW)
-                    sigs, items, held = [], [], 0
+                    yield flush()
+                    held = 0
             if held:
-                yield pa.record_batch([pa.array(np.concatenate(x).view(np.int64)) for x in (sigs, items)], schema=_ROW)
+                yield flush()
 
     return run
 
@@ -226,32 +229,48 @@ def _starred(rows: DataFrame, seed: int) -> DataFrame:
     return rows.join(centres, "sig").where(F.col("label") != F.col("c.label")).select(*_pairs("set", "c.set")).distinct()
 
 
+def _meeting(rows: DataFrame) -> DataFrame:
+    """Rows whose signature an index row of another set has, or that are such index rows: with `others`, the index rows of other sets."""
+    bucket = Window.partitionBy("sig")
+    indexed = F.col("item").bitwiseAND(F.lit(1))
+    once = rows.withColumn("copy", F.lag("item").over(bucket.orderBy("item"))).where(F.col("copy").isNull() | (F.col("copy") != F.col("item")))
+    counted = once.withColumns({"held": F.count(F.lit(1)).over(bucket), "index": F.sum(indexed).over(bucket)}).where("held > 1 and index > 0")
+    return counted.select("sig", "place", F.col("item").bitwiseAND(F.lit(~3)).alias("set"), (indexed == 1).alias("indexed"), (F.col("index") - indexed).alias("others"))
+
+
+def _probing(met: DataFrame, percent: int) -> DataFrame:
+    """The meeting rows with `probe`: whether the set uses them to look for others. Buckets that no set uses are left out."""
+    bands = [allocation(b, percent) for b in range(64)]
+    exact, whole = (F.array(*[F.lit(x) for x in v]) for v in ([e for e, _ in bands], [e + 2 * k for e, k in bands]))
+    band, need, segment = (F.col("place").bitwiseAND(F.lit(mask)) for mask in (0x7FF << 52, 0x3FFFFFF << 26, 0x3FFFFFF))
+    band, need = F.shiftright(band, 52).cast("int"), F.shiftright(need, 26)
+    stands = F.when(segment >= F.get(exact, band), F.lit(2)).otherwise(F.lit(1))
+    costs = met.where("others > 0").groupBy("set", "place").agg(F.sum("others").alias("cost"))
+    costs = costs.select("set", "place", "cost", band.alias("band"), need.alias("need"), stands.alias("stands"))
+    one = Window.partitionBy("set", "band")  # the segments of one set
+    before = F.coalesce(F.sum("stands").over(one.orderBy("cost", "place").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    # what its segments without any other set cannot stand
+    left = F.col("need") - (F.get(whole, F.col("band")) - F.sum("stands").over(one))
+    used = costs.withColumns({"before": before, "left": left}).where("before < left").select("set", "place", F.lit(True).alias("used"))
+    flagged = met.join(used, ["set", "place"], "left").select("sig", "set", "indexed", (F.coalesce("used", F.lit(False)) & (F.col("others") > 0)).alias("probe"))
+    live = flagged.groupBy("sig").agg(F.bool_or("probe").alias("live")).where("live").select("sig")
+    return flagged.join(live, "sig")
+
+
 def similar_sets(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
-    """Signed documents (doc_id, mark, n, set) and the links (a, b) that span the components of the sets."""
+    """Signed documents (doc_id, mark, n, set) and edges (a, b) that span the components of the sets."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("mark"), F.col("text").cast("string").alias("text"))
     signed = stored(texts.mapInArrow(_sign(n), "doc_id long, mark long, n long, set long"), "signed")
-    rows = texts.where("doc_id is not null").select("text").mapInArrow(_emit(n, percent), "sig long, item long")
-    bucket = Window.partitionBy("sig")
-    member = F.col("item").bitwiseAND(F.lit(~3))
-    met = (
-        rows.withColumns(
-            {
-                "low": F.min(member).over(bucket), "high": F.max(member).over(bucket), "flags": F.bit_or("item").over(bucket),
-                "copy": F.lag("item").over(bucket.orderBy("item")),
-            }
-        )
-        .where((F.col("low") != F.col("high")) & (F.col("flags").bitwiseAND(F.lit(3)) == 3) & (F.col("copy").isNull() | (F.col("copy") != F.col("item"))))
-        .select("sig", member.alias("set"), (F.col("item").bitwiseAND(F.lit(2)) > 0).alias("probe"), (F.col("item").bitwiseAND(F.lit(1)) > 0).alias("indexed"))
-    )
-    met = stored(met, "met")
+    rows = texts.where("doc_id is not null").select("text").mapInArrow(_emit(n, percent), "sig long, place long, item long")
+    met = stored(_probing(stored(_meeting(rows), "meeting"), percent), "met")
     wanted = signed.join(met.select("set").distinct(), "set", "left_semi").groupBy("set").agg(F.min(F.struct("doc_id", "mark")).alias("d"))
     wanted = wanted.select("set", F.col("d.doc_id").alias("doc_id"), F.col("d.mark").alias("mark"))
     held = stored(texts.join(wanted, ["doc_id", "mark"]).select("set", "text").dropDuplicates(["set"]), "candidate-texts")
 
     left = met.withColumn("label", F.col("set"))
-    links, tried = None, None
+    links, tried = None, None  # links: those found so far, as edges to the smallest set of each component
     for turn in range(ROUNDS + 1):
-        sums = left.groupBy("sig").agg(F.count(F.lit(1)).alias("k")).agg(F.sum("k"), F.sum(F.col("k") * (F.col("k") - 1) / 2)).first()
+        sums = left.groupBy("sig").agg(F.count(F.lit(1)).alias("k"), F.count_if("probe").alias("p")).agg(F.sum("k"), F.sum(F.col("k") * F.col("p"))).first()
         last = turn == ROUNDS or not sums[0] or (turn > 0 and sums[1] <= PAIRS_PER_ROW * sums[0])
         if last:
             other = left.select("sig", F.col("set").alias("set_b"), F.col("label").alias("label_b"), F.col("indexed").alias("indexed_b"))
@@ -263,10 +282,10 @@ def similar_sets(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) -> tup
         pairs = stored(pairs, "pairs")
         tried = pairs if tried is None else tried.unionByName(pairs)
         found = stored(_links(pairs, held, n, percent), "links")
-        links = found if links is None else links.unionByName(found)
         if last:
-            return signed, links
-        labels = stored(components(links), "labels")
+            return signed, found if links is None else links.unionByName(found)
+        labels = stored(components(found if links is None else links.unionByName(found)), "labels")
+        links = labels.where("node != label").select(F.col("label").alias("a"), F.col("node").alias("b"))
         named = met.join(labels.withColumnRenamed("node", "set"), "set", "left").withColumn("label", F.coalesce("label", "set"))
         mixed = named.groupBy("sig").agg(F.min("label").alias("l"), F.max("label").alias("h")).where("l < h").select("sig")
         left = stored(named.join(mixed, "sig"), "left-over")
