@@ -1,10 +1,15 @@
 """Main text of web pages: parts of the site's template are found by counting and cut away.
 
-Every element outside the article is hashed with all that it contains. Spark counts on how many pages of
-a host each hash occurs (partial counts per task, so one large host stays spread); hashes on many pages of
-the host are template. Elements that their name or class already marks as menu, footer, advert and so on are
-dropped without asking; the rest of what lies outside the article is dropped where its hash is template. Inside
-an article nothing is dropped for recurring. Pages without an article keep what is neither marked nor template.
+Elements are hashed with all that they contain. Spark counts beside how many different texts of a host each
+hash occurs (partial counts per task, so one large host stays spread); hashes with many are template. The text
+beside an element is what is left of the page without it, or of the article for an element in an article, so copies
+of a page or of an article are one text, and their own body is no template however many there are.
+
+- Elements that their name or a word of their class, id or role marks as menu, footer, advert and so on are dropped
+  without asking. Outside articles every other element is dropped where its hash is template.
+- Inside an article or main, boxes (div, section, list and so on) are dropped where their hash is template;
+  single paragraphs, headings and inline elements there are text of the article, also where they recur.
+- What is left stays, inside articles and beside them.
 
 Defined results: null or empty html gives an empty text; unclosed, crossed and cut-off tags are read as browsers
 do in the main (a paragraph ends where a block begins, end tags close what is open inside); a page without a
@@ -25,7 +30,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from erpspark.llm.scratch import stored
 from erpspark.llm.words import text_bytes
 
-#: A subtree is template when it occurs on so many pages of its host, and on this share of them.
+#: A subtree is template when it occurs beside so many different texts of its host, and this share of its pages.
 MIN_PAGES = 8
 MIN_SHARE = 0.01
 
@@ -41,6 +46,8 @@ DROPPED = frozenset(
 MAIN = frozenset(["article", "main"])
 #: An opening tag of these ends an open element of the same group.
 _ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
+#: Inside an article these hold its text; other elements there are boxes.
+_TEXT = INLINE | frozenset("p h1 h2 h3 h4 h5 h6 hgroup li dt dd tr td th thead tbody tfoot caption col colgroup pre blockquote figcaption address article main".split())
 _STOPS = frozenset("ul ol dl table select body article main div section td th".split())
 
 #: Words of a class, id or role that mark a part which is not main text.
@@ -65,41 +72,42 @@ def _marked(attributes: str) -> bool:
 class _Open:
     """An open element: its name, what it is, and what it has contained so far."""
 
-    __slots__ = ("name", "dropped", "inside", "number", "parts")
+    __slots__ = ("name", "dropped", "article", "number", "parts")
 
-    def __init__(self, name: str, dropped: bool, inside: bool, number: int):
-        self.name, self.dropped, self.inside, self.number, self.parts = name, dropped, inside, number, [name]
+    def __init__(self, name: str, dropped: bool, article: int, number: int):
+        self.name, self.dropped, self.article, self.number, self.parts = name, dropped, article, number, [name]
 
 
-def parse(text: str) -> tuple[list[tuple[str, bool, tuple[int, ...]]], list[int], list[bool]]:
-    """Blocks (text, whether inside an article, numbers of the undecided elements around it), hash per numbered element, and which of them are undecided.
+def parse(text: str) -> tuple[list[tuple[str, int, tuple[int, ...]]], list[int], list[bool], list[int]]:
+    """Blocks (text, the outermost article around it or -1, numbers of the elements around it), and per number the hash, whether it is undecided, and its article.
 
-    Numbered are the elements outside articles; undecided those of them that no name or class marks.
+    Numbered are the elements outside articles, and inside those that counting decides on; undecided are those that no name marks.
     """
-    blocks: list[tuple[str, bool, tuple[int, ...]]] = []
+    blocks: list[tuple[str, int, tuple[int, ...]]] = []
     hashes: list[int] = []
     undecided: list[bool] = []
-    stack = [_Open("#page", False, False, -1)]
+    articles: list[int] = []
+    n_articles = 0
+    stack = [_Open("#page", False, -1, -1)]
     run: list[str] = []
 
     def flush() -> None:
         words = " ".join("".join(run).split())
         run.clear()
         if words and not stack[-1].dropped:
-            blocks.append((words, stack[-1].inside, tuple(e.number for e in stack if e.number >= 0)))
+            blocks.append((words, stack[-1].article, tuple(e.number for e in stack if e.number >= 0)))
 
     def close() -> None:
         element = stack.pop()
+        h = xxhash.xxh3_64_intdigest("\x00".join(element.parts))
         if element.number >= 0:
-            h = xxhash.xxh3_64_intdigest("\x00".join(element.parts))
             hashes[element.number] = h
-            stack[-1].parts.append(f"\x01{h}")
+        stack[-1].parts.append(f"\x01{h}")
 
     def add(raw: str) -> None:
         said = html_lib.unescape(raw)
         run.append(said)
-        if not stack[-1].inside:
-            stack[-1].parts.append(" ".join(said.split()))
+        stack[-1].parts.append(" ".join(said.split()))
 
     at, size = 0, len(text)
     while at < size:
@@ -142,17 +150,24 @@ def parse(text: str) -> tuple[list[tuple[str, bool, tuple[int, ...]]], list[int]
             if stack[i].name in _STOPS:
                 break
         above = stack[-1]
-        marked = name not in ("html", "body", *MAIN) and (name in DROPPED or _marked(match[3]) or (not above.inside and name in _HEADERS))
-        if name in MAIN and _marked(match[3]) and above.inside:
-            marked = True  # a comment set as an article inside the article
+        article = above.article
+        word = name not in ("html", "body") and _marked(match[3])
+        if article >= 0:
+            marked = name in DROPPED or word
+            numbered = name not in _TEXT
+        else:
+            marked = name in DROPPED or (name not in MAIN and (word or name in _HEADERS))
+            numbered = name not in MAIN
         dropped = above.dropped or marked
-        inside = above.inside or (name in MAIN and not dropped)
+        if name in MAIN and article < 0 and not dropped:
+            article, n_articles = n_articles, n_articles + 1
         number = -1
-        if not inside and not (name in ("html", "body", "head")):
+        if numbered and name not in ("html", "body", "head"):
             number = len(hashes)
             hashes.append(0)
             undecided.append(not dropped)
-        stack.append(_Open(name, dropped, inside, number))
+            articles.append(article)
+        stack.append(_Open(name, dropped, article, number))
         if name in RAW:
             end = re.compile(rf"</{name}(?=[\s/>])", re.I).search(text, at)
             stop = end.start() if end else size
@@ -163,15 +178,12 @@ def parse(text: str) -> tuple[list[tuple[str, bool, tuple[int, ...]]], list[int]
     flush()
     while len(stack) > 1:
         close()
-    return blocks, hashes, undecided
+    return blocks, hashes, undecided, articles
 
 
 def main_text(text: str, template: frozenset[int] | set[int] = frozenset()) -> str:
     """The blocks that stay, joined by a line break."""
-    blocks, hashes, undecided = parse(text)
-    has_article = any(inside for _, inside, _ in blocks)
-    if has_article:
-        return "\n".join(words for words, inside, _ in blocks if inside)
+    blocks, hashes, undecided, _ = parse(text)
     gone = {i for i, h in enumerate(hashes) if undecided[i] and h in template}
     return "\n".join(words for words, _, around in blocks if gone.isdisjoint(around))
 
@@ -182,23 +194,40 @@ def host(url: Column) -> Column:
     return F.lower(found)
 
 
-_SUBTREES = pa.schema([("page", pa.int64()), ("host", pa.string()), ("hash", pa.int64()), ("asked", pa.bool_())])
+_SUBTREES = pa.schema([("page", pa.int64()), ("host", pa.string()), ("hash", pa.int64()), ("beside", pa.int64()), ("asked", pa.bool_())])
+
+
+def subtrees(text: str) -> dict[int, tuple[int, bool]]:
+    """Per subtree hash of a page the hash of the text beside it, and whether any of its elements is undecided."""
+    blocks, hashes, undecided, articles = parse(text)
+    inner, whole = [0] * len(hashes), {-1: 0}
+    for words, article, around in blocks:
+        h = xxhash.xxh3_64_intdigest(words)
+        for n in around:
+            inner[n] += h
+        for scope in {-1, article}:
+            whole[scope] = whole.get(scope, 0) + h
+    held: dict[int, dict[int, int]] = {}  # hash -> article -> what its elements there hold
+    asked: dict[int, bool] = {}
+    for h, own, article, open_question in zip(hashes, inner, articles, undecided, strict=True):
+        scopes = held.setdefault(h, {})
+        scopes[article] = scopes.get(article, 0) + own
+        asked[h] = asked.get(h, False) or open_question
+    return {h: (sum(whole.get(a, 0) - own for a, own in scopes.items()) & 0xFFFFFFFFFFFFFFFF, asked[h]) for h, scopes in held.items()}
 
 
 def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        pages, hosts, found, asked = [], [], [], []
+        pages, hosts, found, beside, asked = [], [], [], [], []
         for page, site, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), text_bytes(batch.column(2)), strict=True):
-            blocks, hashes, undecided = parse(raw.decode())
-            by_hash: dict[int, bool] = {}
-            needed = not any(inside for _, inside, _ in blocks)
-            for h, open_question in zip(hashes, undecided, strict=True):
-                by_hash[h] = by_hash.get(h, False) or (needed and open_question)
+            by_hash = subtrees(raw.decode())
             pages += [page] * len(by_hash)
             hosts += [site] * len(by_hash)
             found += by_hash
-            asked += by_hash.values()
-        yield pa.record_batch([pa.array(pages, pa.int64()), pa.array(hosts, pa.string()), pa.array(np.array(found, np.uint64).view(np.int64)), pa.array(asked, pa.bool_())], schema=_SUBTREES)
+            beside += (b for b, _ in by_hash.values())
+            asked += (a for _, a in by_hash.values())
+        hashes = (pa.array(np.array(h, np.uint64).view(np.int64)) for h in (found, beside))
+        yield pa.record_batch([pa.array(pages, pa.int64()), pa.array(hosts, pa.string()), *hashes, pa.array(asked, pa.bool_())], schema=_SUBTREES)
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -213,10 +242,13 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def template_parts(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
     """`page` (hash of the row) and `cut`: the template hashes among its undecided elements, for pages that have any. `pages` has page, host, html."""
-    each = stored(pages.select("page", "host", "html").mapInArrow(_subtrees, "page long, host string, hash long, asked boolean"), "subtrees")
+    each = stored(pages.select("page", "host", "html").mapInArrow(_subtrees, "page long, host string, hash long, beside long, asked boolean"), "subtrees")
+    # copies are one text: they go before anything is counted
+    texts = each.groupBy("host", "hash", "beside").agg(F.bool_or("asked").alias("asked"))
+    counts = texts.groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n"), F.bool_or("asked").alias("asked"))
     sizes = pages.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-    counts = each.groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n"), F.bool_or("asked").alias("asked")).where((F.col("n") >= min_pages) & F.col("asked"))
-    template = stored(counts.join(sizes, "host").where(F.col("n") >= min_share * F.col("pages")).select("host", "hash"), "template")
+    common = counts.where((F.col("n") >= min_pages) & F.col("asked")).join(sizes, "host")
+    template = stored(common.where(F.col("n") >= min_share * F.col("pages")).select("host", "hash"), "template")
     hits = each.where("asked").join(template, ["host", "hash"])
     return stored(hits.groupBy("page").agg(F.collect_set("hash").alias("cut")), "template-hits")
 

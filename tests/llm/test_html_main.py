@@ -56,3 +56,18 @@ def test_edges(spark):
     assert Counter((r.page_id, r["__text"]) for r in got) == Counter([(i, t) for i, (_, t) in enumerate(cases)] + [(None, ""), (3, cases[3][1])])
     assert all(r["__n_chars"] == len(r["__text"]) for r in got)
     assert run(spark, []) == []
+
+
+def texts(spark, rows):
+    return {r.page_id: r["__text"] for r in run(spark, rows)}
+
+
+def test_counting_inside_and_beside_articles(spark):
+    box = "<div class='x1'><p>Tell your friends</p></div>"
+    boxed = [(i, "http://a.example.com", f"<article><p>Licence line</p><p>Own {i}</p>{box}</article>") for i in range(9)]
+    few = [(20 + i, "http://b.example.com", f"<article><p>Own {i}</p>{box}</article>") for i in range(7)]
+    beside = [(40, "http://c.example.com", "<article><p>Teaser</p></article><div><p>Main text of the page</p></div>")]
+    got = texts(spark, boxed + few + beside)
+    assert all(got[i] == f"Licence line\nOwn {i}" for i in range(9))
+    assert all(got[20 + i] == f"Own {i}\nTell your friends" for i in range(7))
+    assert got[40] == "Teaser\nMain text of the page"
