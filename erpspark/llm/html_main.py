@@ -30,9 +30,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from erpspark.llm.scratch import stored
 from erpspark.llm.words import text_bytes
 
-#: A subtree is template when it occurs beside so many different texts of its host, and this share of its pages.
+#: A subtree is template when it occurs beside so many different texts of its host.
 MIN_PAGES = 8
-MIN_SHARE = 0.01
 
 # Element names, fixed values of the HTML standard.
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
@@ -240,24 +239,22 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in keep), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=[*keep, "__text", "__n_chars"])
 
 
-def template_parts(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
+def template_parts(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
     """`page` (hash of the row) and `cut`: the template hashes among its undecided elements, for pages that have any. `pages` has page, host, html."""
     each = stored(pages.select("page", "host", "html").mapInArrow(_subtrees, "page long, host string, hash long, beside long, asked boolean"), "subtrees")
     # copies are one text: they go before anything is counted
     texts = each.groupBy("host", "hash", "beside").agg(F.bool_or("asked").alias("asked"))
     counts = texts.groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n"), F.bool_or("asked").alias("asked"))
-    sizes = pages.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-    common = counts.where((F.col("n") >= min_pages) & F.col("asked")).join(sizes, "host")
-    template = stored(common.where(F.col("n") >= min_share * F.col("pages")).select("host", "hash"), "template")
+    template = stored(counts.where((F.col("n") >= min_pages) & F.col("asked")).select("host", "hash"), "template")
     hits = each.where("asked").join(template, ["host", "hash"])
     return stored(hits.groupBy("page").agg(F.collect_set("hash").alias("cut")), "template-hits")
 
 
-def extract(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
+def extract(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
     """The input's columns but `html`, and `__text` and `__n_chars`."""
     page = F.xxhash64(*(F.col(c).cast("string") for c in ("page_id", "url", "html")))
     narrow = pages.select(page.alias("page"), host(F.col("url").cast("string")).alias("host"), F.col("html").cast("string").alias("html"))
-    cut = template_parts(narrow, min_pages, min_share).select(F.col("page").alias("__page"), F.col("cut").alias("__cut"))
+    cut = template_parts(narrow, min_pages).select(F.col("page").alias("__page"), F.col("cut").alias("__cut"))
     rest = [c for c in pages.columns if c != "html"]
     named = pages.select(*(F.col(f"`{c}`") for c in rest), F.col("html").cast("string").alias("__html"), page.alias("__row"))
     joined = named.join(cut, named["__row"] == cut["__page"], "left").drop("__page", "__row")

@@ -71,3 +71,16 @@ def test_counting_inside_and_beside_articles(spark):
     assert all(got[i] == f"Licence line\nOwn {i}" for i in range(9))
     assert all(got[20 + i] == f"Own {i}\nTell your friends" for i in range(7))
     assert got[40] == "Teaser\nMain text of the page"
+
+
+def test_copies_are_no_template(spark):
+    body = "<div><p>Syndicated text</p><p>goes on</p></div>"
+    same = [(i, f"http://a.example.com/{i}", f"<body><div class='ad'>Buy {i}</div>{body}</body>") for i in range(30)]
+    article = [(100 + i, f"http://b.example.com/{i}", f"<article><h1>T</h1>{body}</article><p>Related {i}</p>") for i in range(30)]
+    # on a large host a rare variant is as much template as on a small one
+    box = "<div><span>Follow us</span></div>"
+    large = [(200 + i, "http://c.example.com", f"<p>Text {i}</p>{box if i < 8 else ''}") for i in range(1200)]
+    got = texts(spark, same + article + large)
+    assert all(got[i] == "Syndicated text\ngoes on" for i in range(30))
+    assert all(got[100 + i] == f"T\nSyndicated text\ngoes on\nRelated {i}" for i in range(30))
+    assert all(got[200 + i] == f"Text {i}" for i in range(1200))
