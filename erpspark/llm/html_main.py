@@ -5,10 +5,11 @@ hash occurs (partial counts per task, so one large host stays spread); hashes wi
 beside an element is what is left of the page without it, or of the article for an element in an article, so copies
 of a page or of an article are one text, and their own body is no template however many there are.
 
-- Elements that their name or a word of their class, id or role marks as menu, footer, advert and so on are dropped
-  without asking. Outside articles every other element is dropped where its hash is template.
-- Inside an article or main, boxes (div, section, list and so on) are dropped where their hash is template;
-  single paragraphs, headings and inline elements there are text of the article, also where they recur.
+- Outside articles, elements that their name or a word of their class, id or role marks as menu, footer, advert
+  and so on are dropped without asking, and every other element is dropped where its hash is template.
+- Inside an article or main, elements are dropped without asking by their name or a few whole class names only.
+  Boxes (div, section, list and so on) and elements with a marking word are dropped where their hash is template;
+  single unmarked paragraphs, headings and inline elements there are text of the article, also where they recur.
 - What is left stays, inside articles and beside them.
 
 Defined results: null or empty html gives an empty text; unclosed, crossed and cut-off tags are read as browsers
@@ -55,17 +56,22 @@ MARKS = frozenset(
     breadcrumbs footer masthead comment comments commentlist disqus respond reply cookie cookies consent gdpr notice notices notification popup modal newsletter
     subscribe signup login share sharing social related recommended pagination pager toolbar widget complementary contentinfo search dialog alert""".split()
 )
+#: Whole names that mark a box also inside an article.
+SURE_MARKS = frozenset(
+    """ad ads advert advertisement adverts adsense adsbygoogle banner breadcrumb breadcrumbs comment comments comment-body comment-list commentlist comments-area
+    disqus disqus_thread complementary contentinfo cookie-notice masthead menu nav navbar navigation newsletter pager pagination popup sidebar sidenav""".split()
+)
 _HEADERS = frozenset(["header"])
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)", re.S)
 _NAMES = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 
 
-def _marked(attributes: str) -> bool:
+def _marked(attributes: str, cut: str = r"[^a-z0-9]+", marks: frozenset[str] = MARKS) -> bool:
     if not attributes or "=" not in attributes:
         return False
-    words = (w for m in _NAMES.finditer(attributes) for w in re.split(r"[^a-z0-9]+", (m[2] or m[3] or m[4] or "").lower()))
-    return not MARKS.isdisjoint(words)
+    words = (w for m in _NAMES.finditer(attributes) for w in re.split(cut, (m[2] or m[3] or m[4] or "").lower()))
+    return not marks.isdisjoint(words)
 
 
 class _Open:
@@ -152,8 +158,8 @@ def parse(text: str) -> tuple[list[tuple[str, int, tuple[int, ...]]], list[int],
         article = above.article
         word = name not in ("html", "body") and _marked(match[3])
         if article >= 0:
-            marked = name in DROPPED or word
-            numbered = name not in _TEXT
+            marked = name in DROPPED or (word and (name not in _TEXT or name in MAIN) and _marked(match[3], r"\s+", SURE_MARKS))
+            numbered = word or name not in _TEXT
         else:
             marked = name in DROPPED or (name not in MAIN and (word or name in _HEADERS))
             numbered = name not in MAIN

@@ -84,3 +84,13 @@ def test_copies_are_no_template(spark):
     assert all(got[i] == "Syndicated text\ngoes on" for i in range(30))
     assert all(got[100 + i] == f"T\nSyndicated text\ngoes on\nRelated {i}" for i in range(30))
     assert all(got[200 + i] == f"Text {i}" for i in range(1200))
+
+
+def test_marking_words_inside_articles(spark):
+    page = """<article><section id="search-trees"><p>Search trees</p></section><h2 id="comments-on-method">On method</h2><h2 id="comments">Comments</h2>
+    <div class="elementor-widget-text"><p>Passage</p></div><div class="comments"><p>c</p></div></article>"""
+    nested = "<main><article class='elementor-widget post'><p>Post</p></article><article class='comment'><p>c</p></article></main>"
+    shared = [(10 + i, "http://b.example.com", f"<article><p>Own {i}</p><p class='share-this'>Share this</p></article>") for i in range(9)]
+    got = texts(spark, [(1, "http://a.example.com", page), (2, "http://a.example.com", nested), *shared])
+    assert got[1] == "Search trees\nOn method\nComments\nPassage" and got[2] == "Post"
+    assert all(got[10 + i] == f"Own {i}" for i in range(9))
