@@ -8,8 +8,9 @@ each other in one scope (a block of text between empty lines):
 - a weak identifier (an assignment to a user or client name), next to a bare key or a base assignment,
 - an endpoint (URL or host name with port), next to both an identifier and a secret.
 
-The parts meet in an interval join: both sides are dealt to cells of `REACH` code points in their scope, so a
-part only meets the few that fit into its own and the two neighbouring cells, however many a document has.
+The parts meet in an interval join: weak parts, widened by `REACH` on both sides, and their complements are dealt to all
+cells of `REACH` code points that they touch in their scope. Parts that are near share a cell whatever their lengths, and
+a part only meets those in the cells around it, however many a document has.
 
 Places are counted in code points, end exclusive. Matches are leftmost and do not overlap within a kind.
 Defined results: null text is empty; no finding gives zero counts and an empty list; repeated rows give
@@ -109,14 +110,17 @@ def linked(parts: DataFrame, reach: int = REACH) -> DataFrame:
     ident = F.col("kind").isin(code["access"], code["identifier"])
     secret = F.col("kind").isin(code["assign"], code["key"])
     weak = F.col("kind").isin(code["identifier"], code["key"], code["endpoint"])
-    cell = F.floor(F.col("start") / reach)
-    left = parts.where(weak).select("row_id", "scope", "kind", "start", "end", F.explode(F.array(cell - 1, cell, cell + 1)).alias("cell"))
+    first, last = F.floor((F.col("start") - reach) / reach), F.floor((F.col("end") + reach) / reach)
+    r_first, r_last = F.floor(F.col("start") / reach), F.floor(F.col("end") / reach)
+    left = parts.where(weak).select("row_id", "scope", "kind", "start", "end", first.alias("first"), F.explode(F.sequence(first, last)).alias("cell"))
     right = parts.where(ident | secret).select(
-        F.col("row_id"), F.col("scope"), cell.alias("cell"), F.col("start").alias("r_start"), F.col("end").alias("r_end"), ident.alias("is_ident"), secret.alias("is_secret")
-    )
+        F.col("row_id"), F.col("scope"), r_first.alias("r_first"), F.explode(F.sequence(r_first, r_last)).alias("cell"),
+        F.col("start").alias("r_start"), F.col("end").alias("r_end"), ident.alias("is_ident"), secret.alias("is_secret"),
+    )
     near = (F.col("r_start") - F.col("end") <= reach) & (F.col("start") - F.col("r_end") <= reach)
     other = (F.col("r_start") != F.col("start")) | (F.col("r_end") != F.col("end"))
-    met = left.join(right, ["row_id", "scope", "cell"]).where(near & other)
+    once = F.col("cell") == F.greatest("first", "r_first")  # of the cells that a pair shares, the first
+    met = left.join(right, ["row_id", "scope", "cell"]).where(once & near & other)
     flags = met.groupBy("row_id", "kind", "start", "end").agg(F.bool_or("is_ident").alias("by_ident"), F.bool_or("is_secret").alias("by_secret"))
     whole = (
         F.when(F.col("kind") == code["identifier"], F.col("by_secret"))

@@ -153,3 +153,24 @@ def test_merkle_locates_edits(spark):
         merkle.likeness(merkle.fingerprint(F.col("text")), merkle.fingerprint(F.col("text"))).alias("same"),
     ).first()
     assert len(row.s) == 1 and 0.9 < row.l < 1 and row.same == 1
+
+
+def test_linked_against_all_pairs(spark):
+    """Parts of any length at any place: the join in cells finds the pairs that comparing all with all finds."""
+    import random
+
+    rng = random.Random(7)
+    rows = {(0, 0, 4, 399, 439), (0, 0, 1, 801, 821)}  # 362 apart, two cells apart
+    for row in range(1, 400):
+        for _ in range(rng.randint(2, 5)):
+            start = rng.randrange(3000)
+            rows.add((row, rng.randint(0, 1), rng.randint(0, 5), start, start + rng.choice([20, 40, 399, 400, 401, 900, 2500])))
+    kinds = secret_scan.KINDS
+    want = set()
+    for row, scope, kind, start, end in rows:
+        near = {k for r, s, k, a, b in rows if (r, s) == (row, scope) and a - end <= 400 and start - b <= 400 and (a, b) != (start, end)}
+        ident, secret = {kinds.index("access"), kinds.index("identifier")} & near, {kinds.index("assign"), kinds.index("key")} & near
+        if {"identifier": secret, "key": ident, "endpoint": ident and secret}.get(kinds[kind]):
+            want.add((row, start, kind, end))
+    got = [tuple(r) for r in secret_scan.linked(plain(spark, sorted(rows), "row_id long, scope int, kind int, start long, end long")).collect()]
+    assert len(got) == len(set(got)) and set(got) == want and (0, 399, 4, 439) in want
