@@ -33,7 +33,7 @@ HEX = r"[0-9a-f]+"
 
 # Patterns of the weak kinds.
 IDENTIFIER = r"""(?i)(?:access_?key(?:_?id)?|client_?id|user(?:_?name)?|login|account)["']?\x20*[:=]\x20*["']?([A-Za-z0-9@._-]{3,})"""
-BARE_KEY = r"(?<![A-Za-z0-9+/=])[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/=])"
+BARE_KEY = r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/=])"
 ENDPOINT = r"""https?://[A-Za-z0-9][^\s"'<>]*|(?<![A-Za-z0-9.-])[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+:[0-9]{2,5}"""
 
 #: Order in which kinds that start at one place are listed.
