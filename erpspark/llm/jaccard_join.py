@@ -263,7 +263,8 @@ def similar_sets(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) -> tup
     signed = stored(texts.mapInArrow(_sign(n), "doc_id long, mark long, n long, set long"), "signed")
     rows = texts.where("doc_id is not null").select("text").mapInArrow(_emit(n, percent), "sig long, place long, item long")
     met = stored(_probing(stored(_meeting(rows), "meeting"), percent), "met")
-    wanted = signed.join(met.select("set").distinct(), "set", "left_semi").groupBy("set").agg(F.min(F.struct("doc_id", "mark")).alias("d"))
+    # rows without a doc_id can be joined by nothing, so they speak for no set
+    wanted = signed.where("doc_id is not null").join(met.select("set").distinct(), "set", "left_semi").groupBy("set").agg(F.min(F.struct("doc_id", "mark")).alias("d"))
     wanted = wanted.select("set", F.col("d.doc_id").alias("doc_id"), F.col("d.mark").alias("mark"))
     held = stored(texts.join(wanted, ["doc_id", "mark"]).select("set", "text").dropDuplicates(["set"]), "candidate-texts")
 

@@ -116,3 +116,12 @@ def test_edges(spark):
     assert got == Counter([(None, None), (4, 2), (4, 2), (2, 2), (9, 9)])
     kept = jj.keep_first(plain(spark, rows)).collect()
     assert Counter(r.doc_id for r in kept) == Counter([None, 2, 9])
+
+
+def test_null_id_copy_of_a_text_with_near_copies(spark):
+    base = [f"w{i}" for i in range(60)]
+    near = [" ".join([*base[:-1], f"end{k}"]) for k in range(3)]
+    rows = [(None, near[0]), (5, near[0]), (3, near[1]), (7, near[2]), (None, near[2])]
+    got = Counter((r.doc_id, r.component_id) for r in jj.groups(plain(spark, rows)).collect())
+    assert got == Counter([(None, None), (None, None), (5, 3), (3, 3), (7, 3)])
+    assert Counter(r.doc_id for r in jj.keep_first(plain(spark, rows)).collect()) == Counter([None, None, 3])
