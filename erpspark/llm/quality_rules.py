@@ -1,9 +1,11 @@
 """Quality rules with thresholds that follow each language and source, in DataFrame functions only.
 
 Base measures are counted per document on the whole text. A KLL quantile sketch per (lang, source) and
-measure is built with map-side merging; sketches of small groups give way to the merged sketch of their
-language, and that to the merged sketch of everything. A measure is out of bounds where it lies further
-than `REACH` spreads (quartile distance, at least `LEAST_SPREAD`) beyond the upper quartile of its group.
+measure is built with map-side merging. Its 0.2, 0.5 and 0.8 quantiles are drawn towards those of the language,
+and these towards those of everything, as if `SHRINK` documents more had them; so small groups lean on
+others and no bound jumps as a group grows. A measure is out of bounds where it lies further beyond an outer quantile
+than `REACH` times the distance of that from the median; `LEAST_MARGIN` is the margin where nearly all
+documents of a group have one value and there is no distance to go by. Bounds are set on both sides.
 
 Defined results: null or empty text has no words and fails the base rules; null lang or source is a group
 of its own; repeated rows are judged each; other columns are ignored.
@@ -19,11 +21,11 @@ SPACE = r"[ \t\n\x0B\f\r]"
 _BLANKS = " \t\n\x0b\f\r"
 SYMBOLS = "[#*$%&|<>]"
 
-#: Measures that are judged, with the least spread of each.
-LEAST_SPREAD = {"symbol_share": 0.01, "dup_line_share": 0.10, "repeat_share": 0.05, "upper_share": 0.05, "mark_share": 0.10, "mean_word": 1.0}
-REACH = 4.0
-#: Groups of fewer documents use the sketch of their language, or of everything.
-MIN_GROUP = 200
+#: Measures that are judged, with the least margin of each.
+LEAST_MARGIN = {"symbol_share": 0.02, "dup_line_share": 0.20, "repeat_share": 0.05, "upper_share": 0.01, "mark_share": 0.05, "mean_word": 0.25, "log_words": 0.5}
+REACH = 6.0
+#: Documents that the next wider group counts for in the quantiles of a group.
+SHRINK = 50
 
 
 def let(value: Column, use) -> Column:
@@ -100,6 +102,7 @@ def measures(docs: DataFrame) -> DataFrame:
         (F.col("n_upper") / chars).alias("upper_share"),
         (F.col("n_marks") / F.greatest(n_words, F.lit(1))).alias("mark_share"),
         (F.col("word_chars") / F.greatest(n_words, F.lit(1))).alias("mean_word"),
+        F.log(F.greatest(n_words, F.lit(1)).cast("double")).alias("log_words"),
     )
 
 
@@ -107,22 +110,26 @@ def base_failed(n_words: Column, n_repeat_words: Column) -> Column:
     return (n_words < 10) | (100 * n_repeat_words > 20 * n_words)
 
 
-def thresholds(measured: DataFrame, min_group: int = MIN_GROUP, reach: float = REACH) -> DataFrame:
-    """Upper bound of every measure per (lang, source), from mergeable sketches of the documents that pass the base rules."""
+def thresholds(measured: DataFrame, shrink: int = SHRINK, reach: float = REACH) -> DataFrame:
+    """Lower and upper bound of every measure per (lang, source), from mergeable sketches of the documents that pass the base rules."""
     fit = measured.where(~base_failed(F.col("n_words"), F.col("n_repeat_words")))
-    groups = fit.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"), *(F.kll_sketch_agg_double(m).alias(m) for m in LEAST_SPREAD))
+    groups = fit.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"), *(F.kll_sketch_agg_double(m).alias(m) for m in LEAST_MARGIN))
 
     def merged(*keys: str) -> DataFrame:
-        return groups.groupBy(*keys).agg(F.sum("n").alias("n"), *(F.kll_merge_agg_double(m).alias(m) for m in LEAST_SPREAD))
+        return groups.groupBy(*keys).agg(F.sum("n").alias("n"), *(F.kll_merge_agg_double(m).alias(m) for m in LEAST_MARGIN))
 
-    def quartiles(df: DataFrame, name: str, *keys: str) -> DataFrame:
+    def quantiles(df: DataFrame, name: str, *keys: str) -> DataFrame:
         # the merged sketch of no document at all has no quantiles
-        q = {m: F.when(F.col("n") > 0, F.kll_sketch_get_quantile_double(m, F.array(F.lit(0.25), F.lit(0.75)))) for m in LEAST_SPREAD}
-        return df.select(*keys, F.struct(F.col("n"), *(q[m].alias(m) for m in LEAST_SPREAD)).alias(name))
+        q = {m: F.when(F.col("n") > 0, F.kll_sketch_get_quantile_double(m, F.array(F.lit(0.2), F.lit(0.5), F.lit(0.8)))) for m in LEAST_MARGIN}
+        return df.select(*keys, F.struct(F.col("n"), *(q[m].alias(m) for m in LEAST_MARGIN)).alias(name))
 
-    own = quartiles(groups, "own", "lang", "source")
-    by_lang = quartiles(merged("lang"), "by_lang", "lang").withColumnRenamed("lang", "lang_key")
-    whole = quartiles(merged(), "whole")
+    def drawn(n: Column, own: Column, wider: Column) -> Column:
+        mean = F.zip_with(own, wider, lambda x, y: (n * x + F.lit(shrink) * y) / (n + F.lit(shrink)))
+        return F.when(n > 0, mean).otherwise(wider)
+
+    own = quantiles(groups, "own", "lang", "source")
+    by_lang = quantiles(merged("lang"), "by_lang", "lang").withColumnRenamed("lang", "lang_key")
+    whole = quantiles(merged(), "whole")
     # every group that occurs gets a row, also where none of its documents passed the base rules
     keys = measured.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("rows"))
     joined = (
@@ -130,10 +137,15 @@ def thresholds(measured: DataFrame, min_group: int = MIN_GROUP, reach: float = R
         .join(by_lang, F.col("lang").eqNullSafe(F.col("lang_key")), "left")
         .join(F.broadcast(whole), F.lit(True), "left")  # one row
     )
-    used = F.when(F.col("own.n") >= min_group, F.col("own")).when(F.col("by_lang.n") >= min_group, F.col("by_lang")).otherwise(F.col("whole"))
-    bounded = joined.select("lang", "source", used.alias("q"))
-    bound = lambda m, least: F.col(f"q.{m}")[1] + reach * F.greatest(F.col(f"q.{m}")[1] - F.col(f"q.{m}")[0], F.lit(least))
-    return bounded.select(F.col("lang").alias("t_lang"), F.col("source").alias("t_source"), *(bound(m, s).alias(f"max_{m}") for m, s in LEAST_SPREAD.items()))
+    of_lang = {m: drawn(F.col("by_lang.n"), F.col(f"by_lang.{m}"), F.col(f"whole.{m}")) for m in LEAST_MARGIN}
+    used = joined.select("lang", "source", *(drawn(F.col("own.n"), F.col(f"own.{m}"), of_lang[m]).alias(m) for m in LEAST_MARGIN))
+    margin = lambda x, y, m: F.greatest(reach * (y - x), F.lit(LEAST_MARGIN[m]))
+    bounds = [
+        bound
+        for m, q in ((m, F.col(m)) for m in LEAST_MARGIN)
+        for bound in ((q[0] - margin(q[0], q[1], m)).alias(f"min_{m}"), (q[2] + margin(q[1], q[2], m)).alias(f"max_{m}"))
+    ]
+    return used.select(F.col("lang").alias("t_lang"), F.col("source").alias("t_source"), *bounds)
 
 
 def judge(docs: DataFrame) -> DataFrame:
@@ -142,7 +154,7 @@ def judge(docs: DataFrame) -> DataFrame:
     limits = stored(thresholds(measured), "thresholds")
     same = F.col("lang").eqNullSafe(F.col("t_lang")) & F.col("source").eqNullSafe(F.col("t_source"))
     inside = F.lit(True)
-    for m in LEAST_SPREAD:
-        inside = inside & F.coalesce(F.col(m) <= F.col(f"max_{m}"), F.lit(True))
+    for m in LEAST_MARGIN:
+        inside = inside & F.coalesce(F.col(m).between(F.col(f"min_{m}"), F.col(f"max_{m}")), F.lit(True))
     failed = base_failed(F.col("n_words"), F.col("n_repeat_words"))
     return measured.join(limits, same, "left").select(*measured.columns, failed.alias("base_failed"), (~failed & inside).alias("kept"))

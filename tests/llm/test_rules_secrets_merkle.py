@@ -185,3 +185,28 @@ def test_scan_env_files(spark):
         assert f"key:{at}:{at + 40}" in r.spans.split(",")
     clean = secret_scan.redact(plain(spark, list(enumerate(forms)))).collect()
     assert all(key not in r.text and "AKIA" not in r.text for r in clean)
+
+
+def test_rule_bounds_follow_sources(spark):
+    """Sources with other habits get other bounds, on both sides, and no bound jumps where a group grows by a document."""
+
+    def prose(i):
+        return " ".join(f"{'Word' if k % (4 + i % 3) == 0 else 'plain'}{k * i % 97}" for k in range(30 + i % 11))
+
+    def code(i):
+        return " ".join(f"{'&' * (1 + (i + k) % 2)}x{(k * k * 31 + i) % 997}|" if k % (2 + i % 3) == 0 else f"y{(k * k * 17 + i) % 991}" for k in range(60 + i % 17))
+
+    def judged(n_code):
+        rows = [(i, prose(i), "en", "prose", None) for i in range(300)] + [(1000 + i, code(i), "en", "code", None) for i in range(n_code)]
+        rows += [(5000, code(7), "en", "prose", None), (5001, prose(7), "en", "code", None)]
+        df = plain(spark, rows, "doc_id long, text string, lang string, source string, n_chars long")
+        return {r.t_source: r.asDict() for r in quality_rules.thresholds(quality_rules.measures(df)).collect()}, {r.doc_id for r in quality_rules.judge(df).where("kept").collect()}
+
+    bounds, kept = judged(199)
+    for m in ("symbol_share", "upper_share", "mark_share", "mean_word"):
+        assert bounds["code"][f"max_{m}"] != bounds["prose"][f"max_{m}"], m
+    assert bounds["code"]["min_mean_word"] < bounds["prose"]["min_mean_word"]
+    assert bounds["code"]["max_symbol_share"] > 2 * bounds["prose"]["max_symbol_share"]
+    assert 5000 not in kept and len([i for i in kept if 1000 <= i < 1199]) > 150
+    more = judged(200)[0]
+    assert all(abs(more["code"][k] - v) < 0.05 * max(1, abs(v)) for k, v in bounds["code"].items() if k[:2] != "t_")
