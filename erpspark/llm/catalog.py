@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from erpspark.llm import byte_bpe, html_main, jaccard_join, line_dedup, merkle, packing, quality_pu, quality_rules, secret_scan, substring_dedup
+from erpspark.llm import byte_bpe, html_main, jaccard_join, line_dedup, manifest, merkle, packing, quality_pu, quality_rules, secret_scan, substring_dedup
 from erpspark.llm.scratch import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -131,3 +131,41 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = byte_bpe.decode(byte_bpe.encode(documents(spark, sf_dir).select("doc_id", "text"), path), path)
     n_tokens = F.size(byte_bpe.id_list(F.col("__ids"))).cast("long").alias("n_tokens")
     return out.select("doc_id", n_tokens, F.sha2(F.col("__ids").cast("binary"), 256).alias("ids_sha256"), F.sha2("__bytes", 256).alias("decoded_sha256"))
+
+
+@query(
+    "op13_manifest",
+    r"""
+    WITH RECURSIVE rows AS (SELECT *, CASE WHEN text IS NOT NULL AND
+            (list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: list_transform(range(8), lambda k: (ascii(c) >> k::INT)::BIGINT & 1)))),
+                lambda r, b: xor(r >> 1, CASE WHEN xor(r, b) & 1 = 1 THEN 3988292384 ELSE 0 END)) & 1) = 1
+            THEN replace(text, chr(10), '') END AS cut, coalesce('1' || source, '0') AS tree FROM documents),
+    fields AS (SELECT doc_id, tree, cut,
+        coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS head,
+        text FROM rows),
+    leaves AS (SELECT doc_id, tree, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf, sha256(head || strlen(cut) || ':' || cut) AS cut_leaf FROM fields),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id, leaf) - 1 AS i, count(*) OVER (PARTITION BY tree) AS n FROM leaves),
+    nodes AS (SELECT tree, 0 AS level, i, n, leaf AS d FROM ranked
+        UNION ALL SELECT tree, max(level) + 1, i // 3, (max(n) + 2) // 3, sha256(string_agg(d, '' ORDER BY i)) FROM nodes WHERE n > 1 GROUP BY tree, i // 3),
+    subroots AS (SELECT tree, d, row_number() OVER (ORDER BY encode(tree)) - 1 AS i, count(*) OVER () AS n FROM nodes WHERE n = 1),
+    over AS (SELECT 0 AS level, i, n, d FROM subroots
+        UNION ALL SELECT max(level) + 1, i // 3, (max(n) + 2) // 3, sha256(string_agg(d, '' ORDER BY i)) FROM over WHERE n > 1 GROUP BY i // 3),
+    steps AS (
+        SELECT a.tree, a.level, a.i, coalesce(string_agg(b.d, '' ORDER BY b.i) FILTER (b.i < a.i), '') AS l, coalesce(string_agg(b.d, '' ORDER BY b.i) FILTER (b.i > a.i), '') AS r
+        FROM nodes a JOIN nodes b ON a.tree = b.tree AND a.level = b.level AND a.i // 3 = b.i // 3 WHERE a.n > 1 GROUP BY a.tree, a.level, a.i
+        UNION ALL
+        SELECT s.tree, t.level + a.level, s.i, coalesce(string_agg(b.d, '' ORDER BY b.i) FILTER (b.i < a.i), ''), coalesce(string_agg(b.d, '' ORDER BY b.i) FILTER (b.i > a.i), '')
+        FROM subroots s JOIN (SELECT tree, max(level) AS level FROM nodes GROUP BY tree) t ON t.tree = s.tree
+        JOIN over a ON a.n > 1 AND a.i = s.i // (3 ** a.level)::BIGINT JOIN over b ON a.level = b.level AND a.i // 3 = b.i // 3 GROUP BY s.tree, t.level, s.i, a.level, a.i),
+    depths AS (SELECT tree, max(level) AS depth FROM nodes GROUP BY tree),
+    climb AS (SELECT r.tree, r.i AS rank, r.i, 0 AS level, coalesce(r.cut_leaf, r.leaf) AS h, '' AS sibs FROM ranked r
+        UNION ALL SELECT c.tree, c.rank, CASE WHEN c.level < d.depth THEN c.i // 3 ELSE 0 END, c.level + 1, sha256(s.l || c.h || s.r), c.sibs || s.l || s.r
+        FROM climb c JOIN depths d ON d.tree = c.tree JOIN steps s ON s.tree = c.tree AND s.level = c.level AND (s.level >= d.depth OR s.i = c.i)),
+    ends AS (SELECT tree, rank, arg_max(h, level) AS h, arg_max(sibs, level) AS sibs FROM climb GROUP BY tree, rank)
+    SELECT r.doc_id, r.leaf, s.d AS subroot, o.d AS root, sha256(e.sibs) AS proof_sha256, e.h AS folded_root, e.h = o.d AS verified
+    FROM ranked r JOIN subroots s USING (tree) JOIN ends e ON e.tree = r.tree AND e.rank = r.i CROSS JOIN (SELECT d FROM over WHERE n = 1) o
+    """,
+)
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, proof and root of every document, and the root it leads to after tampering."""
+    return manifest.Manifest(documents(spark, sf_dir)).prove()
