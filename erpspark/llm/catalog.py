@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from erpspark.llm import byte_bpe, html_main, jaccard_join, line_dedup, manifest, merkle, packing, quality_pu, quality_rules, secret_scan, simhash_vptree, substring_dedup
+from erpspark.llm import byte_bpe, html_main, jaccard_join, line_dedup, manifest, merkle, packing, quality_pu, quality_rules, secret_scan, simhash_vptree, substring_dedup, whitening
 from erpspark.llm.scratch import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -176,3 +176,9 @@ def op11_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprint of every document and the group of fingerprints within three bits of each other."""
     out = simhash_vptree.groups(documents(spark, sf_dir))
     return out.select("doc_id", F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@query("op12_whitening")
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding whitened by the four leading components of the distinct ones."""
+    return whitening.whiten(ship(spark).read.parquet(f"{sf_dir}/embeddings.parquet"))
