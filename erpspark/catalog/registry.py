@@ -73,7 +73,7 @@ class Erp:
     def product_mart(self) -> DataFrame:
         lines = sales.repaired_lines(self.order_items, self.dated_orders).filter("__live")
         priced = lines.withColumn("unit_price_adjusted", rounded("__price", 2))
-        return shared.product_mart(self.products, priced, self.order_items)
+        return shared.product_mart(self.products, priced)
 
     @cached_property
     def material_mart(self) -> DataFrame:

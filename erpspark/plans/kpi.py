@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from erpspark.functions.expr import exact_avg, key_to_date, pct, ratio, rounded, zero_if_null
 from erpspark.operators.ranks import cumulative_desc, exact_percentiles
 from erpspark.plans.inventory import average_lot_price
+from erpspark.session import written
 from erpspark.settings import TARGET_BAND, TRANSFER_CODE
 
 
@@ -153,7 +154,7 @@ def undelivered_backlog(performance: DataFrame) -> DataFrame:
 
 def pareto_customers(revenue: DataFrame, a_share: float = 80.0, b_share: float = 95.0) -> DataFrame:
     """ABC class per customer by cumulative revenue share, largest first; customers without revenue are class C, with no share."""
-    every = revenue.groupBy("customer_key").agg(F.sum("revenue").alias("revenue"))
+    every = written(revenue.groupBy("customer_key").agg(F.sum("revenue").alias("revenue")), "customer-revenue")
     per = every.filter(F.col("revenue") > 0)
     rest = every.filter(F.coalesce(F.col("revenue") <= 0, F.lit(True)))
     total = per.agg(F.sum("revenue")).scalar()

@@ -142,7 +142,7 @@ def build_marts(
     save("dim_customer_segmentation", sales.customer_segmentation(dated, customers, params.as_of))
     save("dim_customer_credit", finance.customer_credit(revenue, customers))
     save("fct_purchase_cost", finance.purchase_cost(t["fact_purchase_order_items"], t["dim_supplier"], products, dates))
-    save("dim_product_mart", shared.product_mart(products, detail, items))
+    save("dim_product_mart", shared.product_mart(products, detail))
     materials = save("dim_material_mart", shared.material_mart(t["dim_material"]))
     save("dim_customer_mart", shared.customer_mart(customers))
     lots, exports = t["fact_warehouse_stock"], t["fact_warehouse_export"]

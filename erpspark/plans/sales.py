@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from erpspark.functions.expr import exact_avg, first_match, month_start, pct, price_tier, ratio, rounded, zero_if_null
 from erpspark.operators.lookup import decorate, with_dates
-from erpspark.operators.ranks import bucket_bounds, ntile_columns, percentile_values
+from erpspark.operators.ranks import ntile_columns, percentile_values
 from erpspark.plans import views
 from erpspark.settings import PRICE_TIER_PROBS, SPIKE_FACTOR
 
@@ -114,7 +114,7 @@ def order_items_detail(
     live = active_orders(orders if headers is None else headers)
     valid = raw.join(live.select("order_id"), "order_id", "left_semi")
     low_p, high_p = PRICE_TIER_PROBS
-    limits = percentile_values(valid, "price", {"p33": low_p, "p67": high_p}, bounds=bucket_bounds(raw, "price"))
+    limits = percentile_values(valid, "price", {"p33": low_p, "p67": high_p})
     p33, p67 = F.lit(limits["p33"]), F.lit(limits["p67"])
 
     carry = ["order_date_key", "year", "quarter", "month_num", "month_name", "id_branch", *LINE_CUSTOMER]

@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from erpspark.functions.expr import first_match, price_tier, ratio, rounded
-from erpspark.operators.ranks import bucket_bounds, exact_percentiles, percentile_values
+from erpspark.operators.ranks import exact_percentiles, percentile_values
 from erpspark.plans import views
+from erpspark.session import written
 from erpspark.settings import PRICE_TIER_PROBS
 
 # fixed values: name patterns (case-insensitive)
@@ -59,14 +60,10 @@ def customer_mart(customers: DataFrame) -> DataFrame:
     )
 
 
-def sold_prices(detail: DataFrame, bounds: list[float] | None = None) -> DataFrame:
-    """Average, median and last repaired price per product with a price above zero.
-
-    ``bounds`` are optional price cut points that balance the median; any give the
-    same result, so they may come from a cheaper table.
-    """
-    sold = detail.filter(F.col("unit_price_adjusted") > 0)
+def sold_prices(detail: DataFrame) -> DataFrame:
+    """Average, median and last repaired price per product with a price above zero; the lines are evaluated once."""
     price = F.col("unit_price_adjusted")
+    sold = written(detail.filter(price > 0).select("product_key", price, "quantity", "order_date", "order_item_id", "order_id"), "sold")
     stats = sold.groupBy("product_key").agg(
         rounded(
             ratio(F.sum(price.cast("decimal(18,2)") * F.col("quantity").cast("decimal(14,4)")), F.sum("quantity")), 2
@@ -74,27 +71,18 @@ def sold_prices(detail: DataFrame, bounds: list[float] | None = None) -> DataFra
         F.round(F.max_by(price, F.struct("order_date", "order_item_id")), 2).alias("last_sell_price_actual"),
         F.count_distinct("order_id").alias("sold_order_count_12m"),
     )
-    median = exact_percentiles(sold, "unit_price_adjusted", {"median": 0.5}, by=["product_key"], bounds=bounds)
+    median = exact_percentiles(sold, "unit_price_adjusted", {"median": 0.5}, by=["product_key"])
     # NULL product rows form a group in the aggregate but can never match a product
     return stats.join(median, "product_key", "left").withColumn("median_sell_price_actual", rounded("median", 2)).drop("median")
 
 
-def product_mart(products: DataFrame, detail: DataFrame, items: DataFrame | None = None) -> DataFrame:
-    """Product master with prices from all sales and a tier over product averages.
-
-    ``items`` are the raw order lines, used only to balance the median by price.
-    """
-    bounds = None
-    if items is not None:
-        raw = items.filter(F.col("quantity") > 0).select(ratio("total_amount", "quantity").alias("price"))
-        bounds = bucket_bounds(raw, "price")
+def product_mart(products: DataFrame, detail: DataFrame) -> DataFrame:
+    """Product master with prices from all sales and a tier over product averages."""
     # one row per product, read by the threshold passes and by the result
-    prices = sold_prices(detail, bounds).persist()
+    prices = written(sold_prices(detail), "prices")
     low_p, high_p = PRICE_TIER_PROBS
     avg = F.col("avg_sell_price_actual").cast("double")
-    limits = percentile_values(
-        prices.filter(avg > 0).select(avg.alias("avg")), "avg", {"p33": low_p, "p67": high_p}
-    )
+    limits = percentile_values(prices.filter(avg > 0).select(avg.alias("avg")), "avg", {"p33": low_p, "p67": high_p})
     return (
         views.products(products)
         .join(prices, "product_key", "left")

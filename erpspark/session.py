@@ -5,8 +5,9 @@ from __future__ import annotations
 import atexit
 import shutil
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL: list[str] = []
 
@@ -63,3 +64,10 @@ def work_dir(spark: SparkSession) -> str:
         _LOCAL.append(tempfile.mkdtemp(prefix="erpspark-"))
         atexit.register(shutil.rmtree, _LOCAL[0], ignore_errors=True)
     return _LOCAL[0]
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame to the work folder and read it back: it is evaluated once, and a lost executor costs no recomputation."""
+    path = f"{work_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
