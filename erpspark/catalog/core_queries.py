@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 
 from pyspark.sql import functions as F
@@ -10,9 +11,11 @@ from erpspark.catalog.registry import Erp, query
 from erpspark.catalog.sqltext import part
 from erpspark.operators import upsert
 from erpspark.operators.anonymize import anonymize
+from erpspark.operators.keymap import BucketedDimension
 from erpspark.operators.lookup import resolve_key
 from erpspark.plans import core
 from erpspark.plans.calendar import date_dim
+from erpspark.session import work_dir, written
 
 # --- dimensions: each raw batch loaded into an empty dimension -----------------
 DIM_CASES = {
@@ -100,6 +103,47 @@ def _upsert_customer(e: Erp):
     return core.load_dim("dim_customer", first, e.raw_clients.filter(F.col("debt_limit") < 5000))
 
 
+@query(
+    "core_upsert_bucketed",
+    "customer_id:l customer_code:s company:s type_client:s debt_limit:d is_active:b load_no:l key_once:b key_in_range:b",
+    """WITH stored AS (SELECT *, 'old' AS o FROM r_raw_clients WHERE debt_limit >= 0),
+          batch AS (SELECT * FROM r_raw_clients WHERE debt_limit < 5000)
+       SELECT coalesce(b.userid, s.userid) AS customer_id,
+         CASE WHEN b.userid IS NOT NULL THEN b.code_client ELSE s.o END AS customer_code,
+         coalesce(s.o, b.company) AS company,
+         CASE WHEN b.userid IS NOT NULL THEN b.type_client ELSE s.o END AS type_client,
+         CASE WHEN b.userid IS NOT NULL THEN b.debt_limit ELSE s.debt_limit END AS debt_limit,
+         CASE WHEN b.userid IS NOT NULL THEN b.active = 1 ELSE true END AS is_active,
+         CASE WHEN s.userid IS NULL THEN 2 ELSE 1 END AS load_no, true AS key_once, true AS key_in_range
+       FROM stored s FULL JOIN batch b ON b.userid = s.userid""",
+)
+def _upsert_bucketed(e: Erp):
+    """Two loads and a replay of the second into a bucketed customer dimension. The second batch has no company for known customers
+    to change; new customers bring theirs in a third load."""
+    database = f"dims_{uuid.uuid4().hex}"
+    e.spark.sql(f"CREATE DATABASE {database} LOCATION '{work_dir(e.spark)}/{database}'")
+    dim = BucketedDimension(e.spark, f"{database}.dim_customer", "customer_id", "customer_key", max(8, int(e.spark.conf.get("spark.sql.shuffle.partitions"))))
+    batch = e.raw_clients.select(
+        F.col("userid").alias("customer_id"), F.col("code_client").alias("customer_code"), "company", "type_client", "debt_limit", (F.col("active") == 1).alias("is_active")
+    )
+    old = F.lit("old")
+    dim.load(batch.filter(F.col("debt_limit") >= 0).withColumns({"customer_code": old, "company": old, "type_client": old, "is_active": F.lit(True)}))
+    first = dim.keys().agg(F.max("customer_key")).first()[0] or 0
+    second = batch.filter(F.col("debt_limit") < 5000)
+    for _ in range(2):
+        dim.load(second.drop("company"))
+    dim.load(second.filter(F.col("debt_limit") < 0).select("customer_id", "company"))
+    out = written(dim.rows(), "dim-customer")
+    e.spark.sql(f"DROP DATABASE {database} CASCADE")
+    total = out.count()
+    once = out.groupBy("customer_key").agg(F.count(F.lit(1)).alias("__rows"))
+    return out.join(once, "customer_key").select(
+        "customer_id", "customer_code", "company", "type_client", "debt_limit", "is_active",
+        F.when(F.col("customer_key") <= first, 1).otherwise(2).cast("bigint").alias("load_no"),
+        (F.col("__rows") == 1).alias("key_once"), F.col("customer_key").between(1, total).alias("key_in_range"),
+    )
+
+
 @query(
     "core_conditional_update",
     "customer_id:l price_group_key:l price_group_code:s price_group_name:s",
