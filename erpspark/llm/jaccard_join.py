@@ -16,7 +16,12 @@ stands one, a segment that may differ by one element stands two. Sets are groupe
 Rows that meet in a segment are candidates. Equal sets are one candidate. Candidates are verified on the whole
 texts. To find the groups without listing all pairs inside them, each bucket first compares its members
 with one of them; after the components of these links are known, only members of different components that still
-share a bucket are compared, all of them. Every link either is verified or lies inside a component already.
+share a bucket go on. Every link either is verified or lies inside a component already.
+
+Sets that go on after `ROUNDS` rounds are crowded together without linking (copies with too many changes share segments of what
+was not changed). They meet anew, by their rare n-grams: ordered by the number of these sets that have them, two similar sets
+share one of the first few n-grams of each, so early that enough are left to share after it. What a copy changed stands first in its
+order and is shared with nobody. All pairs of different components that meet so are compared at last.
 
 Defined results: no word, null or empty text: an empty set, linked with nothing; fewer words than n: the
 whole sequence is the only n-gram; equal doc_ids are kept as separate rows; rows with a null doc_id are returned with a
@@ -31,7 +36,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from erpspark.llm.components import components
 from erpspark.llm.scratch import stored
@@ -43,8 +48,8 @@ PERCENT = 80
 BAND_RATIO = 1.5
 #: Written rows that one chance match is worth.
 CHANCE_COST = 40
-#: Compare-with-one rounds before all remaining pairs of different components are compared.
-ROUNDS = 3
+#: Compare-with-one rounds by segments, and then by rare n-grams, before all remaining pairs of different components are compared.
+ROUNDS = 2
 #: A further round is made only where that leaves more pairs than so many per remaining row.
 PAIRS_PER_ROW = 4
 
@@ -193,6 +198,41 @@ def _emit(n: int, percent: int):
     return run
 
 
+def _grams(n: int):
+    schema = pa.schema([("set", pa.int64()), ("gram", pa.int64()), ("n", pa.int32())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, tokens in _blocks(batch.column(1), n):
+                size = len(tokens)
+                own = np.full(size, batch.column(0)[i].as_py(), np.int64)
+                yield pa.record_batch([pa.array(own), pa.array(tokens.view(np.int64)), pa.array(np.full(size, size, np.int32))], schema=schema)
+
+    return run
+
+
+def _rare(texts: DataFrame, n: int, percent: int) -> DataFrame:
+    """Rows (sig, set, indexed, probe, n, at): for every set those n-grams by which it meets all similar sets.
+
+    `at` is the place of the n-gram in the set's order, rare ones first. The larger of two similar sets meets the smaller one, which needs
+    fewer places.
+    """
+    grams = stored(texts.mapInArrow(_grams(n), "set long, gram long, n int"), "grams")
+    shared = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
+    order = Window.partitionBy("set").orderBy(F.coalesce("f", F.lit(1)), "gram")  # the n-grams of one set
+    placed = grams.join(shared, "gram", "left").withColumn("at", F.row_number().over(order))
+    larger = F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100) + 1
+    smaller = F.col("n") - F.ceil(F.lit(2 * percent) * F.col("n") / (100 + percent)) + 1
+    rows = placed.where(F.col("f").isNotNull() & (F.col("at") <= larger))
+    return rows.select(F.col("gram").alias("sig"), "set", (F.col("at") <= smaller).alias("indexed"), F.lit(True).alias("probe"), "n", "at")
+
+
+def _enough_left(percent: int) -> Column:
+    """Whether two sets that first meet at these places can still share as many n-grams as similar sets do."""
+    most = 1 + F.least(F.col("n") - F.col("at"), F.col("n_b") - F.col("at_b"))
+    return (F.col("n_b") <= F.col("n")) & ((100 + percent) * most >= percent * (F.col("n") + F.col("n_b")))
+
+
 def _verify(n: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, left = None, None
@@ -268,14 +308,16 @@ def similar_sets(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) -> tup
     wanted = wanted.select("set", F.col("d.doc_id").alias("doc_id"), F.col("d.mark").alias("mark"))
     held = stored(texts.join(wanted, ["doc_id", "mark"]).select("set", "text").dropDuplicates(["set"]), "candidate-texts")
 
+    met = met.withColumns({"n": F.lit(None).cast("int"), "at": F.lit(None).cast("int")})
     left = met.withColumn("label", F.col("set"))
     links, tried = None, None  # links: those found so far, as edges to the smallest set of each component
-    for turn in range(ROUNDS + 1):
+    for turn in range(2 * ROUNDS + 1):
         sums = left.groupBy("sig").agg(F.count(F.lit(1)).alias("k"), F.count_if("probe").alias("p")).agg(F.sum("k"), F.sum(F.col("k") * F.col("p"))).first()
-        last = turn == ROUNDS or not sums[0] or (turn > 0 and sums[1] <= PAIRS_PER_ROW * sums[0])
+        last = turn == 2 * ROUNDS or not sums[0] or (turn > 0 and sums[1] <= PAIRS_PER_ROW * sums[0])
         if last:
-            other = left.select("sig", F.col("set").alias("set_b"), F.col("label").alias("label_b"), F.col("indexed").alias("indexed_b"))
-            pairs = left.where("probe").join(other.where("indexed_b"), "sig").where("label != label_b").select(*_pairs("set", "set_b")).distinct()
+            other = left.where("indexed").select("sig", *[F.col(c).alias(f"{c}_b") for c in ("set", "label", "n", "at")])
+            both = left.where("probe").join(other, "sig").where("label != label_b")
+            pairs = both.where(F.coalesce(_enough_left(percent), F.lit(True))).select(*_pairs("set", "set_b")).distinct()
         else:
             pairs = _starred(left, turn)
         if tried is not None:
@@ -287,9 +329,17 @@ def similar_sets(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) -> tup
             return signed, found if links is None else links.unionByName(found)
         labels = stored(components(found if links is None else links.unionByName(found)), "labels")
         links = labels.where("node != label").select(F.col("label").alias("a"), F.col("node").alias("b"))
-        named = met.join(labels.withColumnRenamed("node", "set"), "set", "left").withColumn("label", F.coalesce("label", "set"))
-        mixed = named.groupBy("sig").agg(F.min("label").alias("l"), F.max("label").alias("h")).where("l < h").select("sig")
-        left = stored(named.join(mixed, "sig"), "left-over")
+        left = _still_mixed(met, labels)
+        if turn + 1 == ROUNDS:
+            met = stored(_rare(held.join(left.select("set").distinct(), "set", "left_semi"), n, percent), "rare")
+            left = _still_mixed(met, labels)
+
+
+def _still_mixed(met: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of buckets whose sets lie in different components, with those (label)."""
+    named = met.join(labels.withColumnRenamed("node", "set"), "set", "left").withColumn("label", F.coalesce("label", "set"))
+    mixed = named.groupBy("sig").agg(F.min("label").alias("l"), F.max("label").alias("h")).where("l < h").select("sig")
+    return stored(named.join(mixed, "sig"), "left-over")
 
 
 def groups(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) -> DataFrame:

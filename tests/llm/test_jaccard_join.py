@@ -125,3 +125,40 @@ def test_null_id_copy_of_a_text_with_near_copies(spark):
     got = Counter((r.doc_id, r.component_id) for r in jj.groups(plain(spark, rows)).collect())
     assert got == Counter([(None, None), (None, None), (5, 3), (3, 3), (7, 3)])
     assert Counter(r.doc_id for r in jj.keep_first(plain(spark, rows)).collect()) == Counter([None, None, 3])
+
+
+def _crowd(copies, words=100, changes=4):
+    """Copies of one text with so many words changed that none links with another, and a few near copies of some."""
+    rng = np.random.default_rng(copies)
+    base = [f"w{i}" for i in range(words)]
+    texts = []
+    for k in range(copies):
+        text = list(base)
+        for at in rng.choice(words, changes, replace=False):
+            text[at] = f"c{k}x{at}"
+        texts.append(" ".join(text))
+        if k % 10 == 0:
+            texts.append(" ".join([*text, "more"]))
+    return texts
+
+
+def test_crowded_copies_without_links(spark, monkeypatch):
+    """Groups stay right and pairs in proportion to the rows where a bucket is full of sets that do not link."""
+    compared = {}
+    for copies in (80, 320):
+        texts, seen = _crowd(copies), []
+        keep = jj.stored
+        monkeypatch.setattr(jj, "stored", lambda df, name: (out := keep(df, name), seen.append(out.count()) if name == "pairs" else None)[0])
+        got = {r.doc_id: r.component_id for r in jj.groups(docs(spark, texts), 4, 85).collect()}
+        monkeypatch.setattr(jj, "stored", keep)
+        grams = [{tuple(w[i : i + 4]) for i in range(len(w) - 3)} for w in (t.split() for t in texts)]
+        want = list(range(len(texts)))
+        for b in range(len(texts)):
+            for a in range(b):
+                common = len(grams[a] & grams[b])
+                if 100 * common >= 85 * (len(grams[a]) + len(grams[b]) - common):
+                    low, high = sorted((want[a], want[b]))
+                    want = [low if x == high else x for x in want]
+        assert got == dict(enumerate(want))
+        compared[copies] = sum(seen) / len(texts)
+    assert compared[320] < 2 * compared[80] + 10 and compared[320] < 30
