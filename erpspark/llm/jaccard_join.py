@@ -13,12 +13,12 @@ stands one, a segment that may differ by one element stands two. Sets are groupe
 - Per band the number of exact and of one-deletion segments is the cheapest by a cost of written rows and of
   chance matches: one-deletion segments for small sets, exact ones for large.
 
-Rows that meet in a segment are candidates. Equal sets are one candidate. Candidates are verified on the whole
-texts. To find the groups without listing all pairs inside them, each bucket first compares its members
+Rows that meet in a segment are candidates. Equal sets are one candidate. Candidates are verified by all n-grams of the whole
+texts, as lists written once per set. To find the groups without listing all pairs inside them, each bucket first compares its members
 with one of them; after the components of these links are known, only members of different components that still
 share a bucket go on. Every link either is verified or lies inside a component already.
 
-Sets that go on after `ROUNDS` rounds are crowded together without linking (copies with too many changes share segments of what
+Sets that go on after `SEGMENT_ROUNDS` rounds are crowded together without linking (copies with too many changes share segments of what
 was not changed). They meet anew, by their rare n-grams: ordered by the number of these sets that have them, two similar sets
 share one of the first few n-grams of each, so early that enough are left to share after it. What a copy changed stands first in its
 order and is shared with nobody. All pairs of different components that meet so are compared at last.
@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from erpspark.llm.components import components
 from erpspark.llm.scratch import stored
-from erpspark.llm.words import block_words, in_blocks, mix, sequence_hashes, text_bytes
+from erpspark.llm.words import block_words, in_blocks, mix, sequence_hashes
 
 WORDS = 5
 PERCENT = 80
@@ -48,8 +48,8 @@ PERCENT = 80
 BAND_RATIO = 1.5
 #: Written rows that one chance match is worth.
 CHANCE_COST = 40
-#: Compare-with-one rounds by segments, and then by rare n-grams, before all remaining pairs of different components are compared.
-ROUNDS = 2
+#: Compare-with-one rounds by segments, and in all, by rare n-grams, before all remaining pairs of different components are compared.
+SEGMENT_ROUNDS, ROUNDS = 1, 3
 #: A further round is made only where that leaves more pairs than so many per remaining row.
 PAIRS_PER_ROW = 4
 
@@ -198,26 +198,32 @@ def _emit(n: int, percent: int):
     return run
 
 
-def _grams(n: int):
-    schema = pa.schema([("set", pa.int64()), ("gram", pa.int64()), ("n", pa.int32())])
+def _gram_lists(n: int):
+    """The n-grams of each set, ascending, as bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, tokens in _blocks(batch.column(1), n):
-                size = len(tokens)
-                own = np.full(size, batch.column(0)[i].as_py(), np.int64)
-                yield pa.record_batch([pa.array(own), pa.array(tokens.view(np.int64)), pa.array(np.full(size, size, np.int32))], schema=schema)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, 1), pa.array([tokens.tobytes()], pa.binary())], names=["set", "grams"])
 
     return run
 
 
-def _rare(texts: DataFrame, n: int, percent: int) -> DataFrame:
+def _each_gram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for own, grams in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            values = np.frombuffer(grams.as_buffer(), np.int64)
+            size = len(values)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(size, own, np.int64)), pa.array(values), pa.array(np.full(size, size, np.int32))], names=["set", "gram", "n"])
+
+
+def _rare(lists: DataFrame, percent: int) -> DataFrame:
     """Rows (sig, set, indexed, probe, n, at): for every set those n-grams by which it meets all similar sets.
 
     `at` is the place of the n-gram in the set's order, rare ones first. The larger of two similar sets meets the smaller one, which needs
     fewer places.
     """
-    grams = stored(texts.mapInArrow(_grams(n), "set long, gram long, n int"), "grams")
+    grams = stored(lists.mapInArrow(_each_gram, "set long, gram long, n int"), "grams")
     shared = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
     order = Window.partitionBy("set").orderBy(F.coalesce("f", F.lit(1)), "gram")  # the n-grams of one set
     placed = grams.join(shared, "gram", "left").withColumn("at", F.row_number().over(order))
@@ -233,16 +239,12 @@ def _enough_left(percent: int) -> Column:
     return (F.col("n_b") <= F.col("n")) & ((100 + percent) * most >= percent * (F.col("n") + F.col("n_b")))
 
 
-def _verify(n: int, percent: int):
+def _verify(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, left = None, None
         for batch in batches:
             keep = []
-            columns = (batch.column("a"), text_bytes(batch.column("text_a")), text_bytes(batch.column("text_b")))
-            for i, (a, ta, tb) in enumerate(zip(*columns, strict=True)):
-                if last != (a := a.as_py()):
-                    last, left = a, ngrams(block_words([ta], lower=True)[0], n)
-                right = ngrams(block_words([tb], lower=True)[0], n)
+            for i, (a, b) in enumerate(zip(batch.column("grams_a"), batch.column("grams_b"), strict=True)):
+                left, right = np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64)
                 shared = len(np.intersect1d(left, right, assume_unique=True))
                 if 100 * shared >= percent * (len(left) + len(right) - shared):
                     keep.append(i)
@@ -251,11 +253,11 @@ def _verify(n: int, percent: int):
     return run
 
 
-def _links(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of sets that are similar enough, by their whole texts."""
-    right = pairs.join(texts.select(F.col("set").alias("b"), F.col("text").alias("text_b")), "b")
-    both = right.join(texts.select(F.col("set").alias("a"), F.col("text").alias("text_a")), "a")
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(_verify(n, percent), "a long, b long")
+def _links(pairs: DataFrame, lists: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of sets that are similar enough, by all their n-grams."""
+    right = pairs.join(lists.select(F.col("set").alias("b"), F.col("grams").alias("grams_b")), "b")
+    both = right.join(lists.select(F.col("set").alias("a"), F.col("grams").alias("grams_a")), "a")
+    return both.select("a", "b", "grams_a", "grams_b").mapInArrow(_verify(percent), "a long, b long")
 
 
 def _pairs(left: str, right: str) -> list:
@@ -306,14 +308,15 @@ def similar_sets(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) -> tup
     # rows without a doc_id can be joined by nothing, so they speak for no set
     wanted = signed.where("doc_id is not null").join(met.select("set").distinct(), "set", "left_semi").groupBy("set").agg(F.min(F.struct("doc_id", "mark")).alias("d"))
     wanted = wanted.select("set", F.col("d.doc_id").alias("doc_id"), F.col("d.mark").alias("mark"))
-    held = stored(texts.join(wanted, ["doc_id", "mark"]).select("set", "text").dropDuplicates(["set"]), "candidate-texts")
+    chosen = texts.join(wanted, ["doc_id", "mark"]).select("set", "text").dropDuplicates(["set"])
+    held = stored(chosen.mapInArrow(_gram_lists(n), "set long, grams binary"), "candidate-grams")
 
     met = met.withColumns({"n": F.lit(None).cast("int"), "at": F.lit(None).cast("int")})
     left = met.withColumn("label", F.col("set"))
     links, tried = None, None  # links: those found so far, as edges to the smallest set of each component
-    for turn in range(2 * ROUNDS + 1):
+    for turn in range(ROUNDS + 1):
         sums = left.groupBy("sig").agg(F.count(F.lit(1)).alias("k"), F.count_if("probe").alias("p")).agg(F.sum("k"), F.sum(F.col("k") * F.col("p"))).first()
-        last = turn == 2 * ROUNDS or not sums[0] or (turn > 0 and sums[1] <= PAIRS_PER_ROW * sums[0])
+        last = turn == ROUNDS or not sums[0] or (turn > 0 and sums[1] <= PAIRS_PER_ROW * sums[0])
         if last:
             other = left.where("indexed").select("sig", *[F.col(c).alias(f"{c}_b") for c in ("set", "label", "n", "at")])
             both = left.where("probe").join(other, "sig").where("label != label_b")
@@ -324,14 +327,14 @@ def similar_sets(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) -> tup
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
         tried = pairs if tried is None else tried.unionByName(pairs)
-        found = stored(_links(pairs, held, n, percent), "links")
+        found = stored(_links(pairs, held, percent), "links")
         if last:
             return signed, found if links is None else links.unionByName(found)
         labels = stored(components(found if links is None else links.unionByName(found)), "labels")
         links = labels.where("node != label").select(F.col("label").alias("a"), F.col("node").alias("b"))
         left = _still_mixed(met, labels)
-        if turn + 1 == ROUNDS:
-            met = stored(_rare(held.join(left.select("set").distinct(), "set", "left_semi"), n, percent), "rare")
+        if turn + 1 == SEGMENT_ROUNDS:
+            met = stored(_rare(held.join(left.select("set").distinct(), "set", "left_semi"), percent), "rare")
             left = _still_mixed(met, labels)
 
 
