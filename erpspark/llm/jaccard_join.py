@@ -49,7 +49,7 @@ BAND_RATIO = 1.5
 #: Written rows that one chance match is worth.
 CHANCE_COST = 40
 #: Compare-with-one rounds by segments, and in all, by rare n-grams, before all remaining pairs of different components are compared.
-SEGMENT_ROUNDS, ROUNDS = 1, 3
+SEGMENT_ROUNDS, ROUNDS = 2, 4
 #: A further round is made only where that leaves more pairs than so many per remaining row.
 PAIRS_PER_ROW = 4
 
