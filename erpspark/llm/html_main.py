@@ -28,7 +28,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from erpspark.llm.scratch import stored
+from erpspark.llm.scratch import aside, stored
 from erpspark.llm.words import text_bytes
 
 #: A subtree is template when it occurs beside so many different texts of its host.
@@ -225,7 +225,7 @@ def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         pages, hosts, found, beside, asked = [], [], [], [], []
         for page, site, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), text_bytes(batch.column(2)), strict=True):
-            by_hash = subtrees(raw.decode())
+            by_hash = subtrees(raw.decode("utf-8", "replace"))
             pages += [page] * len(by_hash)
             hosts += [site] * len(by_hash)
             found += by_hash
@@ -238,10 +238,10 @@ def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = []
-        for raw, cut in zip(text_bytes(batch.column("__html")), batch.column("__cut"), strict=True):
+        for raw, cut in zip(text_bytes(batch.column("__text")), batch.column("__cut"), strict=True):
             template = {h & 0xFFFFFFFFFFFFFFFF for h in cut.as_py()} if cut.is_valid else frozenset()
-            texts.append(main_text(raw.decode(), template))
-        keep = [n for n in batch.schema.names if n not in ("__html", "__cut")]
+            texts.append(main_text(raw.decode("utf-8", "replace"), template))
+        keep = [n for n in batch.schema.names if n not in ("__text", "__cut")]
         yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in keep), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=[*keep, "__text", "__n_chars"])
 
 
@@ -257,12 +257,13 @@ def template_parts(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
 
 
 def extract(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
-    """The input's columns but `html`, and `__text` and `__n_chars`."""
+    """The input's columns but `html`, and `__text` and `__n_chars` (input columns of these names give way)."""
+    outputs = ["__text", "__n_chars"]
     page = F.xxhash64(*(F.col(c).cast("string") for c in ("page_id", "url", "html")))
     narrow = pages.select(page.alias("page"), host(F.col("url").cast("string")).alias("host"), F.col("html").cast("string").alias("html"))
     cut = template_parts(narrow, min_pages).select(F.col("page").alias("__page"), F.col("cut").alias("__cut"))
-    rest = [c for c in pages.columns if c != "html"]
-    named = pages.select(*(F.col(f"`{c}`") for c in rest), F.col("html").cast("string").alias("__html"), page.alias("__row"))
-    joined = named.join(cut, named["__row"] == cut["__page"], "left").drop("__page", "__row")
-    kinds = {f.name: f.dataType.simpleString() for f in named.schema}
-    return joined.mapInArrow(_extract, ", ".join([*(f"`{c}` {kinds[c]}" for c in rest), "__text string, __n_chars long"]))
+    named, inner = aside(pages, "html", outputs)
+    row = F.xxhash64(*(named[c].cast("string") for c in (inner["page_id"], inner["url"], "__text")))
+    joined = named.join(cut, row == cut["__page"], "left").drop("__page")
+    schema = ", ".join([*(f"{n} {named.schema[n].dataType.simpleString()}" for n in inner.values()), "__text string, __n_chars long"])
+    return joined.mapInArrow(_extract, schema).toDF(*inner, *outputs)

@@ -6,13 +6,14 @@ slots carry three flat arrays: the second hash as fingerprint, the number of doc
 doc_id. Line hashes of the documents are routed to the shards and probe the arrays, so no line is ever
 joined with a line, and texts are only brought together with the hashes that they lose.
 
-Skew: documents per hash are counted with map-side partial sums; the probes of a shard are dealt to as
-many tasks as their number needs, each with a copy of the shard's arrays, so a line that stands in a
-third of all documents is spread.
+Skew: documents per hash are counted with map-side partial sums; the probes are counted per shard, and those of a
+shard are dealt to as many tasks as their number needs, each with a copy of the shard's arrays, so a line that stands
+in a third of all documents is spread.
 
 Defined results: null or empty text is one empty line; duplicate doc_ids count as one document; rows with
 a null doc_id are returned unchanged and do not count; a line that recurs inside its largest document
-stays there each time; other columns of the input are kept whatever their names.
+stays there each time; bytes that are no UTF-8 become replacement characters where texts are given back; other columns of
+the input are kept whatever their names, but for those named as an output, which give way.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from erpspark.llm.scratch import stored
+from erpspark.llm.scratch import aside, stored
 from erpspark.llm.words import SPACES, mix, text_bytes
 
 MIN_CHARS = 40
@@ -48,7 +49,7 @@ def _hashes(key: bytes) -> tuple[int, int]:
 
 
 def _long_key(key: bytes, min_chars: int) -> bool:
-    return len(key) >= min_chars and (len(key) >= 4 * min_chars or len(key.decode()) >= min_chars)
+    return len(key) >= min_chars and (len(key) >= 4 * min_chars or len(key.decode("utf-8", "replace")) >= min_chars)
 
 
 def _line_hashes(min_chars: int):
@@ -110,13 +111,20 @@ def probe_mph(levels: list[np.ndarray], keys: np.ndarray) -> np.ndarray:
     return slots
 
 
-_SHARD = "shard long, level_bits array<long>, bits binary, fingerprints binary, counts binary, keepers binary"
+_SHARD = "shard long, seed long, level_bits array<long>, bits binary, fingerprints binary, counts binary, keepers binary"
+
+
+def _shard_keys(h1: np.ndarray, h2: np.ndarray, seed: int) -> np.ndarray:
+    """One key of both hashes; the pairs that share a key differ from seed to seed."""
+    return mix(h1.view(np.uint64) ^ mix(np.array([seed], np.uint64))) ^ h2.view(np.uint64)
 
 
 def _build_shard(table: pa.Table) -> pa.Table:
     col = {n: table.column(n).to_numpy() for n in ("h1", "h2", "n_docs", "keeper")}
-    # equal first hashes with unequal second ones: the rarer case is kept apart by re-keying with both
-    keys = mix(col["h1"].view(np.uint64)) ^ col["h2"].view(np.uint64)
+    # two pairs of hashes may give one key: then all are keyed anew by the next seed
+    seed = 0
+    while len(np.unique(keys := _shard_keys(col["h1"], col["h2"], seed))) < len(keys):
+        seed += 1
     levels, slots = build_mph(keys)
     arrays = []
     for name, kind in (("h2", np.int64), ("n_docs", np.int64), ("keeper", np.int64)):
@@ -126,6 +134,7 @@ def _build_shard(table: pa.Table) -> pa.Table:
     return pa.table(
         {
             "shard": [table.column("shard")[0].as_py()],
+            "seed": [seed],
             "level_bits": pa.array([[len(x) for x in levels]], pa.list_(pa.int64())),
             "bits": [np.packbits(np.concatenate(levels)).tobytes()],
             "fingerprints": [arrays[0]],
@@ -146,7 +155,7 @@ def _probe_shard(min_docs: int):
         levels = np.split(bits, ends[:-1])
         marks, counts, keepers = (np.frombuffer(row[n], np.int64) for n in ("fingerprints", "counts", "keepers"))
         doc, h1, h2 = (probes.column(n).to_numpy() for n in _PROBE.names)
-        slots = probe_mph(levels, mix(h1.view(np.uint64)) ^ h2.view(np.uint64))
+        slots = probe_mph(levels, _shard_keys(h1, h2, row["seed"]))
         hit = slots >= 0
         at = slots[hit]
         drop = np.flatnonzero(hit)[(marks[at] == h2[hit]) & (counts[at] >= min_docs) & (keepers[at] != doc[hit])]
@@ -168,7 +177,7 @@ def _drop_lines(min_chars: int, digest: bool):
                 out = b"\n".join(left)
                 lines.append(len(parts))
                 dropped.append(len(parts) - len(left))
-                kept.append(hashlib.sha256(out).hexdigest() if digest else out.decode())
+                kept.append(hashlib.sha256(out).hexdigest() if digest else out.decode("utf-8", "replace"))
             keep = [n for n in batch.schema.names if n not in ("__text", "__lost")]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(n) for n in keep), pa.array(lines, pa.int64()), pa.array(dropped, pa.int64()), pa.array(kept, pa.string())],
@@ -185,13 +194,13 @@ def lost_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_
         probes.groupBy("h1", "h2").agg(F.count_distinct("doc_id").alias("n_docs"), F.max("doc_id").alias("keeper")).where(F.col("n_docs") >= min_docs)
     )
     keys = stored(keys, "line-keys")
-    n_probes, n_keys = probes.count(), keys.count()
-    shards = max(1, -(-n_keys // SHARD_KEYS))
-    copies = max(1, -(-n_probes // (shards * TASK_PROBES)))
+    shards = max(1, -(-keys.count() // SHARD_KEYS))
     shard = F.pmod(F.xxhash64("h1"), F.lit(shards)).alias("shard")
-    index = keys.select("*", shard).groupBy("shard").applyInArrow(_build_shard, _SHARD)
-    index = index.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
-    dealt = probes.select("*", shard, F.pmod(F.xxhash64("doc_id"), F.lit(copies)).cast("int").alias("copy"))
+    # one row per shard: the number of tasks that its probes need
+    copies = stored(probes.groupBy(shard).agg(F.ceil(F.count(F.lit(1)) / TASK_PROBES).cast("int").alias("copies")), "shard-copies")
+    index = keys.select("*", shard).groupBy("shard").applyInArrow(_build_shard, _SHARD).join(copies, "shard")
+    index = index.withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1))).drop("copies")
+    dealt = probes.select("*", shard).join(copies, "shard").withColumn("copy", F.pmod(F.xxhash64("doc_id"), F.col("copies")).cast("int")).drop("copies")
     lost = dealt.groupBy("shard", "copy").cogroup(index.groupBy("shard", "copy")).applyInArrow(_probe_shard(min_docs), "doc_id long, h1 long, h2 long")
     return lost.groupBy("doc_id").agg(F.collect_set(F.struct("h1", "h2")).alias("lost"))
 
@@ -203,9 +212,8 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
     when it is not digested (the caller overwrites or drops it).
     """
     lost = lost_lines(docs, min_chars, min_docs).select(F.col("doc_id").alias("__id"), F.col("lost").alias("__lost"))
-    rest = [c for c in docs.columns if c != "text"]
-    named = docs.select(*(F.col(f"`{c}`") for c in rest), F.col("text").cast("string").alias("__text"))
-    joined = named.join(lost, named["doc_id"].cast("long") == lost["__id"], "left").drop("__id")
-    kinds = {f.name: f.dataType.simpleString() for f in named.schema}
-    schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in rest), "__n_lines long, __n_dropped long, __kept string"])
-    return joined.mapInArrow(_drop_lines(min_chars, digest), schema)
+    outputs = ["__n_lines", "__n_dropped", "__kept"]
+    named, inner = aside(docs, "text", outputs)
+    joined = named.join(lost, named[inner["doc_id"]].cast("long") == lost["__id"], "left").drop("__id")
+    schema = ", ".join([*(f"{n} {named.schema[n].dataType.simpleString()}" for n in inner.values()), "__n_lines long, __n_dropped long, __kept string"])
+    return joined.mapInArrow(_drop_lines(min_chars, digest), schema).toDF(*inner, *outputs)

@@ -60,7 +60,7 @@ class WordEncoder:
     def _learn(self, unknown: list[bytes]) -> None:
         plain, other, known = [], [], self.parts
         for raw in unknown:
-            word = raw.decode()
+            word = raw.decode("utf-8", "replace")
             if _PLAIN(word) and "<|" not in word:
                 plain.append((raw, _PARTS(word.lower())))
             else:
@@ -70,7 +70,7 @@ class WordEncoder:
         learned = self.words
         for raw, parts in plain:
             learned[raw] = known[parts[0]] if len(parts) == 1 else b"".join([known[p] for p in parts])
-        learned.update(zip(other, self._encode([w.decode() for w in other]), strict=True))
+        learned.update(zip(other, self._encode([w.decode("utf-8", "replace") for w in other]), strict=True))
         if len(known) > CACHE_WORDS:
             for p in missing:
                 del known[p]
@@ -173,5 +173,6 @@ def pack(cut: DataFrame, size: int = SEQUENCE, group_pieces: int = GROUP_PIECES)
     """The pieces with sequence_id and offset. `cut` has doc_id, piece, start, length, ids_crc32; it is written to the shared folder first."""
     held = stored(cut, "pieces")
     groups = max(1, round(held.count() / group_pieces))
-    dealt = held.withColumn("part", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(groups)))
+    # equal rows go to different groups by their place in the written table
+    dealt = held.withColumn("part", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", F.monotonically_increasing_id()), F.lit(groups)))
     return dealt.groupBy("part").applyInPandas(_pack_group(size), "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")

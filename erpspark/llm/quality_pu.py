@@ -90,7 +90,7 @@ WIDTH = len(measures("one two"))
 
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = [np.array(measures(t.decode()), np.float32) for t in text_bytes(batch.column(1))]
+        rows = [np.array(measures(t.decode("utf-8", "replace")), np.float32) for t in text_bytes(batch.column(1))]
         flat = pa.array(np.concatenate(rows) if rows else np.empty(0, np.float32))
         x = pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * WIDTH), flat)
         yield pa.RecordBatch.from_arrays([batch.column(0), x], names=["doc_id", "x"])

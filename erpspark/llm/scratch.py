@@ -13,7 +13,7 @@ import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 _LOCAL: list[str] = []
 _SHIPPED: set[str] = set()
@@ -47,6 +47,16 @@ def shared_dir(spark: SparkSession) -> str:
     return _LOCAL[0]
 
 
+def aside(docs: DataFrame, text: str, outputs: list[str]) -> tuple[DataFrame, dict[str, str]]:
+    """The text column as `__text`, every other column under a numbered name, and those names by the names to give back.
+
+    Whatever the input's columns are called, they cannot clash with inner names; a column named as one of the outputs gives way.
+    """
+    taken = {o.lower() for o in outputs}
+    inner = {c: f"c{i}" for i, c in enumerate(docs.columns) if c != text and c.lower() not in taken}
+    return docs.select(*(F.col(f"`{c}`").alias(n) for c, n in inner.items()), F.col(text).cast("string").alias("__text")), inner
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write a frame to the shared folder and read it back: its lineage ends there, so a lost executor costs no recomputation."""
     spark = df.sparkSession

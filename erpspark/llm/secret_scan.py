@@ -14,7 +14,7 @@ a part only meets those in the cells around it, however many a document has.
 
 Places are counted in code points, end exclusive. Matches are leftmost and do not overlap within a kind.
 Defined results: null text is empty; no finding gives zero counts and an empty list; repeated rows give
-repeated results; other columns are passed by.
+repeated results; other columns are passed by whatever their names, but for those named as an output of `scan`, which give way.
 """
 
 from __future__ import annotations
@@ -133,13 +133,12 @@ def linked(parts: DataFrame, reach: int = REACH) -> DataFrame:
 def scan(docs: DataFrame, reach: int = REACH) -> DataFrame:
     """The input's columns but `text` (which `__text` carries), and `__base` and `__spans`: sorted (start, kind, end) of base and of all findings."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rest = [c for c in docs.columns if c != "text"]
-    found = docs.select(*(F.col(f"`{c}`") for c in rest), text.alias("__text")).withColumn("__base", F.sort_array(base_spans(F.col("__text"))))
+    rest = [c for c in docs.columns if c.lower() not in ("text", "__text", "__base", "__spans")]
+    found = docs.select(F.struct(*(F.col(f"`{c}`") for c in rest)).alias("__doc"), text.alias("__text")).withColumn("__base", F.sort_array(base_spans(F.col("__text"))))
     # an identifier is needed for any weak part but an identifier, and a secret for that
     traces = F.regexp_like("__text", F.lit(IDENTIFIER)) | F.exists("__base", lambda x: x["kind"] == KINDS.index("access"))
     # texts without any get a key that matches nothing and spreads them
     marked = found.withColumn("__traced", traces).withColumn("__row", F.when(F.col("__traced"), F.xxhash64("__text")).otherwise(-1 - F.monotonically_increasing_id()))
-    return_cols = [F.col(f"`{c}`") for c in rest]
     some = (
         marked.where("__traced")
         .select(F.col("__row").alias("row_id"), F.col("__text").alias("t"), F.concat("__base", weak_spans(F.col("__text"))).alias("all"))
@@ -153,7 +152,7 @@ def scan(docs: DataFrame, reach: int = REACH) -> DataFrame:
     extra = stored(linked(parts, reach).groupBy(F.col("row_id").alias("__id")).agg(F.collect_set(F.struct("start", "kind", "end")).alias("__extra")), "linked-parts")
     return (
         marked.join(extra, F.col("__traced") & (marked["__row"] == extra["__id"]), "left")
-        .select(*return_cols, "__text", "__base", F.sort_array(F.concat("__base", F.coalesce("__extra", F.array().cast(_NO_SPANS)))).alias("__spans"))
+        .select("__doc.*", "__text", "__base", F.sort_array(F.concat("__base", F.coalesce("__extra", F.array().cast(_NO_SPANS)))).alias("__spans"))
     )
 
 
@@ -169,7 +168,7 @@ def count_kind(found: Column, kind: str) -> Column:
 
 def redact(docs: DataFrame, reach: int = REACH) -> DataFrame:
     """The documents with `[kind]` in place of every finding; findings that overlap become one place."""
-    marked = docs.withColumn("__was_null", F.col("text").isNull())
+    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("whole"), "text")
     names = F.array(*(F.lit(f"[{k}]") for k in KINDS))
 
     def step(acc: Column, s: Column) -> Column:
@@ -179,5 +178,5 @@ def redact(docs: DataFrame, reach: int = REACH) -> DataFrame:
 
     start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<string>").alias("out"))
     tail = lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(F.col("__text"), (acc["at"] + 1).cast("int"), F.length(F.col("__text"))))
-    text = F.when(F.col("__was_null"), F.lit(None).cast("string")).when(F.size("__spans") == 0, F.col("__text")).otherwise(F.aggregate("__spans", start, step, tail))
-    return scan(marked, reach).withColumn("text", text).select(*(F.col(f"`{c}`") for c in docs.columns))
+    text = F.when(F.col("whole.text").isNull(), F.lit(None).cast("string")).when(F.size("__spans") == 0, F.col("__text")).otherwise(F.aggregate("__spans", start, step, tail))
+    return scan(whole, reach).select(*(text.alias(c) if c == "text" else F.col(f"whole.`{c}`").alias(c) for c in docs.columns))

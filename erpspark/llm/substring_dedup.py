@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from erpspark.llm.scratch import stored
+from erpspark.llm.scratch import aside, stored
 from erpspark.llm.words import block_words, in_blocks, mix, sequence_hashes, text_bytes, word_hashes
 
 WINDOW = 50
@@ -138,7 +138,7 @@ def _remove(digest: bool):
                     words = [words[i] for i in np.flatnonzero(stay)]
                 removed.append(total[-1] - len(words))
                 out = b" ".join(words)
-                kept.append(hashlib.sha256(out).hexdigest() if digest else out.decode())
+                kept.append(hashlib.sha256(out).hexdigest() if digest else out.decode("utf-8", "replace"))
             keep = [n for n in batch.schema.names if n not in ("__text", "__cut")]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(n) for n in keep), pa.array(total, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string())],
@@ -169,10 +169,9 @@ def repeated_intervals(docs: DataFrame, window: int = WINDOW, anchor: int = ANCH
 def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, digest: bool = False) -> DataFrame:
     """The input's columns but `text`, and `__n_words`, `__n_removed`, `__kept` (kept words joined by one space, or the SHA-256 of that)."""
     cut = repeated_intervals(docs, window, anchor).select(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark"), F.col("cut").alias("__cut"))
-    rest = [c for c in docs.columns if c != "text"]
-    named = docs.select(*(F.col(f"`{c}`") for c in rest), F.col("text").cast("string").alias("__text"))
-    same = (named["doc_id"].cast("long") == cut["__id"]) & (F.xxhash64(named["__text"]) == cut["__mark"])
+    outputs = ["__n_words", "__n_removed", "__kept"]
+    named, inner = aside(docs, "text", outputs)
+    same = (named[inner["doc_id"]].cast("long") == cut["__id"]) & (F.xxhash64(named["__text"]) == cut["__mark"])
     joined = named.join(cut, same, "left").drop("__id", "__mark")
-    kinds = {f.name: f.dataType.simpleString() for f in named.schema}
-    schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in rest), "__n_words long, __n_removed long, __kept string"])
-    return joined.mapInArrow(_remove(digest), schema)
+    schema = ", ".join([*(f"{n} {named.schema[n].dataType.simpleString()}" for n in inner.values()), "__n_words long, __n_removed long, __kept string"])
+    return joined.mapInArrow(_remove(digest), schema).toDF(*inner, *outputs)

@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_fixtures import docs, plain
 from pyspark.sql import functions as F
@@ -51,8 +52,27 @@ def test_line_edges(spark):
     out = line_dedup.dedup_lines(plain(spark, rows), digest=True).select("doc_id", "__n_lines", "__n_dropped", "__kept").collect()
     assert Counter(tuple(r) for r in out) == brute_lines(rows, 40, 5)
     assert line_dedup.dedup_lines(plain(spark, [])).count() == 0
-    clash = line_dedup.dedup_lines(docs(spark, ["a", None]).drop("__text"))
-    assert {"row_id", "score", "lang"} <= set(clash.columns) and clash.count() == 2
+    clash = line_dedup.dedup_lines(docs(spark, ["a", None]).withColumn("__lost", F.lit(1)).withColumn("c0", F.lit("x")))
+    assert {"row_id", "score", "lang", "__text", "__lost", "c0"} <= set(clash.columns)
+    assert {(r["__text"], r["__lost"], r.c0, r["__kept"]) for r in clash.collect()} == {("clash", 1, "x", "a"), ("clash", 1, "x", "")}
+
+
+def test_no_utf8(spark):
+    """Bytes that are no UTF-8 become replacement characters in texts given back."""
+    bad = plain(spark, [(i, "plain") for i in range(6)]).withColumn("text", F.expr("cast(unhex('61FF62') as string)"))
+    assert {r["__kept"] for r in line_dedup.dedup_lines(bad, min_chars=2).collect()} == {"a\ufffdb", ""}
+    assert {r["__kept"] for r in substring_dedup.remove_repeats(bad).collect()} == {"a\ufffdb"}
+
+
+def test_equal_keys_take_another_seed():
+    h1 = np.array([1, 2, 3], np.int64)
+    clash = line_dedup.mix(h1.view(np.uint64) ^ line_dedup.mix(np.array([0], np.uint64)))
+    h2 = (clash ^ clash[0]).view(np.int64)  # the first seed gives all three one key
+    table = pa.table({"shard": [0] * 3, "h1": h1, "h2": h2, "n_docs": [5, 6, 7], "keeper": [1, 2, 3]})
+    shard = line_dedup._build_shard(table)
+    assert shard.column("seed")[0].as_py() > 0
+    probes = pa.table({"doc_id": pa.array([9] * 3), "h1": h1, "h2": h2})
+    assert line_dedup._probe_shard(6)(probes, shard).num_rows == 2
 
 
 def test_line_shards_agree(spark, monkeypatch):
@@ -110,5 +130,5 @@ def test_windows_against_brute_force(spark, window, anchor):
 
 def test_window_edges(spark):
     assert substring_dedup.remove_repeats(plain(spark, [])).count() == 0
-    clash = substring_dedup.remove_repeats(docs(spark, ["a b", None]).drop("__text").withColumn("cut", F.lit(1)))
-    assert {"row_id", "score", "cut"} <= set(clash.columns) and clash.count() == 2
+    clash = substring_dedup.remove_repeats(docs(spark, ["a b", None]).withColumn("cut", F.lit(1)))
+    assert {"row_id", "score", "cut", "__text"} <= set(clash.columns) and {(r["__text"], r["__kept"]) for r in clash.collect()} == {("clash", "a b"), ("clash", "")}

@@ -100,6 +100,8 @@ def test_scan_edges(spark):
     assert len(got) == len(rows)
     for r in got:
         check_scan(r, odd[r.doc_id])
+    clash = secret_scan.scan(plain(spark, [(1, "token=abcdefghijklmnop", 5, "x", 7)], "doc_id long, text string, __spans long, __doc string, __row long")).first()
+    assert (clash["__doc"], clash["__row"], clash["__text"], len(clash["__spans"])) == ("x", 7, "token=abcdefghijklmnop", 1)
     spans = {r.doc_id: r.spans for r in got}
     assert "key:24:64" in spans[9] and "key" not in spans[10] and "key" not in spans[11]
     assert all(k in spans[12] for k in ("identifier:", "key:", "endpoint:"))
