@@ -7,7 +7,8 @@ from datetime import date
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from erpspark.catalog.registry import Erp, query
+from erpspark.catalog import core_queries, marts  # noqa: F401 - their queries stand for tables checked here
+from erpspark.catalog.registry import CHECKS, PLANS, Erp, query
 from erpspark.catalog.roles import PARAMS
 from erpspark.catalog.sqltext import div, part, pct, r
 from erpspark.plans import quality as q
@@ -299,3 +300,89 @@ query(
     + " UNION ALL ".join(f"SELECT count(*) FILTER ({c} IS NULL) AS n FROM r_{t}" for t, cs in NOT_NULL.items() for c in cs)
     + ") GROUP BY 1",
 )(lambda e: q.summary(q.union_all([q.not_null(e.role(t), t, cs) for t, cs in NOT_NULL.items()])))
+
+# --- every declared check, one read per table ----------------------------------------------------------
+
+# fixed values: declared columns per table of the core layer, its staging views and the marts, as
+# table: (role, query or mart that stands for it, NOT NULL columns, unique columns)
+CORE_DECLARED = {
+    "dim_date": ("dates", "date_key", "date_key"), "dim_customer": ("customers", "customer_key customer_id", "customer_key"),
+    "dim_product": ("products", "product_key product_id", "product_key"), "dim_staff": ("staff", "staff_key", "staff_key"),
+    "dim_department": ("core_dim_department", "department_key", "department_key"),
+    "dim_warehouse": ("warehouses", "warehouse_key", "warehouse_key"),
+    "dim_warehouse_location": ("core_dim_warehouse_location", "location_key", "location_key"),
+    "dim_supplier": ("suppliers", "supplier_key", "supplier_key"),
+    "dim_manufacture": ("core_dim_manufacture", "manufacture_key", "manufacture_key"),
+    "dim_price_group": ("core_dim_price_group", "price_group_key", "price_group_key"),
+    "dim_material": ("materials", "material_key material_id", "material_key"),
+    "fact_orders": ("orders", "order_id order_date_key", ""),
+    "fact_order_items": ("core_fact_order_items", "order_item_id", ""),
+    "fact_delivery_items": ("core_fact_delivery_items", "delivery_item_id", ""),
+    "fact_warehouse_stock": ("lots", "stock_id", ""), "fact_warehouse_export": ("exports", "export_id", ""),
+    "fact_purchase_order_items": ("po_lines", "po_item_id", ""),
+    "fact_production_order_items": ("production_items", "prod_item_id", ""), "fact_production_stages": ("stages", "prod_stage_id", ""),
+    "fact_purchase_product_items": ("core_fact_purchase_product_items", "pp_item_id", ""),
+    "fact_transfer_warehouse": ("core_fact_transfer_warehouse", "transfer_detail_id", ""),
+    "stg_customers": ("view_customers", "customer_key customer_id", "customer_key"),
+    "stg_products": ("view_products", "product_key product_id", "product_key"), "stg_staff": ("view_staff", "staff_key staff_id", "staff_key"),
+    "stg_suppliers": ("view_suppliers", "supplier_key supplier_id", "supplier_key"),
+    "stg_materials": ("view_materials", "material_key material_id", "material_key"),
+    "stg_warehouses": ("view_warehouses", "warehouse_key warehouse_id", "warehouse_key"), "stg_date": ("view_dates", "date_key", "date_key"),
+    "stg_orders": ("view_orders", "order_id order_date_key", ""), "stg_order_items": ("view_order_items", "order_item_id", ""),
+}
+MART_DECLARED = {
+    "int_orders_enriched": ("enriched", "order_id order_date_key", ""), "fct_purchase_cost": ("purchases", "po_date_key", ""),
+    "dim_customer_credit": ("credit", "customer_key", "customer_key"), "fct_gross_profit": ("profit", "order_date_key", ""),
+    "fct_production_npl_cost": ("plan_cost", "", "bom_line_id"), "fct_order_npl_cost": ("order_cost", "order_id", "order_id"),
+    "fct_stock_snapshot": ("snapshot", "stock_id", "stock_id"), "fct_revenue": ("revenue", "order_date_key", ""),
+    "fct_order_items_detail": ("detail", "order_item_id", ""), "fct_order_performance": ("performance", "order_id", "order_id"),
+    "dim_customer_segmentation": ("segmentation", "customer_key", "customer_key"),
+    "dim_customer_mart": ("view_customers", "customer_key", "customer_key"),
+    "dim_material_mart": ("material_mart", "material_key material_id", "material_key"),
+    "dim_product_mart": ("product_mart", "product_key", "product_key"),
+    # declared without column checks: their rows are counted
+    "fct_inbound_outbound": ("moves", "", ""), "fct_production_efficiency": ("efficiency", "", ""),
+}
+_MART_SQL = {attr: cte for attr, cte in MARTS.values()} | {"enriched": "k_enriched"}
+
+
+def _rules(table: str, declared: dict[str, tuple[str, str, str]]) -> q.Rules:
+    _, filled, keys = declared[table]
+    return q.Rules(
+        tuple(filled.split()), tuple(keys.split()), q.MIN_ROWS.get(table), q.LOW_VOLUME.get(table, 1) if table in MARTS else None,
+        tuple(x[1:] for x in q.NULL_LIMITS if x[0] == table),
+    )
+
+
+def _declared_sql(table: str, declared: dict[str, tuple[str, str, str]]) -> str:
+    name, rules = declared[table][0], _rules(table, declared)
+    source = f"({CHECKS[name]})" if name in CHECKS else _MART_SQL.get(name, f"r_{name}")
+    n_rows = f"(SELECT count(*) AS n FROM {source})"
+    out = [_result("not_null", f"{table}.{c}", "n", 0, "n = 0", f"(SELECT count(*) FILTER ({c} IS NULL) AS n FROM {source})") for c in rules.not_null]
+    out += [
+        _result("unique", f"{table}.{c}", "n", 0, "n = 0", f"(SELECT count(*) AS n FROM (SELECT {c} FROM {source} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1))")
+        for c in rules.unique
+    ]
+    if rules.least is not None:
+        out.append(_result("min_rows", table, "n", rules.least, f"n >= {rules.least}", n_rows))
+    if rules.volume is not None:
+        out.append(_result("mart_volume", table, "n", rules.volume, f"n >= {rules.volume}", n_rows, "warn"))
+    for c, limit, known in rules.null_rates:
+        slack = f"WHEN s < {known} * 1.5 THEN 'warn' " if known else ""
+        out.append(
+            f"SELECT 'null_rate', '{table}.{c}', CASE WHEN s <= {limit} THEN 'ok' {slack}ELSE 'fail' END, {r('s', 4)}, {limit} "
+            f"FROM (SELECT {div(f'count(*) FILTER ({c} IS NULL) * 100', 'count(*)')} AS s FROM {source})"
+        )
+    return " UNION ALL ".join(out)
+
+
+def _declared(e: Erp, declared: dict[str, tuple[str, str, str]]):
+    frames = []
+    for table, (name, _, _) in declared.items():
+        df = PLANS[name](e) if name in PLANS else getattr(e, name)
+        frames.append(q.table_checks(df, table, _rules(table, declared)))
+    return q.union_all(frames)
+
+
+for _name, _tables in (("dq_core_declared", CORE_DECLARED), ("dq_marts_declared", MART_DECLARED)):
+    query(_name, RESULT, " UNION ALL ".join(_declared_sql(t, _tables) for t in _tables))(lambda e, d=_tables: _declared(e, d))

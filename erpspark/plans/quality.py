@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import date
 from functools import reduce
 
@@ -52,6 +53,68 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
+def _unfold(stats: DataFrame, rows: list[list[Column]]) -> DataFrame:
+    """Several result rows from one row of figures, so that what gives the figures is read once."""
+    return stats.select(F.inline(F.array(*[F.struct(*r) for r in rows])))
+
+
+@dataclass(frozen=True)
+class Rules:
+    """What is declared for one table."""
+
+    not_null: tuple[str, ...] = ()
+    unique: tuple[str, ...] = ()
+    least: int | None = None  # fewer rows fail
+    volume: int | None = None  # fewer rows warn
+    null_rates: tuple[tuple[str, float, float | None], ...] = ()  # key, limit in percent, known share
+
+
+def table_checks(df: DataFrame, table: str, rules: Rules) -> DataFrame:
+    """All declared checks of a table from one read of it.
+
+    Without unique keys that is one aggregate. With them, rows are first counted per key value (map-side partial
+    counts; several keys as text, one pair per row and key), the other counts ride along with the first key, and a
+    second aggregate sums up. NULLs do not count as repeated; an empty table has no NULLs.
+    """
+    columns = list(dict.fromkeys([*rules.not_null, *(c for c, _, _ in rules.null_rates)]))
+    nulls = {c: f"__nulls_{i}" for i, c in enumerate(columns)}
+    repeated = {c: f"__repeated_{i}" for i, c in enumerate(rules.unique)}
+    flags = [F.col(c).isNull().cast("bigint").alias(n) for c, n in nulls.items()]
+    if not rules.unique:
+        stats = df.select(*flags).agg(F.count(F.lit(1)).alias("__rows"), *[F.sum(n).alias(n) for n in nulls.values()])
+    else:
+        if len(rules.unique) == 1:
+            pairs = df.select(*flags, F.lit(0).alias("__i"), F.col(rules.unique[0]).alias("__v"))
+        else:
+            keys = F.array(*[F.struct(F.lit(i).alias("__i"), F.col(c).cast("string").alias("__v")) for i, c in enumerate(rules.unique)])
+            pairs = df.select(*flags, F.inline(keys))
+        counted = pairs.groupBy("__i", "__v").agg(F.count(F.lit(1)).alias("__n"), *[F.sum(n).alias(n) for n in nulls.values()])
+        first = F.col("__i") == 0
+        twice = F.col("__v").isNotNull() & (F.col("__n") > 1)
+        stats = counted.agg(
+            F.sum(F.when(first, F.col("__n"))).alias("__rows"), *[F.sum(F.when(first, F.col(n))).alias(n) for n in nulls.values()],
+            *[F.count_if(twice & (F.col("__i") == i)).alias(n) for i, n in enumerate(repeated.values())],
+        )
+    stats = stats.na.fill(0)
+    n_rows = F.col("__rows")
+    out = [_row("not_null", f"{table}.{c}", _passed(F.col(nulls[c]) == 0), F.col(nulls[c]), 0) for c in rules.not_null]
+    out += [_row("unique", f"{table}.{c}", _passed(F.col(n) == 0), F.col(n), 0) for c, n in repeated.items()]
+    if rules.least is not None:
+        out.append(_row("min_rows", table, _passed(n_rows >= rules.least), n_rows, rules.least))
+    if rules.volume is not None:
+        out.append(_row("mart_volume", table, F.when(n_rows >= rules.volume, "ok").otherwise("warn"), n_rows, rules.volume))
+    out += [_null_rate(f"{table}.{c}", zero_if_null(ratio(F.col(nulls[c]) * 100, n_rows)), limit, known) for c, limit, known in rules.null_rates]
+    return _unfold(stats, out)
+
+
+def _null_rate(subject: str, share: Column, limit: float, known: float | None) -> list[Column]:
+    """Fail above the limit, only warn while below 1.5 x the known share."""
+    levels = [(share <= limit, "ok")]
+    if known is not None:
+        levels.append((share < known * KNOWN_SLACK, "warn"))
+    return _row("null_rate", subject, first_match(levels, "fail"), rounded(share, 4), limit)
+
+
 def _unpivot(counts: DataFrame, table: str, names: list[str]) -> DataFrame:
     """One aggregate row into (subject, observed) rows."""
     pairs = F.array(*[F.struct(F.lit(f"{table}.{n}").alias("subject"), F.col(n).alias("observed")) for n in names])
@@ -94,18 +157,7 @@ def mart_volume(df: DataFrame, mart: str) -> DataFrame:
 
 def null_rates(df: DataFrame, table: str, limits: list[tuple] | None = None) -> DataFrame:
     """NULL share per key: fail above the limit, only warn while below 1.5 x the known share."""
-    mine = [x for x in (limits or NULL_LIMITS) if x[0] == table]
-    counts = df.agg(
-        *[ratio(F.count_if(F.col(c).isNull()) * 100, F.count(F.lit(1))).alias(c) for _, c, _, _ in mine]
-    )
-    out = []
-    for _, c, limit, known in mine:
-        share = zero_if_null(c)
-        rules = [(share <= limit, "ok")]
-        if known is not None:
-            rules.append((share < known * KNOWN_SLACK, "warn"))
-        out.append(counts.select(*_row("null_rate", f"{table}.{c}", first_match(rules, "fail"), rounded(share, 4), limit)))
-    return union_all(out)
+    return table_checks(df, table, Rules(null_rates=tuple(x[1:] for x in (limits or NULL_LIMITS) if x[0] == table)))
 
 
 def freshness(state: DataFrame, as_of: date, days: int = STALE_DAYS) -> DataFrame:
@@ -171,12 +223,12 @@ def snapshot_against_moves(snapshot: DataFrame, moves: DataFrame) -> DataFrame:
     ):
         gap = zero_if_null(ratio(F.abs(F.col(f"snap_{c}") - F.col(f"io_{c}")) * 100, F.col(f"{base}_{c}")))
         checks.append(
-            sums.select(
+            [
                 *_row("snapshot_vs_moves", name, F.when(gap < limit, "ok").otherwise("warn"), rounded(gap, 4), limit),
-                F.col(f"snap_{c}").alias("snapshot_total"), F.col(f"io_{c}").alias("movement_total"),
-            )
+                F.col(f"snap_{c}").cast("double").alias("snapshot_total"), F.col(f"io_{c}").cast("double").alias("movement_total"),
+            ]
         )
-    return union_all(checks)
+    return _unfold(sums, checks)
 
 
 def warehouse_drift(snapshot: DataFrame, moves: DataFrame, k: int = 10) -> DataFrame:
@@ -239,15 +291,16 @@ def date_dim_checks(dates: DataFrame, start: date, end: date) -> DataFrame:
         F.count_distinct("date_key").alias("keys"), F.count_if(F.col("is_weekend") != weekend).alias("weekend"),
         F.count_if(F.col("date_key") != F.date_format("full_date", "yyyyMMdd").cast("int")).alias("format"),
     )
-    return union_all(
+    return _unfold(
+        stats,
         [
-            stats.select(*_row("date_dim", "row_count", _passed(F.col("n") == days), F.col("n"), days)),
-            stats.select(*_row("date_dim", "first_day", _passed(F.col("first") == F.lit(start)), F.datediff("first", F.lit(start)), 0)),
-            stats.select(*_row("date_dim", "last_day", _passed(F.col("last") == F.lit(end)), F.datediff("last", F.lit(end)), 0)),
-            stats.select(*_row("date_dim", "unique_key", _passed(F.col("keys") == F.col("n")), F.col("n") - F.col("keys"), 0)),
-            stats.select(*_row("date_dim", "weekend_rule", _passed(F.col("weekend") == 0), F.col("weekend"), 0)),
-            stats.select(*_row("date_dim", "key_format", _passed(F.col("format") == 0), F.col("format"), 0)),
-        ]
+            _row("date_dim", "row_count", _passed(F.col("n") == days), F.col("n"), days),
+            _row("date_dim", "first_day", _passed(F.col("first") == F.lit(start)), F.datediff("first", F.lit(start)), 0),
+            _row("date_dim", "last_day", _passed(F.col("last") == F.lit(end)), F.datediff("last", F.lit(end)), 0),
+            _row("date_dim", "unique_key", _passed(F.col("keys") == F.col("n")), F.col("n") - F.col("keys"), 0),
+            _row("date_dim", "weekend_rule", _passed(F.col("weekend") == 0), F.col("weekend"), 0),
+            _row("date_dim", "key_format", _passed(F.col("format") == 0), F.col("format"), 0),
+        ],
     )
 
 

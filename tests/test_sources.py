@@ -5,6 +5,7 @@ from datetime import date, datetime
 
 import pytest
 
+from erpspark.catalog import quality_queries
 from erpspark.plans import quality
 from erpspark.sources import cleaning, pipeline, sinks, state, tables
 from erpspark.streaming.incremental import insert_writer, stream_incremental, stream_to_folder, upsert_writer
@@ -182,3 +183,32 @@ def test_freshness(spark):
 def test_unique_ignores_nulls(spark, values, status):
     df = frame(spark, "v bigint", [(v,) for v in values])
     assert quality.unique(df, "t", "v").first()["status"] == status
+
+
+def test_declared_lists_are_whole():
+    both = [*quality_queries.CORE_DECLARED.values(), *quality_queries.MART_DECLARED.values()]
+    assert sum(len(x[1].split()) for x in both) == 56 and sum(len(x[2].split()) for x in both) == 27
+    rules = [quality_queries._rules(t, quality_queries.CORE_DECLARED) for t in quality_queries.CORE_DECLARED]
+    assert sum(len(x.null_rates) for x in rules) == 12 and sum(x.least is not None for x in rules) == 19
+
+
+@pytest.mark.parametrize("unique", [(), ("a",), ("a", "b"), ("b", "d", "a")])
+def test_fused_checks_equal_single_ones(spark, unique):
+    data = [(1, "x", None, date(2024, 1, 1)), (1, "y", 2.0, None), (None, "y", 2.0, date(2024, 1, 1)), (None, None, None, None), (3, "z", None, date(2024, 1, 2))]
+    df = frame(spark, "a bigint, b string, c double, d date", data)
+    rules = quality.Rules(("a", "b", "c"), unique, 6, 5, (("c", 50.0, None), ("c", 10.0, 50.0)))
+    for part in (df, df.limit(0)):
+        got = quality.table_checks(part, "t", rules)
+        single = quality.not_null(part, "t", ["a", "b", "c"])
+        for c in unique:
+            single = single.union(quality.unique(part, "t", c))
+        single = single.union(quality.min_rows(part, "t", 6))
+        assert rows(got.filter("check_name not in ('mart_volume', 'null_rate')")) == rows(single)
+    rates = rows(quality.table_checks(df, "t", rules).filter("check_name in ('mart_volume', 'null_rate')"), "check_name", "status", "observed")
+    assert rates == [("mart_volume", "ok", 5.0), ("null_rate", "fail", 60.0), ("null_rate", "warn", 60.0)]
+
+
+def test_fused_checks_read_a_table_once(spark, tmp_path):
+    frame(spark, "a bigint, b string", [(1, "x"), (1, None)]).write.parquet(str(tmp_path / "t"))
+    out = quality.table_checks(spark.read.parquet(str(tmp_path / "t")), "t", quality.Rules(("a", "b"), ("a", "b"), 1, None, (("b", 1.0, None),)))
+    assert out._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1 and out.count() == 6
