@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from erpspark.catalog.quality_queries import marks
 from erpspark.catalog.registry import Erp, query
+from erpspark.catalog.sqltext import r
+from erpspark.functions.expr import rounded
 from erpspark.operators.upsert import latest_per_key
 from erpspark.session import work_dir
 from erpspark.sources import cleaning, pipeline, sinks, state, tables
@@ -101,6 +103,45 @@ def _partitioned(e: Erp):
     return rows.groupBy("year").agg(F.count(F.lit(1)).alias("lots"), F.sum("quantity").alias("quantity"))
 
 
+CUSTOMER_DDL = "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+
+
+@query(
+    "ingest_csv",
+    "kind:s reason:s n_rows:l files:b chars:l balance:d",
+    f"""WITH wrong AS (SELECT 'x' || c_custkey || ',' || c_name || ',' || c_nationkey || ',,' || c_mktsegment AS record FROM customer WHERE c_acctbal < 0),
+          short AS (SELECT c_custkey || ',' || c_name AS record FROM customer WHERE c_mktsegment = 'BUILDING')
+        SELECT 'good' AS kind, NULL AS reason, count(*) AS n_rows, NULL AS files, NULL AS chars, {r('sum(c_acctbal)', 2)} AS balance FROM customer
+        UNION ALL SELECT 'bad', 'value of c_custkey', count(*), true, sum(length(record)), NULL FROM wrong HAVING count(*) > 0
+        UNION ALL SELECT 'bad', 'number of fields', count(*), true, sum(length(record)), NULL FROM short HAVING count(*) > 0
+        UNION ALL SELECT 'counted good', NULL, count(*), NULL, NULL, NULL FROM customer
+        UNION ALL SELECT 'counted bad', NULL, (SELECT count(*) FROM wrong) + (SELECT count(*) FROM short), NULL, NULL, NULL""",
+)
+def _csv(e: Erp):
+    """Customers as CSV lines, with a line of a wrong key for those in debt and a cut-off line for those of one segment."""
+    root = f"{work_dir(e.spark)}/csv-{uuid.uuid4().hex}"
+    c = e.table("customer")
+    names = [x.split()[0] for x in CUSTOMER_DDL.split(", ")]
+    line = lambda *fields: F.concat_ws(",", *[F.coalesce(x.cast("string"), F.lit("")) for x in fields]).alias("value")
+    key, name, nation, segment = (F.col(x) for x in ("c_custkey", "c_name", "c_nationkey", "c_mktsegment"))
+    wrong = c.filter("c_acctbal < 0").select(line(F.concat(F.lit("x"), key), name, nation, F.lit(""), segment))
+    short = c.filter(segment == "BUILDING").select(line(key, name))
+    c.select(line(*map(F.col, names))).unionByName(wrong).unionByName(short).write.text(f"{root}/files")
+    load = tables.load_csv(e.spark, f"{root}/files", CUSTOMER_DDL, f"{root}/table", header=False)
+    shape = ["kind", "reason", "n_rows", "files", "chars", "balance"]
+    none = lambda kind: F.lit(None).cast(kind)
+    rows = F.count(F.lit(1))
+    good = load.good.agg(rows.alias("n_rows"), rounded(F.sum("c_acctbal"), 2).alias("balance")).withColumns(
+        {"kind": F.lit("good"), "reason": none("string"), "files": none("boolean"), "chars": none("bigint")}
+    )
+    bad = load.bad.groupBy("reason").agg(
+        rows.alias("n_rows"), F.bool_and(F.col("file").isNotNull()).alias("files"), F.sum(F.length("record")).alias("chars")
+    ).withColumns({"kind": F.lit("bad"), "balance": none("double")})
+    counted = [("counted good", None, load.n_good, None, None, None), ("counted bad", None, load.n_bad, None, None, None)]
+    told = e.spark.createDataFrame(counted, "kind string, reason string, n_rows bigint, files boolean, chars bigint, balance double")
+    return good.select(*shape).unionByName(bad.select(*shape)).unionByName(told)
+
+
 LATEST = "user_id:l event_id:l event_type:s value:d"
 LATEST_SQL = "SELECT user_id, max(event_id) AS event_id, arg_max(event_type, (ts, event_id)) AS event_type, arg_max(value, (ts, event_id)) AS value FROM events GROUP BY user_id"
 
@@ -134,27 +175,32 @@ query("ingest_batch_latest", LATEST, LATEST_SQL)(
            UNION ALL SELECT l, 'tblclients', count(*), '2024-02-01 00:00:00' FROM customer, (VALUES (1), (2)) v(l) GROUP BY l
            UNION ALL SELECT 2, 'tbl_orders', count(*), strftime(max(date), '%Y-%m-%d %H:%M:%S') FROM o, first WHERE date >= m
            UNION ALL SELECT 2, 'tbl_delivery_items', count(*), cast(max(l_orderkey) AS varchar) FROM lineitem WHERE l_orderkey >= (SELECT max(l_orderkey) FROM lineitem WHERE l_orderkey < 500))
-       SELECT load, table_name, 'ok' AS status, row_count, mark, row_count AS kept FROM loads""",
+       SELECT load, table_name, 'ok' AS status, row_count, mark, row_count AS kept FROM loads
+       UNION ALL SELECT 2, 'tblsuppliers', 'ok', count(*), '2024-02-01 00:00:00', count(*) FROM supplier
+       UNION ALL SELECT 1, 'tblsuppliers', 'skipped', 0, 'no new data', 0
+       UNION ALL SELECT l, 'tbl_deliveries', 'failed', 0, NULL, 0 FROM (VALUES (1), (2)) v(l)""",
 )
 def _replay(e: Erp):
-    """Two runs of the extract pipeline over folders of source tables; the second starts at the marks of the first."""
+    """Two runs of the extract pipeline over folders of source tables; the second starts at the marks of the first.
+    Suppliers are empty in the first run, and deliveries cannot be read in either: the other tables load all the same."""
     spark, root = e.spark, f"{work_dir(e.spark)}/extract-{uuid.uuid4().hex}"
     database = f"extract_{uuid.uuid4().hex}"
     spark.sql(f"CREATE DATABASE {database} LOCATION '{root}/{database}'")
     orders = e.table("orders").select(F.col("o_orderkey").alias("id"), F.expr("o_orderdate + INTERVAL 30 YEARS").alias("date"))
     lines = e.table("lineitem").select(F.col("l_orderkey").alias("id"), "l_quantity")
-    names = ["tbl_orders", "tbl_delivery_items", "tblclients"]
+    names = ["tbl_orders", "tbl_delivery_items", "tblclients", "tblsuppliers"]
     out = None
     for load, (seen, known) in enumerate([(F.col("date") < F.lit("2028-01-01").cast("timestamp_ntz"), F.col("id") < 500), (F.lit(True), F.lit(True))], 1):
         source = f"{root}/source-{load}"
-        for name, rows in zip(names, (orders.filter(seen), lines.filter(known), e.table("customer")), strict=True):
+        suppliers = e.table("supplier") if load == 2 else e.table("supplier").limit(0)
+        for name, rows in zip(names, (orders.filter(seen), lines.filter(known), e.table("customer"), suppliers), strict=True):
             rows.write.parquet(f"{source}/{name}")
-        status = pipeline.run_extract(tables.Source(spark, source), database, NOW, only=names)
+        status = pipeline.run_extract(tables.Source(spark, source), database, NOW, only=[*names, "tbl_deliveries"])
         # the raw tables are replaced by the next load: their rows are counted now
-        kept = [(name, spark.table(f"{database}.{name}").count()) for name in names]
+        kept = [(name, spark.table(f"{database}.{name}").count() if sinks.exists(spark, f"{database}.{name}") else 0) for name in [*names, "tbl_deliveries"]]
         raw = spark.createDataFrame(kept, "table_name string, kept bigint")
         part = status.join(raw, "table_name").select(
-            F.lit(load).cast("bigint").alias("load"), "table_name", "status", F.col("rows").alias("row_count"), F.col("note").alias("mark"), "kept"
+            F.lit(load).cast("bigint").alias("load"), "table_name", "status", F.col("rows").alias("row_count"), F.when(F.col("status") != "failed", F.col("note")).alias("mark"), "kept"
         )
         out = part if out is None else out.unionByName(part)
     spark.sql(f"DROP DATABASE {database} CASCADE")

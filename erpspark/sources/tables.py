@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -88,6 +88,52 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> Data
     )
 
 
+@dataclass(frozen=True)
+class CsvLoad:
+    """Rows of a CSV load that fit the schema, lines that do not (`record`, `file`, `reason`), and how many of each."""
+
+    good: DataFrame
+    bad: DataFrame
+    n_good: int
+    n_bad: int
+
+
+def _csv_reason(record: Column, schema: T.StructType) -> Column:
+    """Why a line does not fit: its number of fields, or the first value that its column's type cannot take."""
+    fields = ", ".join(f"`{f.name}` string" for f in schema)
+    texts = F.from_csv(record, f"{fields}, `__bad` string", {"columnNameOfCorruptRecord": "__bad", "nullValue": ""})
+    unfit = [F.when(texts[f.name].isNotNull() & texts[f.name].try_cast(f.dataType).isNull(), F.lit(f"value of {f.name}")) for f in schema]
+    return F.when(texts["__bad"].isNotNull(), "number of fields").otherwise(F.coalesce(*unfit, F.lit("value")))
+
+
+def load_csv(spark: SparkSession, path: str, schema: T.StructType | str, target: str, header: bool = True) -> CsvLoad:
+    """Read CSV files once, lines that do not fit the schema kept aside with their file and the reason.
+
+    Good rows and bad lines are written to two partitions of the folder ``target`` and counted while they are
+    written. Empty fields are NULL; blank lines are no rows. A file without rows gives nothing on either side.
+    """
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    record, file = "__record", "__file"
+    read = (
+        spark.read.option("header", header).option("emptyValue", None).option("nullValue", "").option("encoding", "UTF-8")
+        .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", record)
+        .schema(T.StructType([*schema.fields, T.StructField(record, T.StringType())])).csv(path)
+    )
+    is_bad = F.col(record).isNotNull()
+    counts = Observation()
+    (
+        read.select(*(F.col(f"`{f.name}`") for f in schema), record, F.when(is_bad, F.col("_metadata.file_name")).alias(file), is_bad.alias("__is_bad"))
+        .observe(counts, F.count_if(~F.col("__is_bad")).alias("good"), F.count_if("__is_bad").alias("bad"))
+        .write.partitionBy("__is_bad").parquet(target)
+    )
+    stored = spark.read.schema(
+        T.StructType([*schema.fields, *(T.StructField(c, T.StringType()) for c in (record, file)), T.StructField("__is_bad", T.BooleanType())])
+    ).parquet(target)
+    bad = stored.filter("__is_bad").select(F.col(record).alias("record"), F.col(file).alias("file"), _csv_reason(F.col(record), schema).alias("reason"))
+    good = stored.filter("not __is_bad").select(*(F.col(f"`{f.name}`") for f in schema))
+    return CsvLoad(good, bad, counts.get["good"], counts.get["bad"])
+
+
 def default_mark(column: str | None) -> str:
     return DEFAULT_ID_MARK if column == "id" else DEFAULT_MARK
 

@@ -67,6 +67,20 @@ def test_csv_with_header_and_bom(spark, tmp_path):
     assert rows(df, "id", "city", "amount") == [(1, None, 2.5), (2, "abc", None)]
 
 
+def test_csv_lines_that_do_not_fit_are_kept_aside(spark, tmp_path):
+    folder = tmp_path / "csv"
+    folder.mkdir()
+    (folder / "a.csv").write_text('\ufeffid,city,amount\n1,,2.5\nx,abc,1\n2,"a,b",\n\n3,short\n', encoding="utf-8")
+    (folder / "b.csv").write_text("id,city,amount\n4,é,oops\n5,d,1,extra\n6,,\n", encoding="utf-8")
+    (folder / "c.csv").write_text("id,city,amount\n", encoding="utf-8")
+    load = tables.load_csv(spark, str(folder), "id int, city string, amount decimal(22,4)", str(tmp_path / "t"))
+    assert rows(load.good, "id", "city", "amount") == [(1, None, 2.5), (2, "a,b", None), (6, None, None)]
+    assert rows(load.bad, "record", "file", "reason") == [
+        ("3,short", "a.csv", "number of fields"), ("4,é,oops", "b.csv", "value of amount"), ("5,d,1,extra", "b.csv", "number of fields"), ("x,abc,1", "a.csv", "value of id"),
+    ]
+    assert (load.n_good, load.n_bad) == (3, 4) and load.good.count() == 3
+
+
 def test_pipeline_isolates_failures_and_moves_marks(spark, database, tmp_path):
     raw = database("raw")
     source = tables.Source(spark, str(tmp_path))
