@@ -329,6 +329,27 @@ def _replace(e: Erp):
     return upsert.replace_by_key(stored, rows.filter(F.col("export_date_key") >= 20000101), "export_id")
 
 
+@query(
+    "core_replace_by_file",
+    FACT_CASES["fact_warehouse_export"][0],
+    """SELECT * REPLACE (CASE WHEN export_id = (SELECT min(export_id) FROM k_fact_warehouse_export) THEN -2 WHEN export_date_key >= 20000101 THEN quantity ELSE -1 END AS quantity)
+       FROM k_fact_warehouse_export""",
+)
+def _replace_by_file(e: Erp):
+    """A stored fact, replaced by file: first by the rows from 2000 on (keys joined), then by one row (key pushed into the scan)."""
+    schema = f"core_{uuid.uuid4().hex}"
+    e.spark.sql(f"CREATE DATABASE {schema} LOCATION '{work_dir(e.spark)}/{schema}'")
+    rows = sinks.with_year(_rows(e, "fact_warehouse_export"), "export_date_key")
+    table = f"{schema}.fact_warehouse_export"
+    sinks.append_rows(rows.withColumn("quantity", F.lit(-1).cast("decimal(22,4)")), table, "year", "export_id")
+    first = rows.select(F.min("export_id").alias("export_id"))
+    for batch in (rows.filter(F.col("export_date_key") >= 20000101), rows.join(first, "export_id").withColumn("quantity", F.lit(-2).cast("decimal(22,4)"))):
+        runner.replace_rows(e.spark.table(table), written(batch, "batch"), "export_id", table)
+    out = written(e.spark.table(table), "replaced")
+    e.spark.sql(f"DROP DATABASE {schema} CASCADE")
+    return out
+
+
 @query(
     "core_resolve_keys",
     "id:s product_key:l any_product_key:l",

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from erpspark.operators.upsert import heal_keys, new_rows, replace_by_key
 from erpspark.plans import core, finance, inventory, production, sales, shared, views
+from erpspark.session import written
 from erpspark.settings import RunParams
 from erpspark.sources import sinks
 
@@ -55,44 +56,49 @@ def _price_group_step(star: Star) -> core.StepResult:
     return core.StepResult(PRICE_GROUP_STEP)
 
 
-def _replace_rows(star: Star, stored: DataFrame, rows: DataFrame, natural: str, table: str) -> int:
-    """Replace by key, rewriting only the years that lose or gain rows."""
-    lost = stored.select(natural, "year").join(rows.select(natural), natural, "left_semi").select("year")
-    gained = {r["year"] for r in rows.select("year").distinct().collect()}  # one row per year
-    years = gained | {r["year"] for r in lost.distinct().collect()}
-    part = stored.filter(F.col("year").isin(sorted(years)))
-    sinks.replace_partitions(replace_by_key(part, rows, natural).select(*stored.columns), table, emptied=years)
+def replace_rows(stored: DataFrame, rows: DataFrame, natural: str, table: str) -> int:
+    """Replace by key, rewriting only the files that hold a key of the batch."""
+    files = sinks.files_holding(stored, rows, natural)
+    kept = sinks.in_files(stored, files)
+    sinks.replace_files(replace_by_key(kept, rows, natural), table, files, natural)
     return rows.count()
 
 
+def heal_rows(stored: DataFrame, fresh: DataFrame, spec: core.FactSpec, name: str, table: str) -> int:
+    """Heal keys, rewriting only the files with a row to heal."""
+    needs, clear = core.heal_conditions(name)
+
+    def healed(part: DataFrame) -> DataFrame:
+        return heal_keys(part, fresh, spec.natural, list(spec.heal), needs, clear)
+
+    touched = healed(sinks.with_file(stored)).filter("key_fixed").groupBy(sinks.FILE).count().collect()  # one row per file
+    if touched:
+        files = [r[sinks.FILE] for r in touched]
+        sinks.replace_files(healed(sinks.in_files(stored, files)), table, files, spec.natural)
+    return sum(r["count"] for r in touched)
+
+
 def _fact_step(star: Star, name: str) -> core.StepResult:
-    """Heal keys only in the year partitions that need it, then append the new rows."""
+    """Heal keys only in the files that need it, then append the new rows. The batch is evaluated once."""
     spec, spark, table = core.FACTS[name], star.spark, star.core(name)
     rows = core.fact_rows(name, star.raw_tables(), star.dims())
     rows = sinks.with_year(rows, spec.date[0]) if spec.date else rows.withColumn("year", F.lit(0))
+    rows = written(rows, name)
     result = core.StepResult(name)
     if not sinks.exists(spark, table):
-        sinks.append_rows(rows, table, "year")
-        result.rows_inserted = spark.table(table).count()
+        sinks.append_rows(rows, table, "year", spec.natural)
+        result.rows_inserted = rows.count()
         return result
-    stored = spark.table(table)
     if spec.form == "replace":
-        result.rows_inserted = _replace_rows(star, stored, rows, spec.natural, table)
+        result.rows_inserted = replace_rows(spark.table(table), rows, spec.natural, table)
         return result
     if spec.heal:
-        needs, clear = core.heal_conditions(name)
         extra = [spec.type_column] if spec.type_column else []
-        fresh = rows.select(spec.natural, *spec.heal, *extra)
-        healed = heal_keys(stored, fresh, spec.natural, list(spec.heal), needs, clear)
-        touched = healed.filter("key_fixed").groupBy("year").count().collect()  # one row per year
-        result.keys_fixed = sum(r["count"] for r in touched)
-        if touched:
-            years = [r["year"] for r in touched]
-            sinks.replace_partitions(healed.filter(F.col("year").isin(years)).drop("key_fixed"), table)
-            stored = spark.table(table)
-    before = stored.count()
-    sinks.append_rows(new_rows(stored, rows, spec.natural).select(*stored.columns), table, "year")
-    result.rows_inserted = spark.table(table).count() - before
+        result.keys_fixed = heal_rows(spark.table(table), rows.select(spec.natural, *spec.heal, *extra), spec, name, table)
+    stored = spark.table(table)
+    added, seen = new_rows(stored, rows, spec.natural).select(*stored.columns), Observation()
+    sinks.append_rows(added.observe(seen, F.count(F.lit(1)).alias("rows")), table, "year", spec.natural)
+    result.rows_inserted = seen.get["rows"]
     return result
 
 

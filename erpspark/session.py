@@ -22,6 +22,8 @@ SETTINGS = {
     # Parquet is compressed: judge broadcast sizes by the decoded size, not the file size
     "spark.sql.sources.fileCompressionFactor": "5.0",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # short value lists reach Parquet as single values, so that Bloom filters can answer them
+    "spark.sql.parquet.pushdown.inFilterThreshold": "200",
 }
 
 
