@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from erpspark.catalog.registry import Erp, query
 from erpspark.catalog.roles import PARAMS
 from erpspark.catalog.sqltext import avg, div, part, pct, r
-from erpspark.plans import sales, shared, views
+from erpspark.plans import maintained, sales, shared, views
+from erpspark.session import work_dir, written
 
 AS_OF = f"DATE '{PARAMS.as_of}'"
 
@@ -205,14 +208,39 @@ part(
           sum(spike_line_count) AS spike_line_count
         FROM k_adjusted WHERE is_cancel = 0 GROUP BY ALL""",
 )
-query(
-    "mart_revenue",
+REVENUE_SPEC = (
     "order_date_key:l order_date:t year:l quarter:l month_num:l month_name:s week_of_year:l is_weekend:b customer_key:l "
     "customer_code:s customer_name:s company:s city:s type_client:s price_group_code:s price_group_name:s vip_rating:l "
     "id_branch:l order_count:l revenue:d cogs:d gross_profit:d gross_margin_pct:d avg_order_value:d total_tax:d "
-    "total_discount:d revenue_raw:d revenue_adjustment:d spike_line_count:l",
-    "SELECT * FROM m_revenue",
-)(lambda e: e.revenue)
+    "total_discount:d revenue_raw:d revenue_adjustment:d spike_line_count:l"
+)
+query("mart_revenue", REVENUE_SPEC, "SELECT * FROM m_revenue")(lambda e: e.revenue)
+
+
+@query("mart_revenue_incremental", REVENUE_SPEC, "SELECT * FROM m_revenue")
+def _revenue_incremental(e: Erp):
+    """The mart after two loads: orders before 2000, those of 1999 with doubled amounts; then the orders from 2000 on
+    and those of 1999 as they should be. The second load is given twice."""
+    schema = f"mart_{uuid.uuid4().hex}"
+    e.spark.sql(f"CREATE DATABASE {schema} LOCATION '{work_dir(e.spark)}/{schema}'")
+    early, late, wrong = (F.col("order_date_key") < 20000101), (F.col("order_date_key") >= 19990101), F.col("order_date_key").between(19990101, 19991231)
+
+    def doubled(df, columns):
+        flagged = df.withColumns({c: F.when(wrong, F.col(c) * 2).otherwise(F.col(c)).cast(df.schema[c].dataType) for c in columns})
+        return flagged.select(*df.columns)
+
+    days = e.dated_orders.select("order_id", F.col("order_date_key").alias("__day"))
+    lines = e.order_items.join(days, "order_id").withColumn("order_date_key", F.col("__day")).drop("__day")
+    items, orders = doubled(lines.filter(early), ["total_amount"]), doubled(e.dated_orders.filter(early), ["grand_total", "total_tax"])
+    sums = maintained.RevenueSums(e.spark, f"{schema}.revenue_sums")
+    items, orders = written(items, "items"), written(orders, "orders")
+    sums.build(items, orders, 1)
+    for _ in range(2):
+        sums.apply(2, items, orders, lines.filter(late), e.dated_orders.filter(late))
+    sums.compact(3)
+    out = written(sums.mart(e.customers, e.dates), "revenue")
+    e.spark.sql(f"DROP DATABASE {schema} CASCADE")
+    return out
 
 part(
     "m_profit",

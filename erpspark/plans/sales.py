@@ -21,7 +21,7 @@ def active_orders(orders: DataFrame) -> DataFrame:
     return orders.filter(F.col("is_cancel") == 0)
 
 
-def _line_base(items: DataFrame, orders: DataFrame, carry: list[str]) -> DataFrame:
+def line_base(items: DataFrame, orders: DataFrame, carry: list[str]) -> DataFrame:
     """Lines with the order attributes the price repair needs; cancelled orders kept and flagged."""
     head = orders.select(
         "order_id",
@@ -50,7 +50,7 @@ def repaired_lines(
     repaired; their lines stay in the result with ``__live`` = false. ``carry``
     names further order columns to keep, so lines meet the orders only once.
     """
-    base = _line_base(items, orders, carry or [])
+    base = line_base(items, orders, carry or [])
     priced = F.col("__live") & (F.col("quantity") > 0) & (F.col("total_amount") > 0)
     keys = ["customer_key", product]
     months = (
@@ -147,7 +147,7 @@ def _order_adjustments(lines: DataFrame) -> DataFrame:
     )
 
 
-def _adjusted(orders: DataFrame, lines: DataFrame) -> DataFrame:
+def adjusted(orders: DataFrame, lines: DataFrame) -> DataFrame:
     joined = orders.join(_order_adjustments(lines), "order_id", "left")
     total = F.coalesce(F.col("adjusted"), F.col("grand_total"))
     share = F.when(F.col("grand_total") == 0, F.lit(1.0)).otherwise(ratio(total, "grand_total"))
@@ -164,7 +164,7 @@ def order_performance(items: DataFrame, orders: DataFrame, headers: DataFrame |
 
     ``headers`` are the orders with their date only; lines then skip the view's joins.
     """
-    out = _adjusted(orders, repaired_lines(items, orders if headers is None else headers))
+    out = adjusted(orders, repaired_lines(items, orders if headers is None else headers))
     return out.select(
         "order_key", "order_id", "reference_no", "order_date_key", "order_date", "year", "quarter", "month_num",
         "month_name", "is_weekend", "customer_key", "customer_code", "customer_name", "city", "type_client",
@@ -204,7 +204,7 @@ def revenue(items: DataFrame, orders: DataFrame, customers: DataFrame, dates: Da
     """
     live = active_orders(orders)
     daily = (
-        _adjusted(live, repaired_lines(items, live))
+        adjusted(live, repaired_lines(items, live))
         .groupBy("order_date_key", "customer_key", "id_branch")
         .agg(
             F.count_distinct("order_id").alias("order_count"),
