@@ -100,11 +100,9 @@ class Erp:
 
     @cached_property
     def production_sales(self) -> DataFrame:
-        month_stock = inventory.month_end_quantities(
-            self.lots, self.exports, self.params.snapshot_start, self.params.as_of
-        )
+        stretches = inventory.stock_stretches(self.lots, self.exports, self.params.snapshot_start, self.params.as_of)
         return production.production_sales(
-            self.stages, self.production_items, self.deliveries, month_stock, self.products, self.dates,
+            self.stages, self.production_items, self.deliveries, inventory.product_levels(stretches), self.products, self.dates,
             self.params.snapshot_start, self.params.as_of,
         )
 

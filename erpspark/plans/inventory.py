@@ -194,14 +194,13 @@ def _item_rows(df: DataFrame, day: str, measures: dict[str, Column]) -> DataFram
     ).filter(F.col("item_key").isNotNull() & F.col("warehouse_key").isNotNull())
 
 
-def month_end_quantities(lots: DataFrame, exports: DataFrame, start: date, as_of: date) -> DataFrame:
-    """Estimated stock at each month end, from today's stock backwards.
+def stock_stretches(lots: DataFrame, exports: DataFrame, start: date, as_of: date) -> DataFrame:
+    """Estimated month-end stock as stretches of months (``first`` to ``last``), from today's stock backwards.
 
     estimate(month) = stock now + issues after it - receipts after it, where only
     months up to the last full one count. Between two months with moves the
-    estimate is constant, so the running sum is taken over months with moves only
-    and each positive stretch is then expanded to its months; stretches at or
-    below zero are dropped before they are expanded.
+    estimate is constant, so the running sum is taken over months with moves only.
+    Stretches at or below zero are dropped; those of an item and warehouse share no month.
     """
     zero = F.lit(0)
     rows = _item_rows(
@@ -255,12 +254,35 @@ def month_end_quantities(lots: DataFrame, exports: DataFrame, start: date, as_of
         *PAIR, "month", "qty_in", "qty_out",
         F.explode(F.when(need_lead_in, F.array(own, lead_in)).otherwise(F.array(own))).alias("s"),
     )
-    positive = stretches.withColumn("est", F.round("s.est", 0)).filter(
-        (F.col("est") > 0) & (F.col("s.from") <= F.col("s.to"))
+    return stretches.select(
+        *PAIR, "month", "qty_in", "qty_out", F.round("s.est", 0).alias("est"), F.col("s.has_moves").alias("has_moves"),
+        F.col("s.from").alias("first"), F.col("s.to").alias("last"),
+    ).filter((F.col("est") > 0) & (F.col("first") <= F.col("last")))
+
+
+def product_levels(stretches: DataFrame) -> DataFrame:
+    """Mean month-end stock over the warehouses that hold a product, as steps: ``level.avg`` counts from ``month`` until the next step.
+
+    A stretch adds to its product where it begins and takes away where it ends, so no month is filled in; one row per
+    product and month reaches the window.
+    """
+    begin = F.struct(F.col("first").alias("month"), F.col("est").alias("qty"), F.lit(1).alias("held"))
+    end = F.struct(F.add_months("last", 1).alias("month"), (-F.col("est")).alias("qty"), F.lit(-1).alias("held"))
+    changes = (
+        stretches.filter(F.col("item_type") == "product")
+        .select(F.col("item_key").alias("product_key"), F.inline(F.array(begin, end)))
+        .groupBy("product_key", "month")
+        .agg(F.sum("qty").alias("qty"), F.sum("held").alias("held"))
     )
-    months = positive.select(
-        *PAIR, "month", "qty_in", "qty_out", "est", F.col("s.has_moves").alias("has_moves"),
-        F.explode(F.sequence(F.col("s.from"), F.col("s.to"), F.expr("interval 1 month"))).alias("m"),
+    so_far = Window.partitionBy("product_key").orderBy("month").rowsBetween(Window.unboundedPreceding, 0)
+    level = F.struct(ratio(F.sum("qty").over(so_far), F.sum("held").over(so_far)).alias("avg"))
+    return changes.select("product_key", "month", level.alias("level"))
+
+
+def month_end_quantities(lots: DataFrame, exports: DataFrame, start: date, as_of: date) -> DataFrame:
+    """Estimated stock at each month end: every stretch expanded to its months."""
+    months = stock_stretches(lots, exports, start, as_of).withColumn(
+        "m", F.explode(F.sequence("first", "last", F.expr("interval 1 month")))
     )
     moved = F.col("has_moves") & (F.col("m") == F.col("month"))
     nothing = F.lit(0).cast("decimal(32,4)")

@@ -50,7 +50,7 @@ def production_sales(
     stages: DataFrame,
     items: DataFrame,
     deliveries: DataFrame,
-    month_stock: DataFrame,
+    levels: DataFrame,
     products: DataFrame,
     dates: DataFrame,
     start: date,
@@ -60,6 +60,7 @@ def production_sales(
 
     The two sides meet in a full outer join of their daily sums; the day range and
     the product master then limit the rows, so no calendar scaffold is needed.
+    ``levels`` are the steps of ``inventory.product_levels``; each day takes the last one up to it.
     """
     made = (
         stages.filter(F.col("active") == 1)
@@ -86,15 +87,14 @@ def production_sales(
     both = both.join(products.select("product_key", *PRODUCT_COLS), "product_key")
     # one row per day and product: a year of rows is the frame
     year = Window.partitionBy("product_key").orderBy("date_key").rowsBetween(-364, 0)
-    level = (
-        month_stock.filter(F.col("item_type") == "product")
-        .groupBy("month_end", "product_key")
-        .agg(ratio(F.sum("est_qty_end_month"), F.count("est_qty_end_month")).alias("avg_stock_level"))
-    )
+    rows = both.withColumn("rolling_12m_sales", F.sum("qty_sold").over(year)).withColumns({"__at": F.col("full_date"), "__day": F.lit(True)})
+    steps = levels.select("product_key", F.col("month").alias("__at"), "level", F.lit(False).alias("__day"))
+    # a step comes before the first day that it holds for
+    until = Window.partitionBy("product_key").orderBy("__at", "__day").rowsBetween(Window.unboundedPreceding, 0)
     out = (
-        both.withColumn("rolling_12m_sales", F.sum("qty_sold").over(year))
-        .withColumn("month_end", F.last_day("full_date"))
-        .join(level, ["month_end", "product_key"], "left")
+        rows.unionByName(steps, allowMissingColumns=True)
+        .withColumn("avg_stock_level", F.last("level", ignorenulls=True).over(until)["avg"])
+        .filter("__day")
     )
     turnover = F.when(
         F.col("avg_stock_level") > 0, rounded(ratio("rolling_12m_sales", "avg_stock_level"), 2)
@@ -102,7 +102,7 @@ def production_sales(
     return (
         out.withColumn("production_sales_variance", F.col("qty_produced") - F.col("qty_sold"))
         .withColumn("inventory_turnover", turnover)
-        .drop("made", "sold", "month_end")
+        .drop("made", "sold", "level", "__at", "__day")
     )
 
 

@@ -157,18 +157,19 @@ def build_marts(
         inventory.stock_snapshot(lots, t["fact_purchase_order_items"], products, t["dim_material"], t["dim_warehouse"]),
     )
     save("fct_inbound_outbound", inventory.inbound_outbound(lots, exports, products, t["dim_warehouse"], dates))
-    monthly = save(
+    save(
         "fct_stock_monthly_snapshot",
         inventory.stock_monthly(
             lots, exports, snapshot, products, materials, t["dim_warehouse"], params.snapshot_start, params.as_of
         ),
     )
+    levels = inventory.product_levels(inventory.stock_stretches(lots, exports, params.snapshot_start, params.as_of))
     stages, prod_items = t["fact_production_stages"], t["fact_production_order_items"]
     save("fct_production_efficiency", production.production_efficiency(prod_items, stages, products, dates))
     save(
         "fct_production_sales_reconciliation",
         production.production_sales(
-            stages, prod_items, t["fact_delivery_items"], monthly, products, dates, params.snapshot_start, params.as_of
+            stages, prod_items, t["fact_delivery_items"], levels, products, dates, params.snapshot_start, params.as_of
         ),
     )
     plan_cost = save(
