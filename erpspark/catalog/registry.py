@@ -115,7 +115,8 @@ class Erp:
 
     @cached_property
     def order_cost(self) -> DataFrame:
-        return production.order_cost(self.plan_cost, self.orders, self.order_items, self.products, self.params.fx)
+        plans = self.plans.selectExpr("id AS productions_plan_id", "options1_id AS source_order_ids")
+        return production.order_cost(self.plan_cost, self.orders, self.order_items, self.products, self.params.fx, plans)
 
 
 PLANS: dict[str, Callable[[Erp], DataFrame]] = {}

@@ -113,13 +113,13 @@ def latest_purchase_price(po_lines: DataFrame, po_heads: DataFrame) -> DataFrame
     """Effective unit price of the newest valid purchase line per item (ties: highest line id)."""
     valid = po_lines.filter(
         (F.col("price_suppliers") > 0) & (F.col("quantity_unit") > 0) & (F.col("total_suppliers") > 0)
-    )
+    ).select("id", "id_purchase_order", "product_id", ratio("total_suppliers", "quantity_unit").alias("price"))
     newest = (
         valid.join(po_heads.select(F.col("id").alias("id_purchase_order"), F.to_date("date").alias("po_day")), "id_purchase_order")
         .groupBy("product_id")
         .agg(
             F.max_by(
-                F.struct("total_suppliers", "quantity_unit", "po_day"),
+                F.struct("price", "po_day"),
                 # newest date first; undated lines count as newest
                 F.struct(F.coalesce("po_day", F.lit(date(9999, 12, 31))), "id"),
             ).alias("line")
@@ -127,11 +127,29 @@ def latest_purchase_price(po_lines: DataFrame, po_heads: DataFrame) -> DataFrame
     )
     return newest.select(
         "product_id",
-        rounded(ratio("line.total_suppliers", "line.quantity_unit"), 4).alias("unit_price_vnd"),
+        rounded("line.price", 4).alias("unit_price_vnd"),
         F.col("line.po_day").alias("last_po_date"),
     )
 
 
+def _items(products: DataFrame, materials: DataFrame, prices: DataFrame) -> DataFrame:
+    """What the masters and the purchases know of an item: the three lookups share one key and are merged, to be probed once."""
+    return (
+        products.select(
+            F.col("product_id").alias("npl_product_id"), F.lit(True).alias("material_matched"),
+            F.col("product_name").alias("product_master_name"), F.col("product_code").alias("product_master_code"),
+        )
+        .join(
+            materials.select(
+                F.col("material_id").alias("npl_product_id"), "material_key",
+                F.col("material_name").alias("__m_name"), F.col("material_code").alias("__m_code"),
+            ),
+            "npl_product_id", "full",
+        )
+        .join(prices.withColumnRenamed("product_id", "npl_product_id"), "npl_product_id", "full")
+    )
+
+
 def production_cost(
     bom: DataFrame,
     plan_items: DataFrame,
@@ -166,40 +184,46 @@ def production_cost(
             F.col("quantity_single").alias("qty_single"), F.col("quantity").alias("qty_bom"),
             zero_if_null("quantity_compensation").alias("qty_compensation"),
             F.nullif(F.col("number_children_size"), F.lit(0)).alias("number_children_size"),
-            zero_if_null("is_zinc").cast("int").alias("is_zinc"), F.lit(False).alias("is_zinc_injected"),
+            zero_if_null("is_zinc").cast("int").alias("is_zinc"),
         )
-        .join(planned.drop("productions_plan_id"), "productions_plan_items_id")
     )
-    with_zinc = material_lines.filter(F.col("is_zinc") == 1).select("productions_plan_items_id")
-    one = F.lit(1).cast("decimal(22,4)")
-    plates = planned.join(with_zinc, "productions_plan_items_id", "left_anti").select(
-        "*",
-        F.lit(zinc_item_id).cast("bigint").alias("npl_product_id"),
-        F.lit(ZINC_ITEM_CODE).alias("npl_code"), F.lit(ZINC_ITEM_NAME).alias("npl_name"),
-        one.alias("qty_single"), one.alias("qty_bom"), F.lit(0).cast("decimal(22,4)").alias("qty_compensation"),
-        F.lit(1).alias("is_zinc"), F.lit(True).alias("is_zinc_injected"),
+    # Lines meet the items before they meet their plans: added plates share one item, which is looked up by itself, and the
+    # result lies by plan, as the sums over a plan need it.
+    prices = latest_purchase_price(po_lines, po_heads)
+    own_lines = lookup(own_lines, _items(products, materials, prices), "npl_product_id").withColumn("__own", F.lit(True))
+    with_zinc = (
+        material_lines.filter((F.col("is_zinc") == 1) & F.col("productions_plan_items_id").isNotNull())
+        .select("productions_plan_items_id").distinct().withColumn("__zinc", F.lit(True))
     )
-    lines = own_lines.unionByName(plates, allowMissingColumns=True).join(heads, "productions_plan_id")
-
-    # the three item lookups share one key: merge them per item, then probe once
-    item = (
-        products.select(
-            F.col("product_id").alias("npl_product_id"), F.lit(True).alias("material_matched"),
-            F.col("product_name").alias("product_master_name"), F.col("product_code").alias("product_master_code"),
-        )
-        .join(
-            materials.select(
-                F.col("material_id").alias("npl_product_id"), "material_key",
-                F.col("material_name").alias("__m_name"), F.col("material_code").alias("__m_code"),
-            ),
-            "npl_product_id", "full",
-        )
-        .join(
-            latest_purchase_price(po_lines, po_heads).withColumnRenamed("product_id", "npl_product_id"),
-            "npl_product_id", "full",
-        )
+    # a plan item gives one row for its own lines and, without a plate among them, one for the plate to add
+    wanted = planned.withColumnRenamed("productions_plan_id", "__plan").join(with_zinc, "productions_plan_items_id", "left").withColumn(
+        "is_zinc_injected", F.explode(F.when(F.col("__zinc"), F.array(F.lit(False))).otherwise(F.array(F.lit(False), F.lit(True))))
+    )
+    own_lines = own_lines.withColumnRenamed("productions_plan_items_id", "__item")
+    added = F.col("is_zinc_injected")
+    lines = wanted.join(
+        own_lines, (F.col("productions_plan_items_id") == F.col("__item")) & ~added, "left"
+    ).filter(added | F.col("__own"))
+    one, zinc = F.lit(1).cast("decimal(22,4)"), F.lit(zinc_item_id).cast("bigint")
+    plate = _items(
+        products.filter(F.col("product_id") == zinc), materials.filter(F.col("material_id") == zinc), prices.filter(F.col("product_id") == zinc)
+    )
+    attributes = [c for c in plate.columns if c != "npl_product_id"]
+    # one item
+    plate = F.broadcast(plate.select(*[F.col(c).alias(f"__z_{c}") for c in plate.columns]))
+    of_plate = {
+        "productions_plan_id": F.col("__plan"),
+        "npl_product_id": zinc,
+        "npl_code": F.lit(ZINC_ITEM_CODE), "npl_name": F.lit(ZINC_ITEM_NAME),
+        "qty_single": one, "qty_bom": one, "qty_compensation": F.lit(0).cast("decimal(22,4)"),
+        "is_zinc": F.lit(1),
+        **{c: F.col(f"__z_{c}") for c in attributes},
+    }
+    out = (
+        lines.join(plate, added & (F.col("__z_npl_product_id") == zinc), "left")
+        .withColumns({c: F.when(added, value).otherwise(F.col(c)) for c, value in of_plate.items()})
+        .drop("__plan", "__zinc", "__item", "__own", "__z_npl_product_id", *[f"__z_{c}" for c in attributes])
     )
-    out = lookup(lines, item, "npl_product_id")
     qty, waste = F.col("qty_bom"), F.col("qty_compensation")
     # converted once per row, used by every cost column
     out = out.withColumns(
@@ -230,33 +254,40 @@ def production_cost(
         .withColumn("waste_cost_per_order_vnd", cost("__waste"))
         .withColumn("waste_cost_vnd", F.col("npl_cost_with_waste_vnd") - F.col("npl_cost_vnd"))
         .withColumn("npl_cost_per_sp_vnd", rounded(F.col("qty_per_sp") * F.col("__price"), 4))
+        .join(heads, "productions_plan_id")
         # calendar: bounded, one row per day
         .join(F.broadcast(calendar), F.col("plan_date") == F.col("__day"), "left")
         .drop("__day", "__m_name", "__m_code", "__price", "__qty", "__waste", "__total")
     )
 
 
-def order_product_lines(orders: DataFrame, items: DataFrame, products: DataFrame, fx: dict) -> DataFrame:
-    """Quantity per order and finished product, with the order total in VND."""
+def _in_vnd(fx: dict) -> Column:
     rate = F.lit("1.0").cast("decimal(9,1)")
     for code, value in fx.items():
         rate = F.when(F.col("currencies") == code, F.lit(value).cast("decimal(9,1)")).otherwise(rate)
-    head = orders.filter(F.col("is_cancel") == 0).select(
-        "order_id", (F.col("grand_total") * rate).alias("revenue_vnd"), "total_quantity", "status", "status_payment",
-        "is_end", "currencies", "grand_total",
-    )
-    per_product = items.groupBy("order_id", "product_key").agg(F.sum("quantity").alias("product_qty"))
-    return (
-        per_product.join(
-            products.select("product_key", F.col("product_id").alias("finished_product_id")), "product_key"
-        )
-        .drop("product_key")
-        .join(head, "order_id")
+    return F.col("grand_total") * rate
+
+
+def order_product_lines(orders: DataFrame, items: DataFrame, products: DataFrame, fx: dict) -> DataFrame:
+    """Quantity per order and finished product, with the order total in VND."""
+    head = orders.filter(F.col("is_cancel") == 0).select("order_id", _in_vnd(fx).alias("revenue_vnd"))
+    # products first, so that the lines come to their orders only once; a key that is listed twice gives two rows
+    names = products.groupBy("product_key", F.col("product_id").alias("finished_product_id")).agg(F.count(F.lit(1)).alias("__times"))
+    per_product = (
+        items.select("order_id", "product_key", "quantity").join(names, "product_key").repartition("order_id")
+        .groupBy("order_id", "product_key", "finished_product_id", "__times")
+        .agg(F.sum("quantity").alias("product_qty"))
+        .withColumn("__one", F.explode(F.sequence(F.lit(1).cast("bigint"), "__times")))
     )
+    return per_product.drop("product_key", "__times", "__one").join(head, "order_id")
+
 
+def allocate_to_orders(plan_cost: DataFrame, order_lines: DataFrame, plans: DataFrame | None = None) -> DataFrame:
+    """Share plan costs out to the listed orders: by quantity, else revenue, else equally.
 
-def allocate_to_orders(plan_cost: DataFrame, order_lines: DataFrame) -> DataFrame:
-    """Share plan costs out to the listed orders: by quantity, else revenue, else equally."""
+    Costs stay with their plan, and the lines of the listed orders are brought there. ``plans`` are the plans with their
+    lists (``productions_plan_id``, ``source_order_ids``), which spare a second pass over the costs.
+    """
     listed = F.col("source_order_ids").isNotNull() & (F.col("source_order_ids") != "")
     # plan totals are looked up by product, so lines without one take no part
     per_plan = (
@@ -264,9 +295,10 @@ def allocate_to_orders(plan_cost: DataFrame, order_lines: DataFrame) -> DataFram
         .groupBy("productions_plan_id", "source_order_ids", "finished_product_id")
         .agg(
             F.count_distinct("productions_plan_items_id").alias("bom_item_count"),
-            F.sum("npl_cost_vnd").alias("materials"),
-            F.sum("waste_cost_per_order_vnd").alias("waste"),
-            F.sum("npl_cost_with_waste_vnd").alias("total"),
+            # shares are taken in double
+            F.sum("npl_cost_vnd").cast("double").alias("materials"),
+            F.sum("waste_cost_per_order_vnd").cast("double").alias("waste"),
+            F.sum("npl_cost_with_waste_vnd").cast("double").alias("total"),
             F.count_if(~F.col("has_price")).alias("items_without_price"),
         )
     )
@@ -279,7 +311,12 @@ def allocate_to_orders(plan_cost: DataFrame, order_lines: DataFrame) -> DataFram
         .withColumn("order_id", F.coalesce(entry.try_cast("bigint"), fault))
         .drop("__id")
     )
-    joined = pairs.join(order_lines, ["order_id", "finished_product_id"], "left")
+    lists = (plan_cost if plans is None else plans).filter(listed).select(
+        "productions_plan_id", F.explode(F.split("source_order_ids", ",")).alias("__id")
+    )
+    wanted = lists.select("productions_plan_id", entry.try_cast("bigint").alias("order_id")).repartition("order_id").distinct()
+    arrived = order_lines.join(wanted, "order_id").repartition("productions_plan_id").withColumn("__met", F.lit(True))
+    joined = pairs.join(arrived, ["productions_plan_id", "order_id", "finished_product_id"], "left")
     # a plan and product own one list, so these groups are as long as one list cell
     plan = Window.partitionBy("productions_plan_id", "finished_product_id")
     joined = (
@@ -297,9 +334,11 @@ def allocate_to_orders(plan_cost: DataFrame, order_lines: DataFrame) -> DataFram
     return joined.withColumn("alloc_ratio", share)
 
 
-def order_cost(plan_cost: DataFrame, orders: DataFrame, items: DataFrame, products: DataFrame, fx: dict) -> DataFrame:
-    """Material cost per sales order with its share of revenue and a quality label."""
-    shares = allocate_to_orders(plan_cost, order_product_lines(orders, items, products, fx))
+def order_cost(
+    plan_cost: DataFrame, orders: DataFrame, items: DataFrame, products: DataFrame, fx: dict, plans: DataFrame | None = None
+) -> DataFrame:
+    """Material cost per sales order with its share of revenue and a quality label (``plans`` as for ``allocate_to_orders``)."""
+    shares = allocate_to_orders(plan_cost, order_product_lines(orders, items, products, fx), plans)
 
     def allocated(c: str) -> Column:
         # decimal terms: the sum does not depend on the order of rows
@@ -311,13 +350,15 @@ def order_cost(plan_cost: DataFrame, orders: DataFrame, items: DataFrame, produc
         allocated("waste").alias("allocated_npl_waste_vnd"),
         allocated("total").alias("allocated_npl_total_vnd"),
         F.count_distinct("productions_plan_id").alias("linked_plan_count"),
-        *[
-            F.max(c).alias(c)
-            for c in "revenue_vnd total_quantity status status_payment is_end currencies grand_total".split()
-        ],
+        F.max("__met").alias("__met"),
         F.sum("bom_item_count").alias("total_bom_items"),
         F.sum("items_without_price").alias("total_items_without_price"),
     )
+    # what only depends on the order joins the sums, not their terms; orders without a matching line have none of it
+    live = F.col("is_cancel") == 0
+    values = {"revenue_vnd": _in_vnd(fx), **{c: F.col(c) for c in "total_quantity status status_payment is_end currencies grand_total".split()}}
+    known = orders.groupBy("order_id").agg(*[F.max(F.when(live, v)).alias(c) for c, v in values.items()]).withColumn("__met", F.lit(True))
+    per_order = per_order.join(known, ["order_id", "__met"], "left").drop("__met")
     head = orders.select(
         "order_id", F.col("reference_no").alias("order_reference_no"), F.to_date("date_created").alias("order_date")
     )

@@ -21,6 +21,10 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Parquet is compressed: judge broadcast sizes by the decoded size, not the file size
     "spark.sql.sources.fileCompressionFactor": "5.0",
+    # rows that lie by a part of a join's keys stay where they are; the other side comes to them
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    # a task sorts and joins many times what it reads
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # short value lists reach Parquet as single values, so that Bloom filters can answer them
     "spark.sql.parquet.pushdown.inFilterThreshold": "200",
