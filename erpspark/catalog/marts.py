@@ -229,14 +229,14 @@ def _revenue_incremental(e: Erp):
         flagged = df.withColumns({c: F.when(wrong, F.col(c) * 2).otherwise(F.col(c)).cast(df.schema[c].dataType) for c in columns})
         return flagged.select(*df.columns)
 
-    days = e.dated_orders.select("order_id", F.col("order_date_key").alias("__day"))
-    lines = e.order_items.join(days, "order_id").withColumn("order_date_key", F.col("__day")).drop("__day")
-    items, orders = doubled(lines.filter(early), ["total_amount"]), doubled(e.dated_orders.filter(early), ["grand_total", "total_tax"])
+    source = written(e.dated_orders.select(*maintained.ORDER_COLUMNS), "orders")
+    days = source.select("order_id", "order_date_key")
+    lines = written(e.order_items.select(*maintained.ITEM_COLUMNS).join(days, "order_id"), "items")
+    items, orders = doubled(lines.filter(early), ["total_amount"]), doubled(source.filter(early), ["grand_total", "total_tax"])
     sums = maintained.RevenueSums(e.spark, f"{schema}.revenue_sums")
-    items, orders = written(items, "items"), written(orders, "orders")
     sums.build(items, orders, 1)
     for _ in range(2):
-        sums.apply(2, items, orders, lines.filter(late), e.dated_orders.filter(late))
+        sums.apply(2, items, orders, lines.filter(late), source.filter(late))
     sums.compact(3)
     out = written(sums.mart(e.customers, e.dates), "revenue")
     e.spark.sql(f"DROP DATABASE {schema} CASCADE")

@@ -7,11 +7,11 @@ is added, and only that is written. The mart is the sum over all loads.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from erpspark.functions.expr import pct, ratio
-from erpspark.operators.upsert import replace_by_key
+from erpspark.operators.lookup import lookup
 from erpspark.plans import sales
 from erpspark.session import written
 from erpspark.sources import sinks
@@ -19,6 +19,11 @@ from erpspark.sources import sinks
 GRAIN = ["order_date_key", "customer_key", "id_branch"]
 SUMS = "revenue cogs gross_profit total_tax total_discount revenue_raw spike_line_count".split()
 PAIR = ["customer_key", "product_key"]
+ITEM_COLUMNS = ["order_item_id", "order_id", "product_key", "quantity", "total_amount"]
+ORDER_COLUMNS = [
+    "order_id", "customer_key", "id_branch", "order_date_key", "order_date", "is_cancel", "grand_total", "total_cost", "total_tax",
+    "total_discount_percent", "total_discount_direct",
+]
 
 
 def _counts(df: DataFrame) -> DataFrame:
@@ -31,27 +36,38 @@ def _counts(df: DataFrame) -> DataFrame:
     return out.withColumns({c: F.col(c).cast(kind) for c, kind in kinds.items()})
 
 
-def _contributions(items: DataFrame, orders: DataFrame, sign: int, only: DataFrame | None = None) -> DataFrame:
-    """What each active order (of ``only``) counts for, times ``sign``."""
-    live = sales.active_orders(orders)
-    rows = sales.adjusted(live, sales.repaired_lines(items, live))
-    if only is not None:
-        rows = rows.join(only, "order_id", "left_semi")
+def _contributions(orders: DataFrame, lines: DataFrame, by: tuple[str, ...] = ("order_id",), sign: Column | None = None) -> DataFrame:
+    """What each order with its repaired lines counts for, subtracted where ``sign`` is negative."""
+    rows = sales.adjusted(orders, lines, by, fulfilment=False)
     rows = rows.withColumn("total_discount", F.col("total_discount_percent") + F.col("total_discount_direct")).withColumn(
         "revenue_raw", F.col("grand_total")
     )
     kind = {m: "bigint" if m == "spike_line_count" else "decimal(28,4)" for m in SUMS}
+
+    def signed(value: Column) -> Column:
+        return value if sign is None else F.when(sign < 0, -value).otherwise(value)
+
     return rows.select(
         *GRAIN,
-        F.lit(sign).cast("bigint").alias("orders"),
-        *[(F.coalesce(F.col(m), F.lit(0)).cast(kind[m]) * F.lit(sign)).alias(f"s_{m}") for m in SUMS],
-        *[(F.col(m).isNotNull().cast("bigint") * F.lit(sign)).alias(f"n_{m}") for m in SUMS],
+        signed(F.lit(1).cast("bigint")).alias("orders"),
+        *[signed(F.coalesce(F.col(m), F.lit(0)).cast(kind[m])).alias(f"s_{m}") for m in SUMS],
+        *[signed(F.col(m).isNotNull().cast("bigint")).alias(f"n_{m}") for m in SUMS],
+    )
+
+
+def _versions(stored: DataFrame, batch: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """Rows before and after ``replace_by_key``, once each; ``__old`` and ``__new`` say where a row counts."""
+    named = batch.select(key).distinct().withColumn("__named", F.lit(True))
+    before = lookup(stored.select(*dict.fromkeys([key, *columns])), named, key)
+    return before.select(*columns, F.lit(True).alias("__old"), F.col("__named").isNull().alias("__new")).unionByName(
+        batch.select(*columns, F.lit(False).alias("__old"), F.lit(True).alias("__new"))
     )
 
 
-def _lines(items: DataFrame, orders: DataFrame) -> DataFrame:
-    """Order, customer and product of each line."""
-    return sales.line_base(items, orders, []).select("order_id", *PAIR)
+def _signed(df: DataFrame) -> DataFrame:
+    """A row per version: -1 before, 1 after the batch."""
+    signs = F.array(F.when(F.col("__old"), F.lit(-1)), F.when(F.col("__new"), F.lit(1)))
+    return df.withColumn("__sign", F.explode(F.array_compact(signs))).drop("__old", "__new")
 
 
 def revenue_change(items: DataFrame, orders: DataFrame, new_items: DataFrame, new_orders: DataFrame) -> DataFrame:
@@ -60,27 +76,41 @@ def revenue_change(items: DataFrame, orders: DataFrame, new_items: DataFrame, ne
     A line's price is judged by what the same customer paid for the same product before, so an order is
     touched when the batch holds it or one of its lines, or when it shares a customer and product with such
     an order. The sums of touched orders need the lines of all their pairs; no other line is aggregated.
+
+    Lines meet their orders once for both versions and are written; only lines of orders outside the batch
+    are searched for neighbours.
     """
-    items_now = replace_by_key(items, new_items, "order_item_id")
-    orders_now = replace_by_key(orders, new_orders, "order_id")
-    moved = items.join(new_items.select("order_item_id"), "order_item_id", "left_semi")
-    changed = written(
-        new_orders.select("order_id").union(new_items.select("order_id")).union(moved.select("order_id")).distinct(), "changed"
+    own_customer = [c for c in ("customer_key",) if c in items.columns]
+    measured = ["order_id", *own_customer, "product_key", "quantity", "total_amount"]
+    heads = written(_versions(orders, new_orders, "order_id", ORDER_COLUMNS).filter("is_cancel = 0"), "heads")
+    flags = heads.withColumnsRenamed({"__old": "__head_old", "__new": "__head_new"})
+    base = sales.line_base(
+        _versions(items, new_items, "order_item_id", measured), flags, ["__head_old", "__head_new"]
+    ).select(
+        "order_id", *PAIR, "quantity", "total_amount", "__month", "__live",
+        (F.col("__old") & F.col("__head_old")).alias("__old"),
+        (F.col("__new") & F.col("__head_new")).alias("__new"),
+        (F.col("__head_old") != F.col("__head_new")).alias("__sent"),
     )
-    versions = [(items, orders, -1), (items_now, orders_now, 1)]
-    lines = [_lines(i, o) for i, o, _ in versions]
-    both = lines[0].union(lines[1])
-    pairs = written(both.join(changed, "order_id", "left_semi").select(*PAIR).distinct(), "pairs")
-    touched = written(both.join(pairs, PAIR, "left_semi").select("order_id").union(changed).distinct(), "touched")
-    # pairs of touched orders, with the orders that feed their month prices
-    wider = written(both.join(touched, "order_id", "left_semi").select(*PAIR).distinct(), "wider-pairs")
-    feeding = written(both.join(wider, PAIR, "left_semi").select("order_id").union(touched).distinct(), "feeding")
-    signed = None
-    for i, o, sign in versions:
-        heads = o.join(feeding, "order_id", "left_semi")
-        part = _contributions(i.join(feeding, "order_id", "left_semi"), heads, sign, touched)
-        signed = part if signed is None else signed.unionByName(part)
-    sums = _counts(signed)
+    base = written(base.filter("__old OR __new"), "lines")
+
+    # orders outside the batch of which it changes a line
+    sent, rest = base.filter("__sent"), base.filter("NOT __sent")
+    revised = written(rest.filter("__old <> __new").select("order_id").distinct(), "revised")
+    changed = sent.unionByName(rest.join(revised, "order_id", "left_semi"))
+    rest = rest.join(revised, "order_id", "left_anti")
+    # neighbours, and the lines that feed their month prices only
+    near = rest.join(changed.select(*PAIR).distinct(), PAIR, "left_semi")
+    neighbours = written(near.select("order_id").distinct(), "neighbours")
+    theirs = rest.join(neighbours, "order_id", "left_semi")
+    pairs = written(theirs.select(*PAIR).distinct(), "pairs")
+    feeding = rest.join(neighbours, "order_id", "left_anti").join(pairs, PAIR, "left_semi")
+
+    touched = new_orders.select("order_id").union(revised).union(neighbours).distinct()
+    lines = _signed(changed.unionByName(theirs).unionByName(feeding))
+    both = _signed(heads.join(touched, "order_id", "left_semi"))
+    repaired = sales.repair(lines, [*PAIR, "__sign"])
+    sums = _counts(_contributions(both, repaired, ("order_id", "__sign"), F.col("__sign")))
     some = F.greatest(*[F.abs(F.col(c)) for c in sums.columns if c not in GRAIN]) != 0
     return sums.filter(some)
 
@@ -93,7 +123,8 @@ class RevenueSums:
 
     def build(self, items: DataFrame, orders: DataFrame, load: int = 0) -> None:
         """First load: all orders."""
-        self._save(_counts(_contributions(items, orders, 1)), load)
+        live = sales.active_orders(orders)
+        self._save(_counts(_contributions(live, sales.repaired_lines(items, live))), load)
 
     def apply(self, load: int, items: DataFrame, orders: DataFrame, new_items: DataFrame, new_orders: DataFrame) -> None:
         """Add a load, before the stored facts are changed by it.

@@ -50,9 +50,12 @@ def repaired_lines(
     repaired; their lines stay in the result with ``__live`` = false. ``carry``
     names further order columns to keep, so lines meet the orders only once.
     """
-    base = line_base(items, orders, carry or [])
+    return repair(line_base(items, orders, carry or []), ["customer_key", product])
+
+
+def repair(base: DataFrame, keys: list[str]) -> DataFrame:
+    """The repair on lines that have met their orders (``line_base``); prices are compared within ``keys``."""
     priced = F.col("__live") & (F.col("quantity") > 0) & (F.col("total_amount") > 0)
-    keys = ["customer_key", product]
     months = (
         base.filter(priced)
         .groupBy(*keys, "__month")
@@ -133,22 +136,26 @@ def order_items_detail(
     )
 
 
-def _order_adjustments(lines: DataFrame) -> DataFrame:
+def _order_adjustments(lines: DataFrame, by: list[str], fulfilment: bool) -> DataFrame:
     """Per order: repaired amount and spike count of live lines, quantities of all lines."""
     live = F.col("__live")
-    return lines.groupBy("order_id").agg(
+    measures = [
         F.sum(F.when(live, F.col("total_amount_adjusted"))).alias("adjusted"),
         F.sum((live & F.col("is_price_spike")).cast("bigint")).alias("spikes"),
-        F.sum("quantity").alias("ordered"),
-        F.sum("quantity_delivery").alias("delivered"),
-        F.sum("quantity_not_delivery").alias("outstanding"),
-        F.sum("quantity_returned").alias("returned"),
-        F.count(F.lit(1)).alias("lines"),
-    )
-
-
-def adjusted(orders: DataFrame, lines: DataFrame) -> DataFrame:
-    joined = orders.join(_order_adjustments(lines), "order_id", "left")
+    ]
+    if fulfilment:
+        measures += [
+            F.sum("quantity").alias("ordered"),
+            F.sum("quantity_delivery").alias("delivered"),
+            F.sum("quantity_not_delivery").alias("outstanding"),
+            F.sum("quantity_returned").alias("returned"),
+            F.count(F.lit(1)).alias("lines"),
+        ]
+    return lines.groupBy(*by).agg(*measures)
+
+
+def adjusted(orders: DataFrame, lines: DataFrame, by: tuple[str, ...] = ("order_id",), fulfilment: bool = True) -> DataFrame:
+    joined = orders.join(_order_adjustments(lines, list(by), fulfilment), list(by), "left")
     total = F.coalesce(F.col("adjusted"), F.col("grand_total"))
     share = F.when(F.col("grand_total") == 0, F.lit(1.0)).otherwise(ratio(total, "grand_total"))
     return (

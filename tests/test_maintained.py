@@ -81,6 +81,24 @@ def test_only_touched_orders_count(spark):
     assert got == {(20240101, 1): (0, -40.0, 0), (20240301, 1): (0, -90.0, 1)}
 
 
+def test_stored_lines_are_evaluated_once(spark):
+    """A load costs one pass over the stored lines, however many steps look for neighbours."""
+    rng = random.Random(5)
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(_):
+        seen.add(1)
+        return True
+
+    count = F.udf(counted, "boolean").asNondeterministic()
+    items = frame(spark, ITEMS, [_item(rng, i, 20) for i in range(60)])
+    orders = frame(spark, ORDERS, [_order(rng, i) for i in range(18)])
+    new_items, new_orders = frame(spark, ITEMS, [_item(rng, i, 20) for i in (1, 70)]), frame(spark, ORDERS, [_order(rng, 3)])
+    got = maintained.revenue_change(items.filter(count("order_item_id")), orders, new_items, new_orders).collect()
+    assert seen.value == 60
+    assert got
+
+
 def test_empty_batch(spark, database, dims):
     rng = random.Random(3)
     items, orders = frame(spark, ITEMS, [_item(rng, i, 5) for i in range(9)]), frame(spark, ORDERS, [_order(rng, i) for i in range(5)])
