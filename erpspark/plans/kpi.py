@@ -498,8 +498,14 @@ def cost_overview(order_cost: DataFrame, year: int) -> DataFrame:
     )
 
 
+def _cost_rows(order_cost: DataFrame) -> DataFrame:
+    """What the cost reports with percentiles read, written: the costs are built once for all their passes."""
+    columns = ["npl_quality", "npl_materials_pct", "revenue_vnd", "allocated_npl_materials_vnd"]
+    return written(order_cost.select(*columns), "cost-rows")
+
+
 def cost_quality_mix(order_cost: DataFrame, year: int) -> DataFrame:
-    rows = order_cost.filter(F.col("year") == year)
+    rows = _cost_rows(order_cost.filter(F.col("year") == year))
     mix = rows.groupBy("npl_quality").agg(
         F.count(F.lit(1)).alias("orders"),
         rounded(exact_avg("npl_materials_pct"), 1).alias("avg_npl_pct"),

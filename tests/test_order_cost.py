@@ -5,9 +5,10 @@ from __future__ import annotations
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from util import frame, rows
-from erpspark.plans import production
+from erpspark.plans import kpi, production
 
 COST = (
     "productions_plan_id bigint, source_order_ids string, finished_product_id bigint, productions_plan_items_id string, npl_cost_vnd decimal(18,0), "
@@ -52,3 +53,24 @@ def test_costs_stay_with_their_plan(spark, shuffled_joins):
     plan = _order_cost(spark)._jdf.queryExecution().executedPlan().toString()
     keys = [line.split("hashpartitioning(", 1)[1] for line in plan.split("\n") if "Exchange hashpartitioning(productions_plan_id" in line]
     assert keys and all(k.count("#") == 1 for k in keys), keys
+
+
+@pytest.mark.parametrize("report", [kpi.cost_quality_mix])
+def test_percentile_reports_build_the_costs_once(spark, report):
+    built = spark.sparkContext.accumulator(0)
+
+    def counted(_):
+        built.add(1)
+        return True
+
+    costs = frame(
+        spark,
+        "order_id bigint, year int, npl_quality string, is_sample_order boolean, npl_materials_pct double, revenue_vnd decimal(18,4), "
+        "allocated_npl_materials_vnd decimal(18,0)",
+        [(1, 2024, "normal", False, 10, 100, 10), (2, 2024, "normal", False, 30, 100, 30), (3, 2024, "normal", False, 80, 100, 80)],
+    )
+    seen = F.udf(counted, "boolean").asNondeterministic()
+    (got,) = report(costs.filter(seen("order_id")), 2024).collect()
+    assert built.value == 3
+    assert got["orders"] == 3
+    assert got["median_npl_pct" if "median_npl_pct" in got else "p50"] == 30.0
