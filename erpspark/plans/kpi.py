@@ -518,7 +518,7 @@ def cost_quality_mix(order_cost: DataFrame, year: int) -> DataFrame:
 
 
 def regular_cost_percentiles(order_cost: DataFrame, year: int) -> DataFrame:
-    rows = order_cost.filter((F.col("year") == year) & _regular())
+    rows = _cost_rows(order_cost.filter((F.col("year") == year) & _regular()))
     probs = {"p10": 0.1, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p90": 0.9}
     spread = exact_percentiles(rows, "npl_materials_pct", probs)
     lo, hi = TARGET_BAND

@@ -55,7 +55,7 @@ def test_costs_stay_with_their_plan(spark, shuffled_joins):
     assert keys and all(k.count("#") == 1 for k in keys), keys
 
 
-@pytest.mark.parametrize("report", [kpi.cost_quality_mix])
+@pytest.mark.parametrize("report", [kpi.cost_quality_mix, kpi.regular_cost_percentiles])
 def test_percentile_reports_build_the_costs_once(spark, report):
     built = spark.sparkContext.accumulator(0)
 
