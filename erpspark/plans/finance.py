@@ -38,9 +38,8 @@ def gross_profit(orders: DataFrame, customers: DataFrame, dates: DataFrame) -> D
     return enrich_daily(daily, customers, dates, PROFIT_DATES, PROFIT_CUSTOMER)
 
 
-def purchase_cost(po_lines: DataFrame, suppliers: DataFrame, products: DataFrame, dates: DataFrame) -> DataFrame:
-    """Purchases per order date, supplier and product: spend against expectation."""
-    spend = (
+def _spend(po_lines: DataFrame) -> DataFrame:
+    return (
         po_lines.groupBy("po_date_key", "supplier_key", "product_key")
         .agg(
             F.count_distinct("po_id").alias("po_count"),
@@ -56,24 +55,27 @@ def purchase_cost(po_lines: DataFrame, suppliers: DataFrame, products: DataFrame
         .withColumn("tax_amount", F.col("expected_cost") - F.col("subtotal"))
         .withColumn("qty_gap", F.col("qty_ordered") - F.col("qty_received"))
     )
+
+
+def purchase_cost(po_lines: DataFrame, suppliers: DataFrame, products: DataFrame, dates: DataFrame) -> DataFrame:
+    """Purchases per order date, supplier and product: spend against expectation.
+
+    Lines that name a product travel once, to their product: there they are counted, summed up and meet its attributes.
+    The others have no attributes to meet and are combined before they travel.
+    """
+    attributes = {**{c: c for c in "product_code product_name type_products category_id brand".split()}, "price_import": "std_import_price"}
+    named = F.col("product_key").isNotNull()
+    with_product = decorate(_spend(po_lines.filter(named).repartition("product_key")), products, "product_key", attributes)
+    spend = with_product.unionByName(_spend(po_lines.filter(~named)), allowMissingColumns=True)
     out = with_dates(
         spend, dates, "po_date_key", {"full_date": "po_date", **{c: c for c in "year quarter month_num month_name".split()}}
     )
-    out = decorate(
+    return decorate(
         out,
         suppliers,
         "supplier_key",
         {"supplier_code": "supplier_code", "company": "supplier_name", "city": "supplier_city", "groups_in": "supplier_group"},
     )
-    return decorate(
-        out,
-        products,
-        "product_key",
-        {
-            **{c: c for c in "product_code product_name type_products category_id brand".split()},
-            "price_import": "std_import_price",
-        },
-    )
 
 
 def customer_credit(revenue: DataFrame, customers: DataFrame) -> DataFrame:
