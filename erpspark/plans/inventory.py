@@ -279,11 +279,9 @@ def product_levels(stretches: DataFrame) -> DataFrame:
     return changes.select("product_key", "month", level.alias("level"))
 
 
-def month_end_quantities(lots: DataFrame, exports: DataFrame, start: date, as_of: date) -> DataFrame:
-    """Estimated stock at each month end: every stretch expanded to its months."""
-    months = stock_stretches(lots, exports, start, as_of).withColumn(
-        "m", F.explode(F.sequence("first", "last", F.expr("interval 1 month")))
-    )
+def _expanded(stretches: DataFrame, *carried: str) -> DataFrame:
+    """Every stretch as its months; ``carried`` columns come along."""
+    months = stretches.withColumn("m", F.explode(F.sequence("first", "last", F.expr("interval 1 month"))))
     moved = F.col("has_moves") & (F.col("m") == F.col("month"))
     nothing = F.lit(0).cast("decimal(32,4)")
     return months.select(
@@ -294,9 +292,15 @@ def month_end_quantities(lots: DataFrame, exports: DataFrame, start: date, as_of
         F.col("est").alias("est_qty_end_month"),
         F.when(moved, F.col("qty_in")).otherwise(nothing).alias("inbound_this_month"),
         F.when(moved, F.col("qty_out")).otherwise(nothing).alias("outbound_this_month"),
+        *carried,
     )
 
 
+def month_end_quantities(lots: DataFrame, exports: DataFrame, start: date, as_of: date) -> DataFrame:
+    """Estimated stock at each month end: every stretch expanded to its months."""
+    return _expanded(stock_stretches(lots, exports, start, as_of))
+
+
 def average_lot_price(snapshot: DataFrame, digits: int = 2) -> DataFrame:
     """Weighted unit price per item over valued stock on hand."""
     key = F.when(F.col("item_type") == "product", F.col("product_key")).otherwise(F.col("material_key"))
@@ -335,15 +339,17 @@ def stock_monthly(
         )
         .join(average_lot_price(snapshot), ["item_type", "item_key"], "full")
     )
-    quantities = month_end_quantities(lots, exports, start, as_of)
-    out = quantities.join(items, ["item_type", "item_key"], "left")
-    out = decorate(out, warehouses, "warehouse_key", ["warehouse_code", "warehouse_name", "is_virtual"])
-    value = rounded(F.col("est_qty_end_month").cast("double") * F.col("avg_unit_price").cast("double"), 0)
+    # a stretch meets its item and warehouse before it becomes months, which are many more rows
+    names = ["item_code", "item_name", "unit_id", "type_products", "npl_type"]
+    places = ["warehouse_code", "warehouse_name", "is_virtual"]
+    stretches = stock_stretches(lots, exports, start, as_of).join(items, ["item_type", "item_key"], "left")
+    stretches = decorate(stretches, warehouses, "warehouse_key", places)
+    value = rounded(F.col("est").cast("double") * F.col("avg_unit_price").cast("double"), 0)
+    valued = stretches.withColumn("est_value_end_month", value.cast("decimal(28,0)")).withColumn("is_valued", F.col("avg_unit_price").isNotNull())
     return (
-        out.withColumn("net_movement", F.col("inbound_this_month") - F.col("outbound_this_month"))
-        .withColumn("est_value_end_month", value.cast("decimal(28,0)"))
-        .withColumn("is_valued", F.col("avg_unit_price").isNotNull())
-        .drop("item_key", "avg_unit_price")
+        _expanded(valued, *names, *places, "est_value_end_month", "is_valued")
+        .withColumn("net_movement", F.col("inbound_this_month") - F.col("outbound_this_month"))
+        .drop("item_key")
     )
 
 
