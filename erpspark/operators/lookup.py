@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,6 +39,28 @@ def resolve_key(
     return lookup(df.withColumn("__probe", probe), keys, "__probe", "__nat").drop("__probe")
 
 
+def resolve_either(df: DataFrame, source_id: str, sides: list[tuple[DataFrame, str, str, str, Column]]) -> DataFrame:
+    """``resolve_key`` for an id column that several dimensions share, so that the rows travel to their keys only once.
+
+    ``sides`` are (dimension, natural, surrogate, target, only_when); no row may meet the conditions of two sides.
+    """
+    which = F.lit(None).cast("int")
+    for i, (*_, only_when) in reversed(list(enumerate(sides))):
+        which = F.when(only_when, F.lit(i)).otherwise(which)
+    keys = [
+        dim.select(F.lit(i).alias("__side"), F.col(natural).alias("__nat"), F.col(surrogate).alias("__key"))
+        for i, (dim, natural, surrogate, _, _) in enumerate(sides)
+    ]
+    probes = df.withColumn("__which", which).withColumn("__probe", F.when(F.col("__which").isNotNull(), F.col(source_id)))
+    on = (F.col("__which") == F.col("__side")) & (F.col("__probe") == F.col("__nat"))
+    joined = probes.join(reduce(DataFrame.unionByName, keys), on, "left")
+    targets = {
+        target: F.when(F.col("__which") == i, F.col("__key").cast(dim.schema[surrogate].dataType))
+        for i, (dim, _, surrogate, target, _) in enumerate(sides)
+    }
+    return joined.withColumns(targets).drop("__which", "__probe", "__side", "__nat", "__key")
+
+
 def decorate(df: DataFrame, dim: DataFrame, key: str, columns: dict[str, str] | list[str]) -> DataFrame:
     """Attach dimension attributes (``{source: target}`` or names) by surrogate key."""
     names = columns if isinstance(columns, dict) else {c: c for c in columns}

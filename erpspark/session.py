@@ -21,6 +21,8 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Parquet is compressed: judge broadcast sizes by the decoded size, not the file size
     "spark.sql.sources.fileCompressionFactor": "5.0",
+    # key maps of a dimension are sent out up to this decoded size, so that the facts that look them up need not travel
+    "spark.sql.autoBroadcastJoinThreshold": "32m",
     # rows that lie by a part of a join's keys stay where they are; the other side comes to them
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
     # a task sorts and joins many times what it reads
