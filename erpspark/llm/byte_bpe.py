@@ -1,37 +1,54 @@
-"""Byte-level BPE encoding and decoding with Spark's higher-order functions.
+"""Byte-level BPE encoding and decoding.
 
-Texts are split by the tokenizer's pattern. The ranked merges of a word are a fold over the array of its bytes:
-each step looks up the ranks of all neighbours in a literal rank map and joins the leftmost pair of least
-rank. Spark counts the distinct words of the whole corpus; those that recur most (at most `TABLE_WORDS`, of at
-most `WORD_BYTES` bytes, so the table has a size bound) are folded once each and kept as a second literal map. Documents
-take their words' ids from that map, and fold the words that it does not hold in place, so nothing but
-word counts is shuffled. Decoding maps every id to its bytes and concatenates the pieces.
+Texts are split by the tokenizer's pattern, and the bytes of each word are merged by rank: the leftmost pair of least rank is
+joined until no pair has a rank. Spark deals the documents out and nothing is shuffled; a task merges every word that its worker
+process does not remember. Words of at most `WORD_BYTES` bytes are remembered, so that the words that recur cost one look-up,
+up to a fixed number of them (frequent ones come early and stay). Decoding maps every id to its bytes and concatenates the pieces.
 
-Bytes are written as the characters U+0000-U+00FF, so that arrays, maps and comparisons are those of strings. A literal map
-is an array of small maps, entered by hash, because a lookup in one map reads all its entries.
-
-Defined results: null and empty texts have no ids; repeated rows and null ids are encoded each; other columns
-are ignored. Letters and numbers are those of the JVM's Unicode version.
+Defined results: null and empty texts have no ids; repeated rows and null ids are encoded each; other columns are passed on
+and not looked at. Letters and numbers are those of the `regex` module's Unicode version.
 """
 
 from __future__ import annotations
 
 import base64
+import re
+from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 
-import xxhash
+import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from erpspark.llm.quality_rules import let
-from erpspark.llm.scratch import stored
+from erpspark.llm.scratch import ship
+from erpspark.llm.words import text_bytes
 
-TABLE_WORDS = 1 << 18
+#: Words that a worker process remembers.
+TABLE_WORDS = 700_000
 WORD_BYTES = 32
-#: Small maps of a literal map.
-CELLS = 1 << 16
+#: Words of more bytes are merged by a heap of their pairs, shorter ones by looking at all of them.
+HEAP_BYTES = 256
+#: Rows that come back from a task together hold about so many characters of text.
+BLOCK_CHARS = 2 << 20
 
 # The pattern before the merges, with white space spelt out as Unicode has it: fixed values.
-_S = r"\t-\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
-PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_S}\p{{L}}\p{{N}}]+|[{_S}]+(?![^{_S}])|[{_S}]+"
+_S = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
+def _pattern(letter: str, number: str, space: str) -> str:
+    return rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{letter}]+| ?[{number}]+| ?[^{space}{letter}{number}]+|[{space}]+(?![^{space}])|[{space}]+"
+
+
+PATTERN = _pattern(r"\p{L}", r"\p{N}", _S)
+#: The same for texts without characters above U+02C1, in all of which letters and numbers are these.
+LATIN_PATTERN = _pattern("A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u02c1", "0-9\xb2\xb3\xb9\xbc-\xbe", "\t-\r \x85\xa0")
+_words, _latin_words, _beyond = regex.compile(PATTERN).findall, re.compile(LATIN_PATTERN).findall, re.compile("[^\0-\u02c1]").search
+
+
+def words(text: str) -> list[str]:
+    return _words(text) if not text.isascii() and _beyond(text) else _latin_words(text)
 
 
 def read_ranks(path: str) -> list[bytes]:
@@ -42,22 +59,89 @@ def read_ranks(path: str) -> list[bytes]:
     return [ranks[i] for i in range(len(ranks))]
 
 
-def _cell(key: Column) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(CELLS)).cast("int")
-
-
-def lookup(cells: Column, key: Column) -> Column:
-    """Entry of a literal map, null where it has none."""
-    return F.try_element_at(F.get(cells, _cell(key)), key)
+def merge(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """Ids of a word: the leftmost pair of least rank is joined until no pair has a rank."""
+    if word in ranks:
+        return [ranks[word]]
+    if len(word) > HEAP_BYTES:
+        return _merge_long(word, ranks)
+    get, none = ranks.get, len(ranks)
+    parts = [word[i : i + 1] for i in range(len(word))]
+    found = [get(word[i : i + 2], none) for i in range(len(word) - 1)]  # rank of every part with its next one
+    while found and (least := min(found)) < none:
+        i = found.index(least)
+        joined = parts[i] = parts[i] + parts.pop(i + 1)
+        del found[i]
+        if i:
+            found[i - 1] = get(parts[i - 1] + joined, none)
+        if i < len(found):
+            found[i] = get(joined + parts[i + 1], none)
+    return [ranks[p] for p in parts]
+
+
+def _merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """The same in n log n: pairs wait in a heap by rank and place, parts are known by where they begin."""
+    size = len(word)
+    end = list(range(1, size + 1))  # of the part that begins here; 0: none does any more
+    before = list(range(-1, size))  # where the part before begins
+    heap = [(rank, i, i + 2) for i in range(size - 1) if (rank := ranks.get(word[i : i + 2])) is not None]
+    heapify(heap)
+    while heap:
+        _, i, to = heappop(heap)
+        middle = end[i]
+        if not middle or middle == size or end[middle] != to:
+            continue  # one of the two was joined with another part
+        end[i], end[middle] = to, 0
+        before[to] = i
+        if i and (rank := ranks.get(word[before[i] : to])) is not None:
+            heappush(heap, (rank, before[i], to))
+        if to < size and (rank := ranks.get(word[i : end[to]])) is not None:
+            heappush(heap, (rank, i, end[to]))
+    return [ranks[word[i:to]] for i, to in enumerate(end) if to]
+
+
+class _Remembered(dict):
+    """Ids of words, joined by spaces."""
+
+    def __init__(self, tokens: list[bytes], limit: int):
+        super().__init__()
+        self.ranks, self.limit = {t: i for i, t in enumerate(tokens)}, limit
+
+    def __missing__(self, word: str) -> str:
+        data = word.encode()
+        ids = " ".join(map(str, merge(data, self.ranks)))
+        if len(data) <= WORD_BYTES and len(self) < self.limit:
+            self[word] = ids
+        return ids
+
+
+_KNOWN: dict[tuple[str, int], _Remembered] = {}
+
+
+def _encode(path: str, limit: int, schema: list[str]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if (path, limit) not in _KNOWN:  # outlives tasks
+            _KNOWN[path, limit] = _Remembered(read_ranks(path), limit)
+        ids_of = _KNOWN[path, limit].__getitem__
+        for batch in batches:
+            rest, first, ids, held = batch.columns[:-1], 0, [], 0
+            for i, data in enumerate(text_bytes(batch.column(batch.num_columns - 1)), 1):
+                ids.append(" ".join(map(ids_of, words(data.decode("utf-8", "replace")))))
+                held += len(data)
+                if held >= BLOCK_CHARS or i == batch.num_rows:
+                    yield pa.RecordBatch.from_arrays([*(c.slice(first, i - first) for c in rest), pa.array(ids, pa.string())], names=schema)
+                    first, ids, held = i, [], 0
+
+    return run
 
 
-def rank_map(spark: SparkSession, tokens: list[bytes]) -> Column:
-    """The rank of every token, as a literal map."""
-    cells: list[dict[str, int]] = [{} for _ in range(CELLS)]
-    for rank, token in enumerate(tokens):
-        key = token.decode("latin-1")
-        cells[xxhash.xxh64_intdigest(key.encode(), 42) % (1 << 64) % CELLS][key] = rank
-    return spark.createDataFrame([(cells,)], "m array<map<string,int>>").scalar()
+def encode(docs: DataFrame, path: str, limit: int = TABLE_WORDS) -> DataFrame:
+    """The input's columns but `text`, and `__ids` (decimal ids joined by spaces, empty for an empty text)."""
+    ship(docs.sparkSession)
+    rest = [f for f in docs.schema if f.name != "text"]
+    schema = StructType([*rest, StructField("__ids", StringType())])
+    narrow = docs.select(*(F.col(f"`{f.name}`") for f in rest), F.col("text").cast("string").alias("text"))
+    return narrow.mapInArrow(_encode(path, limit, schema.names), schema)
 
 
 def pieces_of(spark: SparkSession, tokens: list[bytes]) -> Column:
@@ -65,88 +149,6 @@ def pieces_of(spark: SparkSession, tokens: list[bytes]) -> Column:
     return spark.createDataFrame([([t.hex() for t in tokens],)], "p array<string>").scalar()
 
 
-def words(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))
-
-
-def merge(word: Column, ranks: Column) -> Column:
-    """Ids of a word, joined by spaces: the fold of ranked merges over its bytes. `ranks` is a bound literal map."""
-
-    def step(acc: Column, _: Column) -> Column:
-        p = acc["p"]
-        size = F.size(p)
-
-        def choose(keys: Column) -> Column:
-            def join(found: Column) -> Column:
-                def at(i: Column) -> Column:
-                    joined = F.concat(F.slice(p, F.lit(1), i - 1), F.array(F.get(keys, i - 1)), F.slice(p, i + 2, F.greatest(size - i - 1, F.lit(0))))
-                    return F.struct(joined.alias("p"), F.lit(False).alias("done"))
-
-                least = F.array_min(found)
-                return F.when(least.isNull(), F.struct(p.alias("p"), F.lit(True).alias("done"))).otherwise(let(F.array_position(found, least).cast("int"), at))
-
-            return let(F.transform(keys, lambda k: lookup(ranks, k)), join)
-
-        neighbours = F.zip_with(F.slice(p, F.lit(1), size - 1), F.slice(p, F.lit(2), size - 1), lambda a, b: F.concat(a, b))
-        return F.when(acc["done"] | (size < 2), acc).otherwise(let(neighbours, choose))
-
-    def fold(raw: Column) -> Column:
-        letters = F.regexp_extract_all(raw, F.lit("(?s)."), F.lit(0))
-        start = F.struct(letters.alias("p"), F.lit(False).alias("done"))
-        steps = F.sequence(F.lit(1), F.greatest(F.length(raw), F.lit(1)))
-        merged = F.aggregate(steps, start, step, lambda acc: acc["p"])
-        return F.coalesce(lookup(ranks, raw).cast("string"), F.array_join(F.transform(merged, lambda x: lookup(ranks, x).cast("string")), " "))
-
-    return let(F.decode(F.encode(word, "UTF-8"), "ISO-8859-1"), fold)
-
-
-def word_counts(docs: DataFrame) -> DataFrame:
-    return docs.select(F.explode(words(F.col("text").cast("string"))).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-
-
-def frequent_words(counts: DataFrame, limit: int = TABLE_WORDS) -> DataFrame:
-    """The words of at most `WORD_BYTES` bytes above the count that leaves at most `limit` of them.
-
-    The driver sees one row per power-of-two-sixteenth of counts, no word.
-    """
-    short = counts.where((F.octet_length("word") <= WORD_BYTES) & (F.col("n") > 1))
-    steps = short.groupBy(F.floor(F.log2("n") * 16).alias("step")).agg(F.count(F.lit(1)).alias("k")).collect()
-    total, least = 0, None
-    for r in sorted(steps, key=lambda r: -r.step):
-        total += r.k
-        if total > limit:
-            break
-        least = r.step
-    return short.where(F.lit(False) if least is None else F.floor(F.log2("n") * 16) >= least).select("word")
-
-
-def word_table(spark: SparkSession, docs: DataFrame, tokens: list[bytes], limit: int = TABLE_WORDS) -> Column:
-    """Ids of the most frequent words, as a literal map."""
-    chosen = stored(frequent_words(stored(word_counts(docs).where("n > 1"), "word-counts"), limit), "frequent-words")
-    folded = stored(chosen.select("word", rank_map(spark, tokens).alias("m")).select("word", let(F.col("m"), lambda m: merge(F.col("word"), m)).alias("ids")), "folded-words")
-    cells = folded.groupBy(_cell(F.col("word")).alias("cell")).agg(F.collect_list(F.struct("word", "ids")).alias("e"))
-    every = spark.range(CELLS).select(F.col("id").cast("int").alias("cell")).join(cells, "cell", "left")
-    # at most `limit` short words in all
-    rows = every.agg(F.sort_array(F.collect_list(F.struct("cell", "e"))).alias("a"))
-    return rows.select(F.transform("a", lambda c: F.map_from_entries(c["e"]))).scalar()
-
-
-def encode(docs: DataFrame, path: str, limit: int = TABLE_WORDS) -> DataFrame:
-    """The input's columns but `text`, and `__ids` (decimal ids joined by spaces, empty for an empty text)."""
-    spark = docs.sparkSession
-    tokens = read_ranks(path)
-    table = word_table(spark, docs, tokens, limit)
-    rest = [c for c in docs.columns if c != "text"]
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-
-    def all_words(m: Column, t: Column) -> Column:
-        return F.array_join(F.transform(words(text), lambda w: F.coalesce(lookup(t, w), merge(w, m))), " ")
-
-    # each literal is named once and used once, so the optimizer puts the value into the expression, not into the rows
-    ids = let(F.col("__ranks"), lambda m: let(F.col("__table"), lambda t: all_words(m, t)))
-    return docs.withColumns({"__ranks": rank_map(spark, tokens), "__table": table}).select(*(F.col(f"`{c}`") for c in rest), ids.alias("__ids"))
-
-
 def id_list(ids: Column) -> Column:
     return F.when(ids == "", F.array().cast("array<string>")).otherwise(F.split(ids, " "))
 
