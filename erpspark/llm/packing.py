@@ -15,6 +15,7 @@ keeps its rows; other columns are ignored.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from array import array
@@ -40,14 +41,15 @@ BLOCK_BYTES = 2 << 20
 # those Latin ones whose lower case is one letter, so that cutting and lower-casing agree with any Unicode version.
 _LATIN = "A-Za-zÀ-ÖØ-öø-įı-ňŊ-ſ"
 _PLAIN = re.compile(rf"[!-~{_LATIN}]+").fullmatch
-# The parts that the tokenizer's own pattern gives for such words, in lower case.
-_PARTS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LATIN}]+|[0-9]|[^0-9{_LATIN}]+").findall
+# The parts that the tokenizer's own pattern gives for such words, in lower case, and line ends between words.
+_PARTS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LATIN}]+|[0-9]|\n|[^0-9{_LATIN}\n]+").findall
 
 
 class WordEncoder:
     """Ids of texts as little-endian unsigned 32-bit values."""
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core: threads of the library cost time and bring none
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -58,18 +60,25 @@ class WordEncoder:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, unknown: list[bytes]) -> None:
-        plain, other, known = [], [], self.parts
+        plain, texts, other, known, learned = [], [], [], self.parts, self.words
         for raw in unknown:
             word = raw.decode("utf-8", "replace")
             if _PLAIN(word) and "<|" not in word:
-                plain.append((raw, _PARTS(word.lower())))
+                plain.append(raw)
+                texts.append(word)
             else:
                 other.append(raw)
-        missing = list({p for _, parts in plain for p in parts if p not in known})
+        # one flat list for all words, each closed by a line end: lists of their own cost the garbage collector more than the cutting
+        parts = _PARTS("".join([f"{t}\n" for t in texts]).lower())
+        missing = [p for p in set(parts) if p not in known and p != "\n"]
         known.update(zip(missing, self._encode(missing), strict=True))
-        learned = self.words
-        for raw, parts in plain:
-            learned[raw] = known[parts[0]] if len(parts) == 1 else b"".join([known[p] for p in parts])
+        ids, words = [], iter(plain)
+        for p in parts:
+            if p == "\n":
+                learned[next(words)] = b"".join(ids)
+                ids.clear()
+            else:
+                ids.append(known[p])
         learned.update(zip(other, self._encode([w.decode("utf-8", "replace") for w in other]), strict=True))
         if len(known) > CACHE_WORDS:
             for p in missing:
@@ -81,7 +90,8 @@ class WordEncoder:
         known = self.words
         unknown = [w for w in set().union(*split) if w not in known]
         self._learn(unknown)
-        out = [b"".join([known[w] for w in words]) for words in split]
+        ids_of = known.__getitem__
+        out = [b"".join(map(ids_of, words)) for words in split]
         if len(known) > CACHE_WORDS:
             for w in unknown:
                 del known[w]
