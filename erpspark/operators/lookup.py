@@ -8,6 +8,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def sized(side: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """A stored side of a join that is sent out only if its rows, decoded, fit the session threshold.
+
+    Spark takes the size of some columns as their share of the table's. Where the other columns are mostly NULL that is far
+    too little, and millions of keys would be collected on the driver. Here the rows are counted (Parquet has their number
+    in its footers); a side above the threshold gets a hint for a merge join. ``columns`` are those that the join reads.
+    """
+    limit = side.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    # 8 bytes a row beside the columns, texts as Spark's default
+    width = 8 + side.select(*(columns or side.columns))._jdf.schema().defaultSize()
+    return side.hint("merge") if side.count() * width > limit else side
+
+
 def lookup(df: DataFrame, dim: DataFrame, key: str, dim_key: str | None = None) -> DataFrame:
     """Left join ``dim`` (unique on its key) onto ``df``.
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from erpspark.operators.lookup import sized
 from erpspark.operators.upsert import heal_keys, new_rows, replace_by_key
 from erpspark.plans import core, finance, inventory, production, sales, shared, views
 from erpspark.session import written
@@ -32,6 +33,11 @@ class Star:
     def dims(self) -> dict[str, DataFrame]:
         return {d: self.spark.table(self.core(d)) for d in core.DIMS if sinks.exists(self.spark, self.core(d))}
 
+    def key_maps(self, fact: str) -> dict[str, DataFrame]:
+        """The dimensions that a fact looks up, for joins on their keys."""
+        wanted = {k.dim for k in core.FACTS[fact].keys}
+        return {d: sized(df, list(core.DIM_KEYS[d])) for d, df in self.dims().items() if d in wanted}
+
 
 def _dim_step(star: Star, name: str) -> core.StepResult:
     raw = star.raw_tables()[core.DIMS[name].source]
@@ -58,6 +64,7 @@ def _price_group_step(star: Star) -> core.StepResult:
 
 def replace_rows(stored: DataFrame, rows: DataFrame, natural: str, table: str) -> int:
     """Replace by key, rewriting only the files that hold a key of the batch."""
+    rows = sized(rows, [natural])
     files = sinks.files_holding(stored, rows, natural)
     kept = sinks.in_files(stored, files)
     sinks.replace_files(replace_by_key(kept, rows, natural), table, files, natural)
@@ -81,7 +88,7 @@ def heal_rows(stored: DataFrame, fresh: DataFrame, spec: core.FactSpec, name: st
 def _fact_step(star: Star, name: str) -> core.StepResult:
     """Heal keys only in the files that need it, then append the new rows. The batch is evaluated once."""
     spec, spark, table = core.FACTS[name], star.spark, star.core(name)
-    rows = core.fact_rows(name, star.raw_tables(), star.dims())
+    rows = core.fact_rows(name, star.raw_tables(), star.key_maps(name))
     rows = sinks.with_year(rows, spec.date[0]) if spec.date else rows.withColumn("year", F.lit(0))
     rows = written(rows, name)
     result = core.StepResult(name)
@@ -94,9 +101,9 @@ def _fact_step(star: Star, name: str) -> core.StepResult:
         return result
     if spec.heal:
         extra = [spec.type_column] if spec.type_column else []
-        result.keys_fixed = heal_rows(spark.table(table), rows.select(spec.natural, *spec.heal, *extra), spec, name, table)
+        result.keys_fixed = heal_rows(spark.table(table), sized(rows.select(spec.natural, *spec.heal, *extra)), spec, name, table)
     stored = spark.table(table)
-    added, seen = new_rows(stored, rows, spec.natural).select(*stored.columns), Observation()
+    added, seen = new_rows(sized(stored, [spec.natural]), rows, spec.natural).select(*stored.columns), Observation()
     sinks.append_rows(added.observe(seen, F.count(F.lit(1)).alias("rows")), table, "year", spec.natural)
     result.rows_inserted = seen.get["rows"]
     return result

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from erpspark.operators.lookup import sized
 from erpspark.operators.upsert import latest_per_key, new_rows
 from erpspark.sources import cleaning, sinks
 
@@ -28,7 +29,7 @@ def insert_writer(table: str, natural: str, order: list[str], now: datetime) ->
         rows = latest_per_key(cleaning.clean_batch(batch, now), natural, order)
         if sinks.exists(spark, table):
             stored = spark.table(table)
-            aligned, notes = cleaning.align_to(new_rows(stored, rows, natural), stored.schema)
+            aligned, notes = cleaning.align_to(new_rows(sized(stored, [natural]), rows, natural), stored.schema)
             if "widened" in notes.values():
                 sinks.replace_table(cleaning.evolve(stored, aligned), table)
                 return
