@@ -38,7 +38,7 @@ class Erp:
 
     @cached_property
     def detail(self) -> DataFrame:
-        return sales.order_items_detail(self.order_items, self.enriched, self.products, headers=self.orders)
+        return sales.order_items_detail(self.order_items, self.enriched, self.products, headers=self.dated_orders)
 
     @cached_property
     def performance(self) -> DataFrame:

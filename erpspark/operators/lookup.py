@@ -21,6 +21,12 @@ def sized(side: DataFrame, columns: list[str] | None = None) -> DataFrame:
     return side.hint("merge") if side.count() * width > limit else side
 
 
+def sent_out(dim: DataFrame) -> bool:
+    """Whether Spark's own size check would broadcast the dimension."""
+    limit = dim.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return dim._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() <= limit
+
+
 def lookup(df: DataFrame, dim: DataFrame, key: str, dim_key: str | None = None) -> DataFrame:
     """Left join ``dim`` (unique on its key) onto ``df``.
 

@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from erpspark.functions.expr import exact_avg, first_match, month_start, pct, price_tier, ratio, rounded, zero_if_null
-from erpspark.operators.lookup import decorate, with_dates
+from erpspark.operators.lookup import decorate, lookup, sent_out, with_dates
 from erpspark.operators.ranks import ntile_columns, percentile_values
 from erpspark.plans import views
+from erpspark.session import written
 from erpspark.settings import PRICE_TIER_PROBS, SPIKE_FACTOR
 
 # exact products of these stay within 38 digits
@@ -53,24 +54,35 @@ def repaired_lines(
     return repair(line_base(items, orders, carry or []), ["customer_key", product])
 
 
-def repair(base: DataFrame, keys: list[str]) -> DataFrame:
-    """The repair on lines that have met their orders (``line_base``); prices are compared within ``keys``."""
-    priced = F.col("__live") & (F.col("quantity") > 0) & (F.col("total_amount") > 0)
+def _priced() -> Column:
+    return F.col("__live") & (F.col("quantity") > 0) & (F.col("total_amount") > 0)
+
+
+def previous_prices(base: DataFrame, keys: list[str]) -> DataFrame:
+    """Sums of the last month before, per month and ``keys``; months without one are absent."""
     months = (
-        base.filter(priced)
+        base.filter(_priced())
         .groupBy(*keys, "__month")
         .agg(F.sum("total_amount").cast(_AMOUNT).alias("m_amount"), F.sum("quantity").cast(_QTY).alias("m_qty"))
     )
     # one row per month and pair reaches the window, never the lines themselves
     earlier = Window.partitionBy(*keys).orderBy("__month")
-    previous = months.select(
+    return months.select(
         *keys,
         "__month",
         F.lag("m_amount").over(earlier).alias("prev_amount"),
         F.lag("m_qty").over(earlier).alias("prev_qty"),
     ).filter(F.col("prev_amount").isNotNull())
-    joined = base.join(previous, [*keys, "__month"], "left")
 
+
+def repair(base: DataFrame, keys: list[str]) -> DataFrame:
+    """The repair on lines that have met their orders (``line_base``); prices are compared within ``keys``."""
+    return judged(base.join(previous_prices(base, keys), [*keys, "__month"], "left"))
+
+
+def judged(joined: DataFrame) -> DataFrame:
+    """Spikes and repaired prices of lines beside ``prev_amount`` and ``prev_qty``, the sums they are compared with."""
+    priced = _priced()
     line_price, prev_price = F.col("line_unit_price"), F.col("prev_month_unit_price")
     comparable = priced & F.col("prev_amount").isNotNull()
     amount, qty = F.col("total_amount").cast(_AMOUNT), F.col("quantity").cast(_QTY)
@@ -98,6 +110,22 @@ LINE_PRODUCT = ["product_code", "product_name", "type_products", "brand"]
 LINE_CUSTOMER = ["customer_code", "customer_name", "price_group_name", "city"]
 
 
+def _named(lines: DataFrame, pairs: DataFrame, dim: DataFrame, key: str) -> DataFrame:
+    """Left join ``dim`` onto lines that lie by order: the distinct pairs of order and key fetch its columns.
+    A key that is listed twice gives two lines."""
+    return lines.join(lookup(pairs, dim, key).repartition("order_id"), ["order_id", key], "left")
+
+
+def decorate_lines(items: DataFrame, dim: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """``decorate`` for lines that meet their orders next; lines without an order are dropped, as they meet none."""
+    dim = dim.select(key, *columns)
+    if sent_out(dim):
+        return decorate(items, dim, key, columns)
+    lines = items.filter(F.col("order_id").isNotNull()).repartition("order_id")
+    pairs = lines.filter(F.col(key).isNotNull()).select("order_id", key).distinct()
+    return _named(lines, pairs, dim, key)
+
+
 def order_items_detail(
     items: DataFrame,
     orders: DataFrame,
@@ -109,21 +137,35 @@ def order_items_detail(
 
     ``orders`` is the enriched order view. Tier thresholds are exact percentiles
     of the raw line price over all valid lines, found by a first pass (two numbers);
-    ``headers`` are the plain orders, which spare that pass the view's joins.
+    ``headers`` are the plain orders, which spare that pass the view's joins. They must have the orders' dates and customers.
     """
-    raw = items.filter((F.col("quantity") > 0) & (F.col("total_amount") > 0)).select(
-        "order_id", ratio("total_amount", "quantity").alias("price")
-    )
-    live = active_orders(orders if headers is None else headers)
-    valid = raw.join(live.select("order_id"), "order_id", "left_semi")
+    head = orders if headers is None else headers
+    keys = ["customer_key", product]
+    own = ["customer_key"] if "customer_key" in items.columns else []
+    # Whole lines travel once, to their orders. What else they need is found on these few columns and comes to the orders too.
+    live_first = Window.partitionBy("order_id").orderBy(F.coalesce(F.col("is_cancel") == 0, F.lit(False)).desc())
+    head = head.filter(F.col("order_id").isNotNull()).withColumn("__head", F.row_number().over(live_first) == 1)
+    measures = line_base(items.select("order_id", *own, product, "quantity", "total_amount"), head, ["__head"])
+    place, pair = ["order_id", product, "customer_key", "__month"], ["order_id", product]
+
+    def first(by: list[str]) -> Column:
+        return F.row_number().over(Window.partitionBy(*by).orderBy(*place)) == 1
+
+    narrow = written(measures.withColumns({"__first": first(place), "__pair": first(pair)}), "lines")
     low_p, high_p = PRICE_TIER_PROBS
+    # a line counts once, however often its order is listed
+    valid = narrow.filter(_priced() & F.col("__head")).select(ratio("total_amount", "quantity").alias("price"))
     limits = percentile_values(valid, "price", {"p33": low_p, "p67": high_p})
     p33, p67 = F.lit(limits["p33"]), F.lit(limits["p67"])
 
+    previous = narrow.filter("__live AND __first").select(*place).join(previous_prices(narrow, keys), [*keys, "__month"])
     carry = ["order_date_key", "year", "quarter", "month_num", "month_name", "id_branch", *LINE_CUSTOMER]
-    out = repaired_lines(items, orders, product, carry).filter("__live")
+    base = line_base(items, orders.filter(F.col("is_cancel") == 0), carry)
+    out = judged(base.join(previous.repartition("order_id"), place, "left"))
     if products is not None:
-        out = decorate(out, products, product, LINE_PRODUCT)
+        names = products.select(product, *LINE_PRODUCT)
+        pairs = narrow.filter(F.col("__live") & F.col("__pair") & F.col(product).isNotNull()).select(*pair)
+        out = decorate(out, names, product, LINE_PRODUCT) if sent_out(names) else _named(out, pairs, names, product)
     return (
         out.withColumn("unit_price", F.col("price"))
         .withColumn("unit_price_adjusted", rounded("__price", 2))

@@ -27,6 +27,8 @@ SETTINGS = {
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
     # a task sorts and joins many times what it reads
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
+    # a job that has written or returned its rows leaves no shuffle files behind
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # short value lists reach Parquet as single values, so that Bloom filters can answer them
     "spark.sql.parquet.pushdown.inFilterThreshold": "200",
