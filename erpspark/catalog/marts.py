@@ -160,9 +160,9 @@ _line_parts("_brand", "k_brand_items", "product_key")
 )
 def _detail_brand(e: Erp):
     brand_of = e.products.select("product_key", "brand_id")
-    items = sales.decorate(e.order_items, brand_of, "product_key", ["brand_id"]).drop("product_key")
+    items = sales.decorate_lines(e.order_items, brand_of, "product_key", ["brand_id"]).drop("product_key")
     items = items.withColumnRenamed("brand_id", "product_key")
-    return _round_limits(sales.order_items_detail(items, e.enriched, None, headers=e.orders))
+    return _round_limits(sales.order_items_detail(items, e.enriched, None, headers=e.dated_orders))
 
 
 part(
